@@ -35,6 +35,13 @@ def all_nonnegative_condition(cols: Sequence[str]) -> Column:
     return F.forall(arr, lambda x: x >= 0)
 
 
+def nonnegative_reason(cols: Sequence[str]) -> Column:
+    """``ok`` / ``negative`` / ``missing`` for one row, in a single pass."""
+    ok = all_nonnegative_condition(cols)
+    return (F.when(ok, F.lit("ok")).when(ok.isNull(), F.lit("missing"))
+            .otherwise(F.lit("negative")))
+
+
 def all_nonnegative(df: DataFrame, cols: Sequence[str], quarantine: bool = False):
     """Keep rows whose listed values are all >= 0.
 
@@ -44,12 +51,9 @@ def all_nonnegative(df: DataFrame, cols: Sequence[str], quarantine: bool = False
     ok = all_nonnegative_condition(cols)
     if not quarantine:
         return df.filter(ok)
-    tagged = df.withColumn("_ok", ok)
-    good = tagged.filter(F.col("_ok")).drop("_ok")
-    bad = (tagged.filter(~F.coalesce(F.col("_ok"), F.lit(False)))
-           .withColumn("reason", F.when(F.col("_ok").isNull(), F.lit("missing"))
-                       .otherwise(F.lit("negative")))
-           .drop("_ok"))
+    tagged = df.withColumn("reason", nonnegative_reason(cols))
+    good = tagged.filter(F.col("reason") == "ok").drop("reason")
+    bad = tagged.filter(F.col("reason") != "ok")
     return good, bad
 
 

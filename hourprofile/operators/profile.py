@@ -35,10 +35,11 @@ def stations(station_raw: DataFrame, spec: StationSpec, legacy_int_cast: bool =
     return project.typed(st, spec.attributes, keep_cols=["id"])
 
 
-def observations(obs_raw: DataFrame, spec: ObsSpec, dtype: str = "int") -> DataFrame:
-    """``id`` + 24 typed volumes ``volume00..volume23``."""
+def observations(obs_raw: DataFrame, spec: ObsSpec, dtype: str = "int",
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """``id`` + 24 typed volumes ``volume00..volume23`` (+ ``keep`` columns)."""
     return obs_raw.select(
-        C.composite_key(spec.key).alias("id"),
+        C.composite_key(spec.key).alias("id"), *keep,
         *[C.to_number(v, dtype).alias(o) for v, o in zip(spec.volumes, VOLUME_COLUMNS)],
     )
 

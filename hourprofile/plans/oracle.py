@@ -71,8 +71,36 @@ FROM st s JOIN obs o ON s.id = o.id
 GROUP BY s.id, s.location, s.latitude, s.longitude_w, s.lanes, s.type, s.highway"""
 
 
+OBS_RECORD = ["date", "day_of_data", "day_of_week", "direction", "state", "segment",
+              "month_of_data", "station_id", *V]
+STATION_COLS = "id, location, latitude, longitude_w, lanes, type, highway"
+
+
+def _key_sql(null_part: str) -> str:
+    return with_ctes(OBS_CTES) + f"""SELECT date, station_id, direction,
+  {null_part.format("state")} || '_' || {null_part.format("station_id")} || '_' || {null_part.format("NULLIF(direction, 'error')")} AS id
+FROM obs"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["hourly_profile"] = _profile_sql()
     q["hourly_profile_eager"] = _profile_sql()
+    q["csv_header_roundtrip"] = with_ctes(OBS_CTES) + f"SELECT {', '.join(OBS_RECORD)} FROM obs"
+    q["lines_split"] = q["csv_header_roundtrip"]
+    q["composite_key"] = _key_sql("{}")
+    q["composite_key_placeholder"] = _key_sql("coalesce({}, '*')")
+    q["typed_projection"] = with_ctes(OBS_CTES, STATION_CTES) + f"SELECT {STATION_COLS} FROM st_lanes"
+    q["filter_nonzero"] = with_ctes(OBS_CTES, STATION_CTES) + f"SELECT {STATION_COLS} FROM st"
+    q["filter_nonzero_legacy"] = with_ctes(OBS_CTES, STATION_CTES) + (
+        f"SELECT {STATION_COLS} FROM st_lanes WHERE trunc(latitude) <> 0 AND trunc(longitude_w) <> 0")
+    neg = " OR ".join(f"{v} < 0" for v in V)
+    miss = " OR ".join(f"{v} IS NULL" for v in V)
+    q["filter_all_nonnegative"] = with_ctes(OBS_CTES) + f"""SELECT id, date,
+  CASE WHEN {neg} THEN 'negative' WHEN {miss} THEN 'missing' ELSE 'ok' END AS reason,
+  {", ".join(V)}
+FROM obs"""
+    vols = ", ".join(f"CAST(o.{v} AS INTEGER) AS volume{v[1:]}" for v in V)
+    q["station_join"] = with_ctes(OBS_CTES, STATION_CTES) + f"""SELECT s.id, s.location, s.lanes, o.date, {vols}
+FROM st s JOIN obs o ON s.id = o.id"""
     return q

@@ -9,8 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .. import sources as S
+from ..operators import filters as FL
 from ..operators import profile as P
+from ..operators import project as PR
 from ..spec import TEST_OBS, TEST_STATION
 from . import testviews as tv
 
@@ -34,3 +38,79 @@ def hourly_profile_eager(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Same result; averages per id before the join (scale plan)."""
     return P.profile(tv.observations(spark, sf_dir), tv.stations(spark, sf_dir),
                      TEST_OBS, TEST_STATION, eager=True)
+
+
+# ------------------------------------------------------------ sources, projections, filters
+def _typed_obs(df: DataFrame) -> DataFrame:
+    """Raw observation strings -> same names, volumes as BIGINT."""
+    vols = set(TEST_OBS.volumes)
+    return df.select(*[F.col(c).try_cast("bigint").alias(c) if c in vols else F.col(c)
+                       for c in df.columns])
+
+
+@register
+def csv_header_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV directory scan with header and explicit string schema, no inference."""
+    path = tv.staged_obs_csv(spark, sf_dir)
+    return _typed_obs(S.read_csv(spark, path, TEST_OBS.schema(), header=True))
+
+
+@register
+def lines_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text scan, header lines dropped, naive split on ',' with quotes stripped."""
+    path = tv.staged_obs_csv(spark, sf_dir)
+    return _typed_obs(S.read_lines(spark, path, columns=None, sep=","))
+
+
+def _keyed(spark, sf_dir, nulls):
+    obs = tv.observations(spark, sf_dir).withColumn(
+        "dir_or_null", F.nullif(F.col("direction"), F.lit("error")))
+    out = PR.composite_key(obs, ["state", "station_id", "dir_or_null"], out="id", nulls=nulls)
+    return out.select("date", "station_id", "direction", "id")
+
+
+@register
+def composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Composite station key; null when any part is null."""
+    return _keyed(spark, sf_dir, "propagate")
+
+
+@register
+def composite_key_placeholder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Composite key with '*' standing in for a null part."""
+    return _keyed(spark, sf_dir, "placeholder")
+
+
+@register
+def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep the station columns, build the id, rename and cast (bad text -> null)."""
+    return P.stations(tv.stations(spark, sf_dir), TEST_STATION, drop_zero_coordinates=False)
+
+
+@register
+def filter_nonzero(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations whose coordinates both parse to non-zero numbers."""
+    return P.stations(tv.stations(spark, sf_dir), TEST_STATION)
+
+
+@register
+def filter_nonzero_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same, comparing after integer truncation (0.5 counts as zero)."""
+    return P.stations(tv.stations(spark, sf_dir), TEST_STATION, legacy_int_cast=True)
+
+
+@register
+def filter_all_nonnegative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every observation tagged ok / negative / missing in one pass (the
+    quarantine split of ``filters.all_nonnegative`` filters on this tag)."""
+    obs = PR.composite_key(tv.observations(spark, sf_dir), TEST_OBS.key)
+    tagged = obs.withColumn("reason", FL.nonnegative_reason(TEST_OBS.volumes))
+    return _typed_obs(tagged.select("id", "date", "reason", *TEST_OBS.volumes))
+
+
+@register
+def station_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many-to-many join of stations (a row per lane) to daily observations."""
+    st = P.stations(tv.stations(spark, sf_dir), TEST_STATION)
+    ob = P.observations(tv.observations(spark, sf_dir), TEST_OBS, keep=("date",))
+    return P.attach_station(st, ob).select("id", "location", "lanes", "date", *P.VOLUME_COLUMNS)

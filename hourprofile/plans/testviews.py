@@ -64,3 +64,18 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("c_acctbal") >= 5000, F.lit("Y")).otherwise(F.lit("N")).alias("highway"),
     ).select("*", F.explode(F.sequence(F.lit(1), F.lit(1) + F.col("c_nationkey") % 2)).alias("lane")
              ).withColumn("lane_of_travel", F.col("lane").cast("string")).drop("c_nationkey", "lane")
+
+
+_STAGED: dict[tuple, str] = {}
+
+
+def staged_obs_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Observations written once per session as quoted CSV with a header
+    (every part file repeats the header), below the shared scratch folder."""
+    from .. import sinks
+    from ..session import scratch_path
+    k = (spark.sparkContext.applicationId, sf_dir)
+    if k not in _STAGED:
+        _STAGED[k] = sinks.write_csv(observations(spark, sf_dir), scratch_path(spark, "obs-csv"),
+                                     header=True, quote_all=True)
+    return _STAGED[k]
