@@ -1,0 +1,22 @@
+"""Join helpers: broadcast only behind a checked size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Default bound for broadcasting a lookup side (rows). Lookup tables here are
+# dictionaries (category levels, 24 models, station profiles); above the bound
+# the join falls back to a shuffle join and AQE decides at runtime.
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+                      known_rows: int | None = None) -> DataFrame:
+    """``broadcast(df)`` when its row count is within ``max_rows``, else ``df``.
+
+    The count is one small job on the lookup side (never on the large side).
+    Pass ``known_rows`` when the size is already established.
+    """
+    n = known_rows if known_rows is not None else df.count()
+    return F.broadcast(df) if n <= max_rows else df

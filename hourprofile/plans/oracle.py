@@ -82,6 +82,43 @@ def _key_sql(null_part: str) -> str:
 FROM obs"""
 
 
+CATS = ["day_of_data", "day_of_week", "direction", "state", "segment", "month_of_data"]
+NONNEG = " AND ".join(f"{v} >= 0" for v in V)
+
+
+def mapping_ctes(where: str = "") -> str:
+    """train -> levels -> mapping(field_pos, field, value, idx, offset)."""
+    cond = f"({NONNEG})" + (f" AND ({where})" if where else "")
+    lv = "\n  UNION ".join(
+        f"SELECT DISTINCT CAST({i} AS INTEGER) AS field_pos, '{c}' AS field, {c} AS value FROM train WHERE {c} IS NOT NULL"
+        for i, c in enumerate(CATS))
+    return f"""train AS (SELECT * FROM obs WHERE {cond}),
+lv AS (
+  {lv}
+), idx AS (
+  SELECT field_pos, field, value,
+    CAST(row_number() OVER (PARTITION BY field_pos ORDER BY value) - 1 AS INTEGER) AS idx
+  FROM lv
+), cnt AS (SELECT field_pos, count(*) AS n FROM idx GROUP BY field_pos
+), offs AS (
+  SELECT field_pos, CAST(coalesce(sum(n) OVER (ORDER BY field_pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INTEGER) AS "offset"
+  FROM cnt
+), mapping AS (SELECT i.field_pos, i.field, i.value, i.idx, o."offset" FROM idx i JOIN offs o USING (field_pos))"""
+
+
+def encoded_sql(train_where: str = "", unseen: str = "fail") -> str:
+    joins, cols = [], []
+    for i, c in enumerate(CATS):
+        joins.append(f"LEFT JOIN mapping m{i} ON m{i}.field_pos = {i} AND m{i}.value = t.{c}")
+        cols.append(f'm{i}."offset" + m{i}.idx AS pos_{c}')
+    src = "obs t" if train_where else "train t"
+    where = f"WHERE {NONNEG}" if train_where else ""
+    return with_ctes(OBS_CTES, mapping_ctes(train_where)) + f"""SELECT t.id, t.date, {", ".join(cols)}
+FROM {src}
+{chr(10).join(joins)}
+{where}"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["hourly_profile"] = _profile_sql()
@@ -103,4 +140,13 @@ FROM obs"""
     vols = ", ".join(f"CAST(o.{v} AS INTEGER) AS volume{v[1:]}" for v in V)
     q["station_join"] = with_ctes(OBS_CTES, STATION_CTES) + f"""SELECT s.id, s.location, s.lanes, o.date, {vols}
 FROM st s JOIN obs o ON s.id = o.id"""
+    q["category_distinct"] = with_ctes(OBS_CTES, mapping_ctes()) + "SELECT field_pos, field, value FROM lv"
+    q["category_mapping"] = with_ctes(OBS_CTES, mapping_ctes()) + "SELECT * FROM mapping"
+    q["category_counts"] = with_ctes(OBS_CTES, mapping_ctes()) + """SELECT field_pos, field,
+  CAST(count(*) AS INTEGER) AS n_levels, "offset",
+  CAST(sum(count(*)) OVER () AS INTEGER) AS total
+FROM mapping GROUP BY field_pos, field, "offset" """
+    q["mapping_json_import"] = q["category_mapping"]
+    q["encoded_positions"] = encoded_sql()
+    q["encoded_unseen"] = encoded_sql(train_where="date < '2024-01-16'")
     return q

@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sources as S
+from ..operators import encode as E
 from ..operators import filters as FL
 from ..operators import profile as P
 from ..operators import project as PR
+from ..session import scratch_path
 from ..spec import TEST_OBS, TEST_STATION
 from . import testviews as tv
 
@@ -114,3 +116,59 @@ def station_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     st = P.stations(tv.stations(spark, sf_dir), TEST_STATION)
     ob = P.observations(tv.observations(spark, sf_dir), TEST_OBS, keep=("date",))
     return P.attach_station(st, ob).select("id", "location", "lanes", "date", *P.VOLUME_COLUMNS)
+
+
+# ------------------------------------------------------------ categorical encoder
+CATS = TEST_OBS.categoricals
+# Training window of the unseen-category query: levels fitted on the first half
+# of the month are applied to the whole month.
+TRAIN_WINDOW_END = "2024-01-16"
+
+
+def training_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations with an id whose 24 volumes are all >= 0 (training input)."""
+    obs = PR.composite_key(tv.observations(spark, sf_dir), TEST_OBS.key)
+    return FL.all_nonnegative(obs, TEST_OBS.volumes)
+
+
+@register
+def category_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct values of every categorical field, one pass."""
+    return E.levels(training_rows(spark, sf_dir), CATS)
+
+
+@register
+def category_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense value index per field plus one-hot block offsets."""
+    return E.fit(training_rows(spark, sf_dir), CATS)
+
+
+@register
+def category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels per field, block offsets and the one-hot width."""
+    return E.level_counts(E.fit(training_rows(spark, sf_dir), CATS))
+
+
+@register
+def mapping_json_import(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mapping written in the JSON list-of-objects form and imported back."""
+    path = E.save_mapping_json(E.fit(training_rows(spark, sf_dir), CATS),
+                               scratch_path(spark, "mapping-json"))
+    return E.load_mapping_json(spark, path, CATS)
+
+
+@register
+def encoded_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One-hot position of every categorical of every training row."""
+    rows = training_rows(spark, sf_dir)
+    enc = E.apply(rows, E.fit(rows, CATS), CATS, on_unseen="fail")
+    return enc.select("id", "date", *[f"pos_{c}" for c in CATS])
+
+
+@register
+def encoded_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Levels fitted on the first half-month, applied to all rows; unseen -> null."""
+    rows = training_rows(spark, sf_dir)
+    mapping = E.fit(rows.where(F.col("date") < F.lit(TRAIN_WINDOW_END)), CATS)
+    enc = E.apply(rows, mapping, CATS, on_unseen="null")
+    return enc.select("id", "date", *[f"pos_{c}" for c in CATS])
