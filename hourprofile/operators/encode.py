@@ -74,9 +74,16 @@ def with_offsets(mapping: DataFrame) -> DataFrame:
     return mapping.join(F.broadcast(offs), "field_pos")
 
 
-def fit(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Fit the mapping of every field in one pass (no per-field jobs)."""
-    m = dense_index(levels(df, fields), "field_pos", "value")
+def fit(df: DataFrame, fields: Sequence[str], materialize: bool = True) -> DataFrame:
+    """Fit the mapping of every field in one pass (no per-field jobs).
+
+    The distinct levels (a dictionary, small) are checkpointed once so the
+    indexing jobs that follow do not re-run the scan that produced them.
+    """
+    lv = levels(df, fields)
+    if materialize:
+        lv = lv.checkpoint(eager=True)
+    m = dense_index(lv, "field_pos", "value")
     return with_offsets(m).select(*MAPPING_SCHEMA.fieldNames())
 
 

@@ -30,9 +30,18 @@ def nonzero(df: DataFrame, cols: Sequence[str], legacy_int_cast: bool = False) -
 
 def all_nonnegative_condition(cols: Sequence[str]) -> Column:
     """True when every value parses and is >= 0; false when one is negative;
-    null when one is missing or unparsable (and none is negative)."""
-    arr = F.array(*[C.to_number(c, "double") for c in cols])
-    return F.forall(arr, lambda x: x >= 0)
+    null when one is missing or unparsable (and none is negative).
+
+    Written as a conjunction of one predicate per column (same three-valued
+    result as ``forall`` over an array): each conjunct is its own constraint,
+    so the optimizer's constraint propagation stays linear in the number of
+    columns instead of doubling per aliased column.
+    """
+    cond = None
+    for c in cols:
+        p = C.to_number(c, "double") >= 0
+        cond = p if cond is None else cond & p
+    return cond if cond is not None else F.lit(True)
 
 
 def nonnegative_reason(cols: Sequence[str]) -> Column:

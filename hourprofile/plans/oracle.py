@@ -119,6 +119,85 @@ FROM {src}
 {where}"""
 
 
+def _profile_cte() -> str:
+    avgs = _lst(f"avg(o.{v}) AS {a}" for v, a in zip(V, AVG))
+    return f"""prof AS (
+  SELECT s.id, s.location, s.latitude, s.longitude_w, s.lanes, s.type, s.highway,
+  {avgs}
+  FROM st s JOIN obs o ON s.id = o.id
+  GROUP BY s.id, s.location, s.latitude, s.longitude_w, s.lanes, s.type, s.highway
+)"""
+
+
+def _logd(v: str) -> str:
+    return f"ln(CAST({v} AS DOUBLE) + 0.01)"
+
+
+def _features(hour: int):
+    """Log expressions of the 23 features of ``hour`` (hours before, then after)."""
+    return [_logd(V[j]) for j in HOURS if j != hour]
+
+
+def _enc_cte() -> str:
+    joins = "\n  ".join(f"LEFT JOIN mapping m{i} ON m{i}.field_pos = {i} AND m{i}.value = t.{c}"
+                         for i, c in enumerate(CATS))
+    ps = ", ".join(f'm{i}."offset" + m{i}.idx AS p{i}' for i in range(len(CATS)))
+    return f"""enc AS (
+  SELECT t.*, {ps}
+  FROM train t
+  {joins}
+), kk AS (SELECT CAST(count(*) AS INTEGER) AS k FROM mapping)"""
+
+
+def _gram_sql() -> str:
+    ps = ", ".join(f"p{i}" for i in range(len(CATS)))
+    fs = ", ".join(str(i) for i in range(len(CATS)))
+    qs = ", ".join(f"CAST(round({_logd(v)}, 6) AS DECIMAL(12,6))" for v in V)
+    hs = ", ".join(str(h) for h in HOURS)
+    return with_ctes(OBS_CTES, mapping_ctes(), _enc_cte(), f"""up AS (
+  SELECT id, date, unnest([{ps}]) AS p, unnest([{fs}]) AS f FROM enc
+), uq AS (
+  SELECT id, date, unnest([{qs}]) AS q, unnest([{hs}]) AS h FROM enc
+), parts AS (
+  SELECT least(a.p, b.p) AS i, greatest(a.p, b.p) AS j, CAST(count(*) AS DECIMAL(38,12)) AS s
+  FROM up a JOIN up b ON a.id = b.id AND a.date = b.date AND a.f <= b.f GROUP BY 1, 2
+  UNION ALL
+  SELECT up.p AS i, (SELECT k FROM kk) + uq.h AS j, CAST(sum(uq.q) AS DECIMAL(38,12)) AS s
+  FROM up JOIN uq ON up.id = uq.id AND up.date = uq.date GROUP BY up.p, uq.h
+  UNION ALL
+  SELECT p AS i, (SELECT k FROM kk) + 24 AS j, CAST(count(*) AS DECIMAL(38,12)) AS s FROM up GROUP BY p
+  UNION ALL
+  SELECT (SELECT k FROM kk) + a.h AS i, (SELECT k FROM kk) + b.h AS j, CAST(sum(a.q * b.q) AS DECIMAL(38,12)) AS s
+  FROM uq a JOIN uq b ON a.id = b.id AND a.date = b.date AND a.h <= b.h GROUP BY a.h, b.h
+  UNION ALL
+  SELECT (SELECT k FROM kk) + h AS i, (SELECT k FROM kk) + 24 AS j, CAST(sum(q) AS DECIMAL(38,12)) AS s FROM uq GROUP BY h
+  UNION ALL
+  SELECT (SELECT k FROM kk) + 24 AS i, (SELECT k FROM kk) + 24 AS j, CAST(count(*) AS DECIMAL(38,12)) AS s FROM enc
+)""") + "SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, CAST(round(s, 6) AS DOUBLE) AS g FROM parts"
+
+
+def _predict_expr(hour: int) -> str:
+    cat = "0.0"
+    for i in range(len(CATS)):
+        cat = f"({cat} + CAST((p{i} % 5) - 2 AS DOUBLE) / 64)"
+    vol = "0.0"
+    for m, x in enumerate(_features(hour)):
+        vol = f"({vol} + {((m % 4) + 1) / 128.0!r} * {x})"
+    return f"exp((CAST({hour / 8.0!r} AS DOUBLE) + {cat}) + {vol})"
+
+
+def _level(v: str, h: str) -> str:
+    return (f"CASE WHEN {h} IS NULL OR {v} IS NULL THEN NULL "
+            f"WHEN CAST({v} AS DOUBLE) > {h} * CAST(2.0 AS DOUBLE) THEN 'High' "
+            f"WHEN CAST({v} AS DOUBLE) < {h} * CAST(0.5 AS DOUBLE) THEN 'Low' ELSE 'Medium' END")
+
+
+def _current(v: str) -> str:
+    x = f"CAST({v} AS DOUBLE)"
+    return (f"CAST(trunc(greatest({x} + {x} * CAST(0.5 AS DOUBLE) * CAST(1.764052345967664 AS DOUBLE), "
+            f"CAST(0.0 AS DOUBLE))) AS INTEGER)")
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["hourly_profile"] = _profile_sql()
@@ -149,4 +228,20 @@ FROM mapping GROUP BY field_pos, field, "offset" """
     q["mapping_json_import"] = q["category_mapping"]
     q["encoded_positions"] = encoded_sql()
     q["encoded_unseen"] = encoded_sql(train_where="date < '2024-01-16'")
+    h = SCORE_HOUR
+    feats = ", ".join(f"round({x}, 6) AS f{m:02d}" for m, x in enumerate(_features(h)))
+    q["log_features"] = with_ctes(OBS_CTES, f"train AS (SELECT * FROM obs WHERE {NONNEG})") + (
+        f"SELECT id, date, round({_logd(V[h])}, 6) AS label, {feats} FROM train")
+    q["gram_blocks"] = _gram_sql()
+    q["predict_hour"] = with_ctes(OBS_CTES, mapping_ctes(), _enc_cte()) + (
+        f"SELECT id, date, round({_predict_expr(h)}, 6) AS predicted FROM enc")
+    vh = f"CAST(o.{V[h]} AS INTEGER)"
+    q["at_hour"] = with_ctes(OBS_CTES) + f"SELECT o.id, o.date, {vh} AS volume FROM obs o"
+    look = with_ctes(OBS_CTES, STATION_CTES, _profile_cte())
+    q["profile_lookup"] = look + f"""SELECT o.id AS sid, o.date, p.lanes, {vh} AS volume, p.{AVG[h]} AS historical
+FROM obs o JOIN prof p ON p.id = o.id"""
+    q["level"] = look + f"""SELECT o.id AS sid, o.date, p.lanes, {vh} AS volume, p.{AVG[h]} AS historical,
+  {_level(vh, "p." + AVG[h])} AS level
+FROM obs o JOIN prof p ON p.id = o.id"""
+    q["scaled_current"] = with_ctes(OBS_CTES) + f"SELECT o.id AS sid, o.date, {vh} AS volume, {_current(vh)} AS current FROM obs o"
     return q

@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import sources as S
+from ..functions import columns as FN
 from ..operators import encode as E
 from ..operators import filters as FL
+from ..operators import model as M
+from ..operators import score as SC
 from ..operators import profile as P
 from ..operators import project as PR
 from ..session import scratch_path
 from ..spec import TEST_OBS, TEST_STATION
+from . import jobs as J
 from . import testviews as tv
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +176,93 @@ def encoded_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapping = E.fit(rows.where(F.col("date") < F.lit(TRAIN_WINDOW_END)), CATS)
     enc = E.apply(rows, mapping, CATS, on_unseen="null")
     return enc.select("id", "date", *[f"pos_{c}" for c in CATS])
+
+
+# ------------------------------------------------------------ features, Gram, models, scoring
+SCORE_HOUR = 8  # hour injected in place of the wall clock in every scoring query
+
+
+def _encoded(spark: SparkSession, sf_dir: str):
+    """Training rows encoded once: the mapping is saved as a table and read
+    back, the encoded rows are checkpointed in the shared folder (lineage cut,
+    so the Gram passes and solvers never re-run the encoder plan)."""
+    return J.encode_training(spark, training_rows(spark, sf_dir), TEST_OBS,
+                             keep=("id", "date"))
+
+
+@register
+def log_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Label = log volume of the scoring hour; features = the other 23 hours."""
+    rows = training_rows(spark, sf_dir)
+    logs = F.array(*[FN.log_volume(v) for v in TEST_OBS.volumes])
+    label, feats = M.label_and_features(logs, SCORE_HOUR)
+    return rows.select("id", "date", F.round(label, 6).alias("label"),
+                       *[F.round(feats[m], 6).alias(f"f{m:02d}") for m in range(23)])
+
+
+@register
+def gram_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact block-form Gram matrix of [one-hot | log volumes | 1] (features at 1e-6)."""
+    enc, _, k = _encoded(spark, sf_dir)
+    dec = enc.select(F.array(*[F.col(f"pos_{c}") for c in CATS]).alias("positions"),
+                     *[F.round(FN.log_volume(v), 6).cast("decimal(12,6)").alias(f"q{h:02d}")
+                       for h, v in enumerate(TEST_OBS.volumes)])
+    return M.gram_blocks(dec, k)
+
+
+@register
+def fit_24_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One Gram pass, 24 gradient-descent fits, saved and loaded back."""
+    enc, _, k = _encoded(spark, sf_dir)
+    d = M.design(enc, CATS, TEST_OBS.volumes)
+    g = M.gram_matrix(M.gram(d, k), k + 25)
+    path = M.save(M.fit(spark, g, k), scratch_path(spark, "models"))
+    return M.load(spark, path)
+
+
+@register
+def predict_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction of the scoring hour's model (deterministic coefficient table)."""
+    enc, _, k = _encoded(spark, sf_dir)
+    d = M.design(enc, CATS, TEST_OBS.volumes, keep=("id", "date"))
+    p = M.predict(d, M.rule_models(spark, k), SCORE_HOUR)
+    return p.select("id", "date", F.round("predicted", 6).alias("predicted"))
+
+
+def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    obs = tv.observations(spark, sf_dir).withColumn("sid", FN.composite_key(TEST_OBS.key))
+    vols = F.array(*[FN.to_number(v, "int") for v in TEST_OBS.volumes])
+    return obs.select("sid", "date", FN.at_hour(vols, SCORE_HOUR).alias("volume"))
+
+
+def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return P.profile(tv.observations(spark, sf_dir), tv.stations(spark, sf_dir),
+                     TEST_OBS, TEST_STATION, eager=True)
+
+
+@register
+def at_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Volume of the scoring hour picked from the 24 columns."""
+    return _live(spark, sf_dir).withColumnRenamed("sid", "id")
+
+
+@register
+def profile_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each record looked up in the profile: one row per matching lane."""
+    j = SC.attach_profile(_live(spark, sf_dir), _profile(spark, sf_dir), SCORE_HOUR)
+    return j.select("sid", "date", "lanes", "volume", "historical")
+
+
+@register
+def level(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """High / Medium / Low against the historical average of the hour."""
+    j = SC.attach_profile(_live(spark, sf_dir), _profile(spark, sf_dir), SCORE_HOUR)
+    return j.select("sid", "date", "lanes", "volume", "historical",
+                    FN.level("volume", "historical").alias("level"))
+
+
+@register
+def scaled_current(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic live-volume stand-in: int(max(v + v*0.5*z0, 0))."""
+    return _live(spark, sf_dir).select("sid", "date", "volume",
+                                       FN.scaled_current("volume").alias("current"))
