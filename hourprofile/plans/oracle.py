@@ -198,6 +198,23 @@ def _current(v: str) -> str:
             f"CAST(0.0 AS DOUBLE))) AS INTEGER)")
 
 
+MSG_KEY_SQL = "state || '_' || station_id || '_' || direction || '_' || date"
+
+
+def _obj_json(cols) -> str:
+    pairs = ", ".join(f"""CASE WHEN {c} IS NOT NULL THEN '"{c}":' || to_json({c}) END""" for c in cols)
+    return f"'{{' || concat_ws(',', {pairs}) || '}}'"
+
+
+def _obs_strings() -> str:
+    """Observation record with the volumes as text, as the raw record carries them."""
+    vs = ", ".join(f"CAST({v} AS VARCHAR) AS {v}" for v in V)
+    return f"""obs_s AS (
+  SELECT date, day_of_data, day_of_week, direction, state, segment, month_of_data, station_id, {vs}
+  FROM obs
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["hourly_profile"] = _profile_sql()
@@ -244,4 +261,14 @@ FROM obs o JOIN prof p ON p.id = o.id"""
   {_level(vh, "p." + AVG[h])} AS level
 FROM obs o JOIN prof p ON p.id = o.id"""
     q["scaled_current"] = with_ctes(OBS_CTES) + f"SELECT o.id AS sid, o.date, {vh} AS volume, {_current(vh)} AS current FROM obs o"
+    rec = ", ".join(OBS_RECORD)
+    q["message_encode"] = with_ctes(OBS_CTES, _obs_strings()) + (
+        f"SELECT {MSG_KEY_SQL} AS key, {_obj_json(OBS_RECORD)} AS value FROM obs_s")
+    q["message_array"] = with_ctes(OBS_CTES, _obs_strings()) + (
+        f"SELECT {MSG_KEY_SQL} AS key, to_json([{rec}]) AS value FROM obs_s")
+    q["message_decode"] = with_ctes(OBS_CTES, _obs_strings()) + (
+        f"SELECT {MSG_KEY_SQL} AS key, {rec}, false AS corrupt FROM obs_s")
+    nulled = ", ".join(f"CASE WHEN direction = 'error' THEN NULL ELSE {c} END AS {c}" for c in OBS_RECORD)
+    q["message_decode_bad"] = with_ctes(OBS_CTES, _obs_strings()) + (
+        f"SELECT {MSG_KEY_SQL} AS key, {nulled}, direction = 'error' AS corrupt FROM obs_s")
     return q

@@ -15,6 +15,7 @@ from .. import sources as S
 from ..functions import columns as FN
 from ..operators import encode as E
 from ..operators import filters as FL
+from ..operators import messages as MS
 from ..operators import model as M
 from ..operators import score as SC
 from ..operators import profile as P
@@ -266,3 +267,41 @@ def scaled_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic live-volume stand-in: int(max(v + v*0.5*z0, 0))."""
     return _live(spark, sf_dir).select("sid", "date", "volume",
                                        FN.scaled_current("volume").alias("current"))
+
+
+# ------------------------------------------------------------ messages
+MSG_KEY = (*TEST_OBS.key, "date")  # composite station id + observation date
+
+
+def _messages(spark: SparkSession, sf_dir: str, shape: str = "object") -> DataFrame:
+    return MS.encode(tv.observations(spark, sf_dir), key=list(MSG_KEY), shape=shape,
+                     columns=TEST_OBS.columns)
+
+
+@register
+def message_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record -> (key, JSON object value), null fields omitted."""
+    return _messages(spark, sf_dir)
+
+
+@register
+def message_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record -> (key, JSON array of the raw fields)."""
+    return _messages(spark, sf_dir, shape="array")
+
+
+@register
+def message_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes value -> string -> from_json(schema) -> data.* (round trip)."""
+    msgs = _messages(spark, sf_dir).select("key", F.col("value").cast("binary").alias("value"))
+    return MS.decode(msgs, TEST_OBS.schema())
+
+
+@register
+def message_decode_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Malformed messages (every 'error'-direction message truncated by one
+    character) decode PERMISSIVE to nulls with corrupt = true."""
+    msgs = _messages(spark, sf_dir)
+    broken = F.when(F.col("key").contains("_error_"),
+                    F.expr("substr(value, 1, length(value) - 1)")).otherwise(F.col("value"))
+    return MS.decode(msgs.select("key", broken.alias("value")), TEST_OBS.schema())
