@@ -30,16 +30,16 @@ def attach_profile(df: DataFrame, profile: DataFrame, hour, key: str = "sid",
     return df.join(bounded_broadcast(prof, known_rows=profile_rows), key)
 
 
-def result_columns(df: DataFrame) -> DataFrame:
-    """The 12 result columns. ``longitude`` carries the profile's west-positive
-    value, as the result table of the reference stores it."""
+def result_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """The 12 result columns (after ``keep``). ``longitude`` carries the
+    profile's west-positive value, as the result table of the reference stores it."""
     return df.select(
-        "sid", "location", "latitude", F.col("longitude_w").alias("longitude"), "direction",
+        *keep, "sid", "location", "latitude", F.col("longitude_w").alias("longitude"), "direction",
         "lanes", "roadtype", "highway",
         C.scaled_current("volume").alias("current"),
         "historical", "predicted",
         C.level("volume", "historical").alias("level"),
-    ).select(*RESULT_COLUMNS)
+    ).select(*keep, *RESULT_COLUMNS)
 
 
 def score(records: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mapping: DataFrame,
@@ -64,7 +64,7 @@ def score(records: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mapping:
         C.at_hour(F.array(*[C.to_number(v, "int") for v in spec.volumes]), h).alias("volume")])
     pred = model.predict(d, models, h).drop("positions", "logs")
     joined = attach_profile(pred, profile, h, profile_rows=profile_rows)
-    return joined.select(*keep, *result_columns(joined).columns) if keep else result_columns(joined)
+    return result_columns(joined, keep)
 
 
 def upsert_fold(df: DataFrame, key: str, seq: Sequence[str] | str,
@@ -80,7 +80,7 @@ def upsert_fold(df: DataFrame, key: str, seq: Sequence[str] | str,
     """
     seq_cols = [seq] if isinstance(seq, str) else list(seq)
     order = F.struct(*[F.col(c) for c in seq_cols])
-    cols = [c for c in df.columns if c != key and c not in seq_cols]
+    cols = [c for c in df.columns if c != key]
     if policy == "latest":
         agg = [F.max_by(F.struct(*cols), order).alias("_last")]
         return df.groupBy(key).agg(*agg).select(key, *[F.col(f"_last.{c}").alias(c) for c in cols])

@@ -215,6 +215,41 @@ def _obs_strings() -> str:
 )"""
 
 
+RESULT = ["sid", "location", "latitude", "longitude", "direction", "lanes", "roadtype",
+          "highway", "current", "historical", "predicted", "level"]
+
+
+def _scored_ctes() -> str:
+    h = SCORE_HOUR
+    vh = f"CAST(e.{V[h]} AS INTEGER)"
+    return f"""scored AS (
+  SELECT e.date, e.id AS sid, p.location, p.latitude, p.longitude_w AS longitude, e.direction,
+    p.lanes, e.segment AS roadtype, p.highway, {_current(vh)} AS current,
+    p.{AVG[h]} AS historical, round({_predict_expr(h)}, 6) AS predicted,
+    {_level(vh, "p." + AVG[h])} AS level
+  FROM enc e JOIN prof p ON p.id = e.id
+)"""
+
+
+def _scored_base() -> str:
+    return with_ctes(OBS_CTES, mapping_ctes(), _enc_cte(), STATION_CTES, _profile_cte(),
+                     _scored_ctes())
+
+
+def _fold_sql(policy: str) -> str:
+    cols = ", ".join(f"f.{c}" for c in RESULT if c not in ("sid", "current"))
+    if policy == "latest":
+        return _scored_base() + f"""SELECT {", ".join(RESULT)} FROM (
+  SELECT *, row_number() OVER (PARTITION BY sid ORDER BY date DESC, lanes DESC) AS rn FROM scored
+) WHERE rn = 1"""
+    return _scored_base() + f"""SELECT f.sid, {cols}, l.current FROM (
+  SELECT *, row_number() OVER (PARTITION BY sid ORDER BY date, lanes) AS rn FROM scored
+) f JOIN (
+  SELECT sid, current, row_number() OVER (PARTITION BY sid ORDER BY date DESC, lanes DESC) AS rn FROM scored
+) l ON f.sid = l.sid AND l.rn = 1
+WHERE f.rn = 1"""
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["hourly_profile"] = _profile_sql()
@@ -271,4 +306,13 @@ FROM obs o JOIN prof p ON p.id = o.id"""
     nulled = ", ".join(f"CASE WHEN direction = 'error' THEN NULL ELSE {c} END AS {c}" for c in OBS_RECORD)
     q["message_decode_bad"] = with_ctes(OBS_CTES, _obs_strings()) + (
         f"SELECT {MSG_KEY_SQL} AS key, {nulled}, direction = 'error' AS corrupt FROM obs_s")
+    q["stream_publish"] = q["message_decode"]
+    q["stream_score"] = _scored_base() + f"SELECT date, {', '.join(RESULT)} FROM scored"
+    q["stream_upsert"] = _fold_sql("first")
+    q["upsert_latest"] = _fold_sql("latest")
+    q["batch_metrics"] = _scored_base() + "SELECT CAST(count(*) AS BIGINT) AS rows FROM scored"
+    q["point_wkt"] = with_ctes(OBS_CTES, STATION_CTES, _profile_cte()) + """SELECT id, lanes,
+  'POINT(' || CAST(0.0 - longitude_w AS VARCHAR) || ' ' || CAST(latitude AS VARCHAR) || ')' AS wkt,
+  4326 AS srid
+FROM prof"""
     return q

@@ -21,7 +21,8 @@ from ..operators import score as SC
 from ..operators import profile as P
 from ..operators import project as PR
 from ..session import scratch_path
-from ..spec import TEST_OBS, TEST_STATION
+from ..spec import RESULT_COLUMNS, TEST_OBS, TEST_RESULT_FIELDS, TEST_STATION
+from .. import streaming as ST
 from . import jobs as J
 from . import testviews as tv
 
@@ -305,3 +306,104 @@ def message_decode_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken = F.when(F.col("key").contains("_error_"),
                     F.expr("substr(value, 1, length(value) - 1)")).otherwise(F.col("value"))
     return MS.decode(msgs.select("key", broken.alias("value")), TEST_OBS.schema())
+
+
+# ------------------------------------------------------------ streams
+_STREAM_STAGE: dict[tuple, dict] = {}
+
+
+def _published(spark: SparkSession, sf_dir: str) -> str:
+    """Publish the staged observation CSV as JSON messages (file twin of the
+    topic), several micro-batches, once per session and scale."""
+    k = (spark.sparkContext.applicationId, sf_dir, "published")
+    if k not in _STREAM_STAGE:
+        out = scratch_path(spark, "topic")
+        q = ST.publish(spark, tv.staged_obs_csv(spark, sf_dir), TEST_OBS, out,
+                       scratch_path(spark, "publish-ckpt"), key=MSG_KEY, max_files=2)
+        q.awaitTermination()
+        _STREAM_STAGE[k] = {"out": out}
+    return _STREAM_STAGE[k]["out"]
+
+
+def _scoring_inputs(spark: SparkSession, sf_dir: str):
+    k = (spark.sparkContext.applicationId, sf_dir, "inputs")
+    if k not in _STREAM_STAGE:
+        rows = training_rows(spark, sf_dir)
+        mpath = E.save_mapping(E.fit(rows, CATS), scratch_path(spark, "mapping"))
+        mapping = E.load_mapping(spark, mpath)
+        kk = E.width(mapping)
+        models = spark.read.parquet(M.save(M.rule_models(spark, kk), scratch_path(spark, "models")))
+        ppath = scratch_path(spark, "profile")
+        J.profile_job(tv.observations(spark, sf_dir), tv.stations(spark, sf_dir), TEST_OBS,
+                      TEST_STATION, out=ppath, eager=True)
+        _STREAM_STAGE[k] = {"mapping": mapping, "models": models,
+                            "profile": spark.read.parquet(ppath)}
+    d = _STREAM_STAGE[k]
+    return d["mapping"], d["models"], d["profile"]
+
+
+def _scored_stream(spark: SparkSession, sf_dir: str):
+    """Run the scoring stream (several micro-batches); returns (path, query)."""
+    k = (spark.sparkContext.applicationId, sf_dir, "scored")
+    if k not in _STREAM_STAGE:
+        mapping, models, profile = _scoring_inputs(spark, sf_dir)
+        msgs = S.stream_json_messages(spark, _published(spark, sf_dir), max_files=8)
+        out = scratch_path(spark, "scored")
+        q = ST.score_stream(spark, msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile,
+                            out, scratch_path(spark, "score-ckpt"), hour=SCORE_HOUR)
+        q.awaitTermination()
+        _STREAM_STAGE[k] = {"out": out, "query": q}
+    d = _STREAM_STAGE[k]
+    return d["out"], d["query"]
+
+
+@register
+def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV file stream -> JSON messages with key and ingest time -> log; read back."""
+    msgs = spark.read.json(_published(spark, sf_dir), schema="key string, value string")
+    return MS.decode(msgs, TEST_OBS.schema())
+
+
+@register
+def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message stream -> decode -> encode -> predict -> profile lookup -> level."""
+    out, _ = _scored_stream(spark, sf_dir)
+    return spark.read.parquet(out).withColumn("predicted", F.round("predicted", 6))
+
+
+@register
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored stream folded per sid in streaming state: first row (by date,
+    lane) wins every column but current, the last row wins current."""
+    mapping, models, profile = _scoring_inputs(spark, sf_dir)
+    msgs = S.stream_json_messages(spark, _published(spark, sf_dir), max_files=8)
+    rows = ST.scored(msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile,
+                     hour=SCORE_HOUR, metrics=None)
+    log = scratch_path(spark, "upsert-log")
+    ST.upsert_stream(rows, log, scratch_path(spark, "upsert-ckpt")).awaitTermination()
+    return ST.read_upserted(spark, log).withColumn("predicted", F.round("predicted", 6))
+
+
+@register
+def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch fold where the last row (by date, lane) refreshes every column."""
+    out, _ = _scored_stream(spark, sf_dir)
+    rows = spark.read.parquet(out)
+    return (SC.upsert_fold(rows, "sid", ["date", "lanes"], policy="latest")
+            .withColumn("predicted", F.round("predicted", 6)).select(*RESULT_COLUMNS))
+
+
+@register
+def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows observed per micro-batch of the scoring stream, summed."""
+    _, q = _scored_stream(spark, sf_dir)
+    counts = ST.observed_rows(q)
+    return spark.createDataFrame([(int(sum(counts)),)], "rows bigint")
+
+
+@register
+def point_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WKT point of every profile row (signed longitude first), SRID 4326."""
+    prof = _profile(spark, sf_dir)
+    return prof.select("id", "lanes", FN.point_wkt("longitude", "latitude").alias("wkt"),
+                       F.lit(4326).alias("srid"))
