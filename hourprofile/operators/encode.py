@@ -39,15 +39,28 @@ def levels(df: DataFrame, fields: Sequence[str]) -> DataFrame:
             .distinct())
 
 
+# A dictionary up to this many levels is numbered by one window task; above it
+# the distributed numbering is used.
+SINGLE_TASK_LEVELS = 1_000_000
+
+
 def dense_index(df: DataFrame, group: str, order: str, out: str = "idx",
-                num_partitions: int | None = None) -> DataFrame:
+                num_partitions: int | None = None, known_rows: int | None = None,
+                single_task_max: int = SINGLE_TASK_LEVELS) -> DataFrame:
     """0-based dense position of ``order`` within ``group`` (distinct rows).
 
-    Distributed like ``zipWithIndex``: range-partition by (group, order), number
-    rows inside each partition, add the count of the same group's rows in the
-    earlier partitions. No task ever holds a whole group; the per-partition
-    count table has at most partitions x groups rows and is broadcast.
+    Size-checked: when the row count is within ``single_task_max`` a plain
+    ``row_number`` window numbers it (one shuffle). Above it the numbering is
+    distributed like ``zipWithIndex``: range-partition by (group, order),
+    number rows inside each partition, add the count of the same group's rows
+    in the earlier partitions. No task then holds a whole group; the
+    per-partition count table has at most partitions x groups rows and is
+    broadcast.
     """
+    n_rows = known_rows if known_rows is not None else df.count()
+    if n_rows <= single_task_max:
+        return df.withColumn(out, (F.row_number().over(
+            Window.partitionBy(group).orderBy(order)) - 1).cast("int"))
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, group, order)

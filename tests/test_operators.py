@@ -109,6 +109,16 @@ def test_encoder_fit_dense_and_stable(spark):
         assert got == [("a", 0), ("b", 1), ("c", 2), ("d", 3), ("x", 4)]
 
 
+def test_dense_index_distributed_equals_window(spark):
+    df = spark.createDataFrame([(g, f"v{i:03d}") for g in range(3) for i in range(0, 150, g + 1)],
+                               "g int, v string")
+    one = E.dense_index(df, "g", "v")
+    dist = E.dense_index(df, "g", "v", num_partitions=7, single_task_max=0)
+    assert one.exceptAll(dist).count() == 0 and dist.exceptAll(one).count() == 0
+    got = sorted((r["g"], r["idx"]) for r in dist.collect())
+    assert got == sorted((g, i) for g in range(3) for i in range(len(range(0, 150, g + 1))))
+
+
 def test_encoder_offsets_and_unseen(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "y"), ("b", "z")], "f string, g string")
     m = E.fit(df, ["f", "g"])
