@@ -169,3 +169,19 @@ def test_plan_guards(spark):
     lookup.collect()
     assert "BroadcastHashJoin" in _plan(lookup) or "BroadcastHashJoin" in lookup._jdf.queryExecution() \
         .executedPlan().toString()
+
+
+def test_train_job_end_to_end(spark, tmp):
+    from hourprofile.operators import profile as P
+    from hourprofile.plans import jobs as J
+    obs = tv.observations(spark, SF_SMALL)
+    mapping, models = J.train_job(spark, obs, TEST_OBS, tmp + "/train")
+    k = mapping.count()
+    assert models.count() == 24
+    r = models.orderBy("hour").first()
+    assert len(r["coef"]) == k + 23 and np.isfinite(r["intercept"]) and 1 <= r["iterations"] <= 100
+    assert E.load_mapping(spark, tmp + "/train/mapping").count() == k
+    prof = J.profile_job(obs, tv.stations(spark, SF_SMALL), TEST_OBS, Q.TEST_STATION,
+                         out=tmp + "/profile")
+    assert prof.count() == P.profile(obs, tv.stations(spark, SF_SMALL), TEST_OBS,
+                                     Q.TEST_STATION).count()
