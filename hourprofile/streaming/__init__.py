@@ -89,13 +89,47 @@ def upsert_stream(scored_rows: DataFrame, changelog: str, checkpoint: str, key:
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _newest(log: DataFrame, key: str) -> DataFrame:
+    cols = [c for c in log.columns if c not in (key, "epoch")]
+    return (log.groupBy(key).agg(F.max_by(F.struct(*cols, "epoch"), F.col("epoch")).alias("_r"))
+            .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols], F.col("_r.epoch").alias("epoch")))
+
+
+def _snapshot_path(changelog: str) -> str:
+    return changelog.rstrip("/") + "_snapshot"
+
+
 def read_upserted(spark: SparkSession, changelog: str, key: str = "sid") -> DataFrame:
-    """Current table from the changelog: the newest version of every key."""
+    """Current table: the newest version of every key, from the last compacted
+    snapshot (if any) plus the epochs written after it."""
     log = spark.read.parquet(changelog)
-    cols = [c for c in log.columns if c not in (key, "epoch")]
-    return (log.groupBy(key).agg(F.max_by(F.struct(*cols), F.col("epoch")).alias("_r"))
-            .select(key, *[F.col(f"_r.{c}").alias(c) for c in cols])
-            .select(*[c for c in RESULT_COLUMNS if c in cols or c == key]))
+    snap = _snapshot_or_none(spark, changelog)
+    if snap is not None:
+        upto = snap.agg(F.max("epoch")).first()[0]
+        log = snap.unionByName(log.where(F.col("epoch") > F.lit(upto)))
+    out = _newest(log, key)
+    return out.select(*[c for c in RESULT_COLUMNS if c in out.columns])
+
+
+def _snapshot_or_none(spark: SparkSession, changelog: str):
+    try:
+        return spark.read.parquet(_snapshot_path(changelog))
+    except Exception:  # no snapshot yet
+        return None
+
+
+def compact_upserted(spark: SparkSession, changelog: str, key: str = "sid") -> str:
+    """Fold the changelog (and any earlier snapshot) into a new snapshot,
+    keeping each key's newest version and its epoch. Reads then touch the
+    snapshot plus the epochs written after it instead of the whole log."""
+    log = spark.read.parquet(changelog)
+    snap = _snapshot_or_none(spark, changelog)
+    if snap is not None:
+        upto = snap.agg(F.max("epoch")).first()[0]
+        log = snap.unionByName(log.where(F.col("epoch") > F.lit(upto)))
+    folded = _newest(log, key).checkpoint(eager=True)  # cut the read of the old snapshot
+    folded.write.mode("overwrite").parquet(_snapshot_path(changelog))
+    return _snapshot_path(changelog)
 
 
 def observed_rows(query: StreamingQuery, name: str = "scored") -> list[int]:

@@ -150,6 +150,10 @@ def test_stream_restart_and_upsert_replay(spark, tmp):
     again = SC.upsert_fold(batch_rows.unionByName(batch_rows), "sid", ["date", "lanes"])
     assert again.select(*table.columns).exceptAll(expect).count() == 0
     assert len(glob.glob(tmp + "/log/epoch=*")) >= 2
+    # compaction keeps the table unchanged
+    ST.compact_upserted(spark, tmp + "/log")
+    after = ST.read_upserted(spark, tmp + "/log")
+    assert after.exceptAll(expect).count() == 0 and expect.exceptAll(after).count() == 0
 
 
 def _plan(df):
