@@ -90,12 +90,13 @@ def with_offsets(mapping: DataFrame) -> DataFrame:
 def fit(df: DataFrame, fields: Sequence[str], materialize: bool = True) -> DataFrame:
     """Fit the mapping of every field in one pass (no per-field jobs).
 
-    The distinct levels (a dictionary, small) are checkpointed once so the
-    indexing jobs that follow do not re-run the scan that produced them.
+    The distinct levels (a dictionary, small) are written once as a table so
+    the indexing jobs that follow do not re-run the scan that produced them.
     """
     lv = levels(df, fields)
     if materialize:
-        lv = lv.checkpoint(eager=True)
+        from ..session import materialize as write_back
+        lv = write_back(lv, "levels")
     m = dense_index(lv, "field_pos", "value")
     return with_offsets(m).select(*MAPPING_SCHEMA.fieldNames())
 

@@ -19,7 +19,7 @@ from ..operators import encode as E
 from ..operators import filters as FL
 from ..operators import model as M
 from ..operators import profile as P
-from ..session import scratch_dir, scratch_path
+from ..session import materialize, scratch_dir, scratch_path
 from ..spec import ObsSpec, StationSpec
 
 
@@ -38,14 +38,14 @@ def profile_job(obs_raw: DataFrame, station_raw: DataFrame, obs_spec: ObsSpec,
 
 def encode_training(spark: SparkSession, rows: DataFrame, spec: ObsSpec,
                     keep: Sequence[str] = (), mapping_path: str | None = None):
-    """Fit the mapping (saved and re-read), encode the rows, checkpoint them.
+    """Materialise the rows, fit the mapping (saved and re-read), encode.
 
     Returns ``(encoded, mapping, k)``: encoded rows carry ``keep``, the
     ``pos_<field>`` columns and the raw volume columns; ``k`` = one-hot width.
     """
     scratch_dir(spark)  # make sure a checkpoint folder is set (tests)
     # the rows feed both the fit and the encoding: materialise them once
-    rows = rows.select(*keep, *spec.categoricals, *spec.volumes).checkpoint(eager=True)
+    rows = materialize(rows.select(*keep, *spec.categoricals, *spec.volumes), "train-rows")
     mpath = mapping_path or scratch_path(spark, "mapping")
     E.save_mapping(E.fit(rows, spec.categoricals), mpath)
     mapping = E.load_mapping(spark, mpath)

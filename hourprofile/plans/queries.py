@@ -328,13 +328,14 @@ def _published(spark: SparkSession, sf_dir: str) -> str:
 def _scoring_inputs(spark: SparkSession, sf_dir: str):
     k = (spark.sparkContext.applicationId, sf_dir, "inputs")
     if k not in _STREAM_STAGE:
-        rows = training_rows(spark, sf_dir)
+        obs = tv.staged_observations(spark, sf_dir)
+        rows = FL.all_nonnegative(PR.composite_key(obs, TEST_OBS.key), TEST_OBS.volumes)
         mpath = E.save_mapping(E.fit(rows, CATS), scratch_path(spark, "mapping"))
         mapping = E.load_mapping(spark, mpath)
         kk = E.width(mapping)
         models = spark.read.parquet(M.save(M.rule_models(spark, kk), scratch_path(spark, "models")))
         ppath = scratch_path(spark, "profile")
-        J.profile_job(tv.observations(spark, sf_dir), tv.stations(spark, sf_dir), TEST_OBS,
+        J.profile_job(obs, tv.stations(spark, sf_dir), TEST_OBS,
                       TEST_STATION, out=ppath, eager=True)
         _STREAM_STAGE[k] = {"mapping": mapping, "models": models,
                             "profile": spark.read.parquet(ppath)}

@@ -69,6 +69,16 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
 _STAGED: dict[tuple, str] = {}
 
 
+def staged_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The observation view materialised once (Parquet table in the shared
+    folder) for plans that read it several times."""
+    from ..session import materialize
+    k = (spark.sparkContext.applicationId, sf_dir, "obs")
+    if k not in _STAGED:
+        _STAGED[k] = materialize(observations(spark, sf_dir), "obs")
+    return _STAGED[k]
+
+
 def staged_obs_csv(spark: SparkSession, sf_dir: str) -> str:
     """Observations written once per session as quoted CSV with a header
     (every part file repeats the header), below the shared scratch folder."""
@@ -76,6 +86,6 @@ def staged_obs_csv(spark: SparkSession, sf_dir: str) -> str:
     from ..session import scratch_path
     k = (spark.sparkContext.applicationId, sf_dir)
     if k not in _STAGED:
-        _STAGED[k] = sinks.write_csv(observations(spark, sf_dir), scratch_path(spark, "obs-csv"),
+        _STAGED[k] = sinks.write_csv(staged_observations(spark, sf_dir), scratch_path(spark, "obs-csv"),
                                      header=True, quote_all=True)
     return _STAGED[k]

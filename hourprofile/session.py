@@ -66,3 +66,12 @@ def local_path(path: str) -> str:
         while path.startswith("//"):
             path = path[1:]
     return os.path.abspath(path)
+
+
+def materialize(df, name: str):
+    """Cut lineage by writing ``df`` as a Parquet table below the shared
+    scratch folder and reading it back (columnar, pruned, survives executor
+    loss, unlike a local checkpoint)."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

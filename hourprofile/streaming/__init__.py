@@ -18,6 +18,7 @@ from .. import sinks
 from .. import sources as S
 from ..operators import messages as MS
 from ..operators import score as SC
+from ..session import materialize
 from ..spec import RESULT_COLUMNS, ObsSpec
 
 
@@ -127,7 +128,8 @@ def compact_upserted(spark: SparkSession, changelog: str, key: str = "sid") -> s
     if snap is not None:
         upto = snap.agg(F.max("epoch")).first()[0]
         log = snap.unionByName(log.where(F.col("epoch") > F.lit(upto)))
-    folded = _newest(log, key).checkpoint(eager=True)  # cut the read of the old snapshot
+    # written aside first: the new snapshot must not be read while it is replaced
+    folded = materialize(_newest(log, key), "upsert-snapshot")
     folded.write.mode("overwrite").parquet(_snapshot_path(changelog))
     return _snapshot_path(changelog)
 
