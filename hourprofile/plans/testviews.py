@@ -86,6 +86,8 @@ def staged_obs_csv(spark: SparkSession, sf_dir: str) -> str:
     from ..session import scratch_path
     k = (spark.sparkContext.applicationId, sf_dir)
     if k not in _STAGED:
-        _STAGED[k] = sinks.write_csv(staged_observations(spark, sf_dir), scratch_path(spark, "obs-csv"),
+        # files hash-partitioned by observation date, like daily drops
+        obs = staged_observations(spark, sf_dir).repartition(8, "date")
+        _STAGED[k] = sinks.write_csv(obs, scratch_path(spark, "obs-csv"),
                                      header=True, quote_all=True)
     return _STAGED[k]
