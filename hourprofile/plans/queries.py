@@ -20,7 +20,7 @@ from ..operators import model as M
 from ..operators import score as SC
 from ..operators import profile as P
 from ..operators import project as PR
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..spec import RESULT_COLUMNS, TEST_OBS, TEST_RESULT_FIELDS, TEST_STATION
 from .. import streaming as ST
 from . import jobs as J
@@ -166,16 +166,16 @@ def mapping_json_import(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def encoded_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One-hot position of every categorical of every training row."""
-    rows = training_rows(spark, sf_dir)
-    enc = E.apply(rows, E.fit(rows, CATS), CATS, on_unseen="fail")
+    enc, _, _ = _encoded(spark, sf_dir)
     return enc.select("id", "date", *[f"pos_{c}" for c in CATS])
 
 
 @register
 def encoded_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Levels fitted on the first half-month, applied to all rows; unseen -> null."""
-    rows = training_rows(spark, sf_dir)
-    mapping = E.fit(rows.where(F.col("date") < F.lit(TRAIN_WINDOW_END)), CATS)
+    # the rows feed the fit and the encoding: one table instead of two scans
+    rows = materialize(training_rows(spark, sf_dir), "train-rows")
+    mapping = E.fit(rows.where(F.col("date") < F.lit(TRAIN_WINDOW_END)), CATS, materialize=False)
     enc = E.apply(rows, mapping, CATS, on_unseen="null")
     return enc.select("id", "date", *[f"pos_{c}" for c in CATS])
 
@@ -185,9 +185,9 @@ SCORE_HOUR = 8  # hour injected in place of the wall clock in every scoring quer
 
 
 def _encoded(spark: SparkSession, sf_dir: str):
-    """Training rows encoded once: the mapping is saved as a table and read
-    back, the encoded rows are checkpointed in the shared folder (lineage cut,
-    so the Gram passes and solvers never re-run the encoder plan)."""
+    """Training rows encoded once: the rows are written as a table in the
+    shared folder (lineage cut), the mapping is saved and read back, so the
+    Gram passes and solvers never re-run the scan and aggregation upstream."""
     return J.encode_training(spark, training_rows(spark, sf_dir), TEST_OBS,
                              keep=("id", "date"))
 
