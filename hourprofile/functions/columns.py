@@ -79,6 +79,14 @@ def without_hour(array_col, hour_col) -> Column:
     return F.filter(_col(array_col), lambda x, i: i != h)
 
 
+def feature_at(array_col, hour_col, m: int) -> Column:
+    """Element ``m`` of ``without_hour(array, hour)`` without a lambda (stays in
+    generated code): index ``m`` below the hour, ``m + 1`` from it on."""
+    h = hour_col if isinstance(hour_col, Column) else F.lit(int(hour_col))
+    return F.element_at(_col(array_col),
+                        F.lit(m + 1) + F.when(F.lit(m) >= h, F.lit(1)).otherwise(F.lit(0)))
+
+
 def level(volume, historical) -> Column:
     """High above twice the history, Low below half of it, Medium otherwise.
 

@@ -288,21 +288,35 @@ def load(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------ scoring
 def predict(design_df: DataFrame, models: DataFrame, hour, back_transform: bool = True,
-            out: str = "predicted") -> DataFrame:
+            out: str = "predicted", n_positions: int | None = None) -> DataFrame:
     """Add the prediction of the hour's model: ``intercept + sum coef[pos] +
     sum coef * log features``; ``exp`` of it when ``back_transform`` (the log
-    offset is not subtracted). The 24-row model table is broadcast."""
+    offset is not subtracted). The 24-row model table is broadcast.
+
+    With ``n_positions`` (the number of categorical fields) the sums are
+    written out term by term with ``element_at`` -- fully inside generated
+    code; without it, array lambdas (``aggregate``/``zip_with``) evaluate
+    them. Both add left to right, so the results are identical.
+    """
     h = hour if isinstance(hour, Column) else F.lit(int(hour))
     m = bounded_broadcast(models.select(F.col("hour").alias("_mh"), "intercept", "coef"),
                           known_rows=24)
     df = design_df.join(m, h == F.col("_mh"))
     coef = F.col("coef")
     k = F.size(coef) - F.lit(23)
-    cat = F.aggregate(F.col("positions"), F.lit(0.0),
-                      lambda acc, p: acc + F.element_at(coef, p + 1))
-    _, feats = label_and_features(F.col("logs"), h)
-    vol = F.aggregate(F.zip_with(F.slice(coef, k + 1, 23), feats, lambda c, x: c * x),
-                      F.lit(0.0), lambda acc, t: acc + t)
+    if n_positions is not None:
+        cat = F.lit(0.0)
+        for i in range(n_positions):
+            cat = cat + F.element_at(coef, F.col("positions")[i] + 1)
+        vol = F.lit(0.0)
+        for m in range(23):
+            vol = vol + F.element_at(coef, k + F.lit(m + 1)) * C.feature_at(F.col("logs"), h, m)
+    else:
+        cat = F.aggregate(F.col("positions"), F.lit(0.0),
+                          lambda acc, p: acc + F.element_at(coef, p + 1))
+        _, feats = label_and_features(F.col("logs"), h)
+        vol = F.aggregate(F.zip_with(F.slice(coef, k + 1, 23), feats, lambda c, x: c * x),
+                          F.lit(0.0), lambda acc, t: acc + t)
     raw = F.col("intercept") + cat + vol
     return df.withColumn(out, F.exp(raw) if back_transform else raw).drop(
         "_mh", "intercept", "coef")

@@ -62,7 +62,7 @@ def score(records: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mapping:
         F.col(fields["direction"]).alias("direction"),
         F.col(fields["roadtype"]).alias("roadtype"),
         C.at_hour(F.array(*[C.to_number(v, "int") for v in spec.volumes]), h).alias("volume")])
-    pred = model.predict(d, models, h).drop("positions", "logs")
+    pred = model.predict(d, models, h, n_positions=len(spec.categoricals)).drop("positions", "logs")
     joined = attach_profile(pred, profile, h, profile_rows=profile_rows)
     return result_columns(joined, keep)
 

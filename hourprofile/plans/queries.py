@@ -197,9 +197,10 @@ def log_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label = log volume of the scoring hour; features = the other 23 hours."""
     rows = training_rows(spark, sf_dir)
     logs = F.array(*[FN.log_volume(v) for v in TEST_OBS.volumes])
-    label, feats = M.label_and_features(logs, SCORE_HOUR)
+    label = FN.at_hour(logs, SCORE_HOUR)
     return rows.select("id", "date", F.round(label, 6).alias("label"),
-                       *[F.round(feats[m], 6).alias(f"f{m:02d}") for m in range(23)])
+                       *[F.round(FN.feature_at(logs, SCORE_HOUR, m), 6).alias(f"f{m:02d}")
+                         for m in range(23)])
 
 
 @register
@@ -227,7 +228,7 @@ def predict_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction of the scoring hour's model (deterministic coefficient table)."""
     enc, _, k = _encoded(spark, sf_dir)
     d = M.design(enc, CATS, TEST_OBS.volumes, keep=("id", "date"))
-    p = M.predict(d, M.rule_models(spark, k), SCORE_HOUR)
+    p = M.predict(d, M.rule_models(spark, k), SCORE_HOUR, n_positions=len(CATS))
     return p.select("id", "date", F.round("predicted", 6).alias("predicted"))
 
 

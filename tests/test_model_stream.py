@@ -69,6 +69,9 @@ def test_models_save_load_and_predict(spark, encoded, tmp):
     assert back.count() == 24 and len(back.first()["coef"]) == k + 23
     d = M.design(enc, CATS, TEST_OBS.volumes, keep=("id", "date"))
     p = M.predict(d, back, 3).select("id", "date", "positions", "logs", "predicted").first()
+    explicit = M.predict(d, back, 3, n_positions=len(CATS))
+    lam = M.predict(d, back, 3)
+    assert explicit.exceptAll(lam).count() == 0
     coef = [((q % 5) - 2) / 64 for q in range(k)] + [((m % 4) + 1) / 128 for m in range(23)]
     logs = list(p["logs"])
     feats = logs[:3] + logs[4:]
