@@ -13,7 +13,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import encode as E
 from ..operators import filters as FL
@@ -67,7 +66,3 @@ def train_job(spark: SparkSession, obs_raw: DataFrame, spec: ObsSpec, out_dir: s
     models = M.fit(spark, g, k, solver=solver, iterations=iterations, step=step)
     mpath = M.save(models, f"{out_dir.rstrip('/')}/models")
     return mapping, M.load(spark, mpath)
-
-
-def hour_of(hour) -> F.Column:
-    return F.lit(int(hour)) if hour is not None else F.hour(F.current_timestamp())

@@ -303,6 +303,8 @@ FROM obs o JOIN prof p ON p.id = o.id"""
         f"SELECT {MSG_KEY_SQL} AS key, to_json([{rec}]) AS value FROM obs_s")
     q["message_decode"] = with_ctes(OBS_CTES, _obs_strings()) + (
         f"SELECT {MSG_KEY_SQL} AS key, {rec}, false AS corrupt FROM obs_s")
+    q["message_decode_failfast"] = q["message_decode"]
+    q["message_array_decode"] = q["message_decode"]
     nulled = ", ".join(f"CASE WHEN direction = 'error' THEN NULL ELSE {c} END AS {c}" for c in OBS_RECORD)
     q["message_decode_bad"] = with_ctes(OBS_CTES, _obs_strings()) + (
         f"SELECT {MSG_KEY_SQL} AS key, {nulled}, direction = 'error' AS corrupt FROM obs_s")

@@ -299,6 +299,18 @@ def message_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MS.decode(msgs, TEST_OBS.schema())
 
 
+@register
+def message_decode_failfast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FAILFAST decoding of well-formed messages (a malformed one fails the query)."""
+    return MS.decode(_messages(spark, sf_dir), TEST_OBS.schema(), mode="FAILFAST")
+
+
+@register
+def message_array_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON-array messages (raw fields by position) decoded to typed rows."""
+    return MS.decode(_messages(spark, sf_dir, shape="array"), TEST_OBS.schema(), shape="array")
+
+
 @register
 def message_decode_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Malformed messages (every 'error'-direction message truncated by one

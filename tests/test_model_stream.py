@@ -172,6 +172,13 @@ def test_plan_guards(spark):
         .executedPlan().toString()
     assert "PushedFilters: [IsNotNull(value), GreaterThan(value,1.0)]" in txt
     assert "ReadSchema: struct<user_id:bigint,value:double>" in txt
+    mapping, models, profile = Q._scoring_inputs(spark, SF_SMALL)
+    scored = SC.score(tv.observations(spark, SF_SMALL), TEST_OBS, TEST_RESULT_FIELDS, mapping,
+                      models, profile, 8)
+    scored.collect()
+    splan = scored._jdf.queryExecution().executedPlan().toString()
+    assert "PythonUDF" not in splan and "ArrowEvalPython" not in splan
+    assert splan.count("BroadcastHashJoin") >= 3  # mapping fields, models, profile
     lookup = Q.profile_lookup(spark, SF_SMALL)
     lookup.collect()
     assert "BroadcastHashJoin" in _plan(lookup) or "BroadcastHashJoin" in lookup._jdf.queryExecution() \
