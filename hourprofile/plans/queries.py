@@ -332,7 +332,8 @@ def _published(spark: SparkSession, sf_dir: str) -> str:
     if k not in _STREAM_STAGE:
         out = scratch_path(spark, "topic")
         q = ST.publish(spark, tv.staged_obs_csv(spark, sf_dir), TEST_OBS, out,
-                       scratch_path(spark, "publish-ckpt"), key=MSG_KEY, max_files=2)
+                       scratch_path(spark, "publish-ckpt"), key=MSG_KEY,
+                       max_files=tv.files_per_trigger(spark))
         q.awaitTermination()
         _STREAM_STAGE[k] = {"out": out}
     return _STREAM_STAGE[k]["out"]
@@ -361,7 +362,7 @@ def _scored_stream(spark: SparkSession, sf_dir: str):
     k = (spark.sparkContext.applicationId, sf_dir, "scored")
     if k not in _STREAM_STAGE:
         mapping, models, profile = _scoring_inputs(spark, sf_dir)
-        msgs = S.stream_json_messages(spark, _published(spark, sf_dir), max_files=3)
+        msgs = S.stream_json_messages(spark, _published(spark, sf_dir), max_files=tv.files_per_trigger(spark, 3))
         out = scratch_path(spark, "scored")
         q = ST.score_stream(spark, msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile,
                             out, scratch_path(spark, "score-ckpt"), hour=SCORE_HOUR)
@@ -390,7 +391,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored stream folded per sid in streaming state: first row (by date,
     lane) wins every column but current, the last row wins current."""
     mapping, models, profile = _scoring_inputs(spark, sf_dir)
-    msgs = S.stream_json_messages(spark, _published(spark, sf_dir), max_files=3)
+    msgs = S.stream_json_messages(spark, _published(spark, sf_dir), max_files=tv.files_per_trigger(spark, 3))
     rows = ST.scored(msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile,
                      hour=SCORE_HOUR, metrics=None)
     log = scratch_path(spark, "upsert-log")

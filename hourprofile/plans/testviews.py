@@ -79,6 +79,16 @@ def staged_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _STAGED[k]
 
 
+def stage_parts(spark: SparkSession) -> int:
+    """Number of staged files: the session's shuffle partitions, at least 8."""
+    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+def files_per_trigger(spark: SparkSession, batches: int = 4) -> int:
+    """``maxFilesPerTrigger`` giving about ``batches`` micro-batches over the staged files."""
+    return -(-stage_parts(spark) // batches)
+
+
 def staged_obs_csv(spark: SparkSession, sf_dir: str) -> str:
     """Observations written once per session as quoted CSV with a header
     (every part file repeats the header), below the shared scratch folder."""
@@ -86,8 +96,10 @@ def staged_obs_csv(spark: SparkSession, sf_dir: str) -> str:
     from ..session import scratch_path
     k = (spark.sparkContext.applicationId, sf_dir)
     if k not in _STAGED:
-        # files hash-partitioned by observation date, like daily drops
-        obs = staged_observations(spark, sf_dir).repartition(8, "date")
+        # several files (a stream reads them a few per trigger), hashed on
+        # (date, station) so a hot day or station spreads over many tasks; the
+        # count follows the session's shuffle partitions, at least 8
+        obs = staged_observations(spark, sf_dir).repartition(stage_parts(spark), "date", "station_id")
         _STAGED[k] = sinks.write_csv(obs, scratch_path(spark, "obs-csv"),
                                      header=True, quote_all=True)
     return _STAGED[k]
