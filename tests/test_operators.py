@@ -176,3 +176,14 @@ def test_upsert_fold_first_and_latest(spark):
     # replaying rows already folded leaves the result unchanged
     again = SC.upsert_fold(df.unionByName(df), "sid", "seq")
     assert again.exceptAll(SC.upsert_fold(df, "sid", "seq")).count() == 0
+
+
+def test_mapping_json_import_of_dumped_format(spark, tmp):
+    # the layout a Python json.dump of a list of dicts produces: quoted keys,
+    # spaces after separators, fields in order
+    text = '[{"\\"07\\"": 1, "\\"23\\"": 0}, {"\\"North\\"": 0}]'
+    with open(tmp + "/mapping.txt", "w") as fh:
+        fh.write(text)
+    m = E.load_mapping_json(spark, tmp + "/mapping.txt", ["day_of_data", "direction"])
+    got = sorted((r["field"], r["value"], r["idx"], r["offset"]) for r in m.collect())
+    assert got == [("day_of_data", "07", 1, 0), ("day_of_data", "23", 0, 0), ("direction", "North", 0, 2)]
