@@ -87,7 +87,7 @@ def gram(design_df: DataFrame, k: int) -> DataFrame:
 
 
 EXACT_GRAM_SCHEMA = "i INT, j INT, s DECIMAL(38,12)"
-_CHUNK = 16384  # rows per int64 partial: 2^14 x (2^24 * 2^24) stays below 2^63
+_INT64_BUDGET = 1 << 62  # an int64 partial holds rows x max|z|^2 up to this
 
 
 def quantised_logs(volumes: Sequence[str]) -> Column:
@@ -102,8 +102,9 @@ def gram_exact(design_q: DataFrame, k: int) -> DataFrame:
     ``design_q`` has ``positions ARRAY<INT>`` and ``qlogs ARRAY<BIGINT>``
     (``quantised_logs``). Every entry of ``z`` is an integer number of
     micro-units, so each partition's partial is an exact integer matrix:
-    int64 products over chunks of at most 16,384 rows (|log| < 16.7 keeps
-    every product below 2^48), accumulated in Python integers. Partials are
+    int64 products over chunks sized from the batch's largest magnitude so
+    that rows x max|z|^2 stays below 2^62 (logs of any BIGINT volume keep a
+    chunk above 1,000 rows), accumulated in Python integers. Partials are
     summed as DECIMAL(38,12) by a ``groupBy(i, j)``: the result does not depend
     on partitioning or order. Shuffle: partitions x (K+25)^2 / 2 rows.
     """
@@ -114,16 +115,18 @@ def gram_exact(design_q: DataFrame, k: int) -> DataFrame:
         from decimal import Decimal
         acc = None
         for pdf in batches:
-            for s in range(0, len(pdf), _CHUNK):
-                part = pdf.iloc[s:s + _CHUNK]
+            if len(pdf) == 0:
+                continue
+            qall = np.stack(pdf["qlogs"].to_numpy()).astype(np.int64)
+            big = max(unit, int(np.abs(qall).max(initial=0)))
+            chunk = max(1, _INT64_BUDGET // (big * big))
+            for s in range(0, len(pdf), chunk):
+                part = pdf.iloc[s:s + chunk]
                 n = len(part)
                 z = np.zeros((n, width), dtype=np.int64)
                 pos = np.stack(part["positions"].to_numpy()).astype(np.int64)
                 z[np.repeat(np.arange(n), pos.shape[1]), pos.ravel()] = unit
-                q = np.stack(part["qlogs"].to_numpy()).astype(np.int64)
-                if np.abs(q).max(initial=0) >= (1 << 24):
-                    raise ValueError("log volume outside the exact Gram range")
-                z[:, k:k + 24] = q
+                z[:, k:k + 24] = qall[s:s + n]
                 z[:, k + 24] = unit
                 g = (z.T @ z).astype(object)
                 acc = g if acc is None else acc + g

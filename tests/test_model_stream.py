@@ -42,6 +42,17 @@ def test_gram_pass_equals_block_gram(spark, encoded):
     assert np.allclose(g, gb, rtol=1e-6, atol=1e-5 * n)
 
 
+def test_exact_gram_large_values(spark):
+    """Huge volumes (log ~ 40) still sum exactly: chunks shrink, no overflow."""
+    from decimal import Decimal
+    rows = [([0, 1], [int(40_123_456 - r)] + [0] * 23) for r in range(3000)]
+    df = spark.createDataFrame(rows, "positions array<int>, qlogs array<bigint>").repartition(2)
+    g = {(r["i"], r["j"]): r["g"] for r in M.gram_exact(df, 2).collect()}
+    exact = sum(Decimal(40_123_456 - r) ** 2 for r in range(3000)) * Decimal("1e-12")
+    assert g[(2, 2)] == float(round(exact, 6))
+    assert g[(0, 0)] == 3000.0 and g[(26, 26)] == 3000.0
+
+
 def test_gd_matches_mllib_sgd(spark, encoded):
     from pyspark.mllib.regression import LabeledPoint, LinearRegressionWithSGD
     enc, _, k = encoded
