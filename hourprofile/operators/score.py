@@ -42,6 +42,17 @@ def result_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     ).select(*keep, *RESULT_COLUMNS)
 
 
+def with_point(result: DataFrame, order: str = "lonlat", srid: int = 4326) -> DataFrame:
+    """Add ``geom`` (WKT point) and ``srid`` to result rows, for tables that
+    keep a geometry. ``order="latlon"`` reproduces the legacy job, which put the
+    latitude first; ``lonlat`` is the x=longitude convention."""
+    lon = F.lit(0.0) - F.col("longitude")  # result longitude is west-positive
+    x, y = (lon, F.col("latitude")) if order == "lonlat" else (F.col("latitude"), lon)
+    if order not in ("lonlat", "latlon"):
+        raise ValueError(f"unknown order {order!r}")
+    return result.withColumn("geom", C.point_wkt(x, y)).withColumn("srid", F.lit(srid))
+
+
 def score(records: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mapping: DataFrame,
           models: DataFrame, profile: DataFrame, hour, on_unseen: str = "skip",
           keep: Sequence[str] = (), profile_rows: int | None = None,

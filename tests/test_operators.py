@@ -187,3 +187,11 @@ def test_mapping_json_import_of_dumped_format(spark, tmp):
     m = E.load_mapping_json(spark, tmp + "/mapping.txt", ["day_of_data", "direction"])
     got = sorted((r["field"], r["value"], r["idx"], r["offset"]) for r in m.collect())
     assert got == [("day_of_data", "07", 1, 0), ("day_of_data", "23", 0, 0), ("direction", "North", 0, 2)]
+
+
+def test_result_point_orders(spark):
+    df = spark.createDataFrame([(40.25, 105.5)], "latitude double, longitude double")
+    a = SC.with_point(df).first()
+    b = SC.with_point(df, order="latlon").first()
+    assert a["geom"] == "POINT(-105.5 40.25)" and a["srid"] == 4326
+    assert b["geom"] == "POINT(40.25 -105.5)"
