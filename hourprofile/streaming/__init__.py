@@ -70,6 +70,57 @@ def score_stream(spark: SparkSession, messages: DataFrame, spec: ObsSpec,
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def score_stream_with_quarantine(spark: SparkSession, messages: DataFrame, spec: ObsSpec,
+                                 fields: Mapping[str, str], mapping: DataFrame,
+                                 models: DataFrame, profile: DataFrame, out: str,
+                                 quarantine: str, checkpoint: str, hour=None,
+                                 trigger: dict | None = None,
+                                 keep: Sequence[str] = ("date",)) -> StreamingQuery:
+    """Like ``score_stream``, and every rejected message is kept: corrupt JSON,
+    a negative or missing volume, or a category the mapping does not know.
+
+    One pass per micro-batch (``foreachBatch``): the decoded batch is
+    persisted, scored rows go to ``out/epoch=<n>``, rejected rows with a
+    ``reason`` go to ``quarantine/epoch=<n>``; both overwrite their epoch
+    folder, so a replayed epoch is idempotent.
+    """
+    from ..functions import columns as C
+    from ..operators import encode as E
+    from ..operators import filters as FL
+
+    profile_rows, mapping_rows = profile.count(), mapping.count()
+    dec = decoded(messages, spec)
+    h_fixed = hour
+
+    def write_epoch(batch: DataFrame, epoch: int) -> None:
+        batch = batch.persist()
+        try:
+            reason = F.when(F.col("corrupt"), F.lit("corrupt")).otherwise(
+                FL.nonnegative_reason(spec.volumes))
+            tagged = batch.withColumn("reason", reason)
+            # unseen categories: encode with nulls, any null position rejects the row
+            enc = E.apply(tagged.where(F.col("reason") == "ok").drop("reason", "corrupt"),
+                          mapping, spec.categoricals, on_unseen="null", known_levels=mapping_rows,
+                          prefix="_q_")
+            unseen = F.lit(False)
+            for c in spec.categoricals:
+                unseen = unseen | F.col(f"_q_{c}").isNull()
+            enc = enc.withColumn("reason", F.when(unseen, F.lit("unseen")).otherwise(F.lit("ok")))
+            good = enc.where(F.col("reason") == "ok").drop("reason", *[f"_q_{c}" for c in spec.categoricals])
+            h = F.hour(F.current_timestamp()) if h_fixed is None else h_fixed
+            SC.score(good, spec, fields, mapping, models, profile, h, keep=keep,
+                     profile_rows=profile_rows, mapping_rows=mapping_rows) \
+                .write.mode("overwrite").parquet(f"{out.rstrip('/')}/epoch={epoch}")
+            bad = tagged.where(F.col("reason") != "ok").drop("corrupt").unionByName(
+                enc.where(F.col("reason") == "unseen").drop(*[f"_q_{c}" for c in spec.categoricals]))
+            bad.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/epoch={epoch}")
+        finally:
+            batch.unpersist()
+
+    w = dec.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
 def upsert_stream(scored_rows: DataFrame, changelog: str, checkpoint: str, key: str = "sid",
                   seq: Sequence[str] = ("date", "lanes"), policy: str = "first",
                   trigger: dict | None = None) -> StreamingQuery:

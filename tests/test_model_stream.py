@@ -210,3 +210,29 @@ def test_train_job_end_to_end(spark, tmp):
                          out=tmp + "/profile")
     assert prof.count() == P.profile(obs, tv.stations(spark, SF_SMALL), TEST_OBS,
                                      Q.TEST_STATION).count()
+
+
+def test_score_stream_quarantine(spark, tmp):
+    mapping, models, profile = Q._scoring_inputs(spark, SF_SMALL)
+    obs = tv.observations(spark, SF_SMALL)
+    msgs = MS.encode(obs, key=list((*TEST_OBS.key, "date")))
+    first = msgs.orderBy("key").limit(3).collect()
+    good_n = msgs.count()
+    import re
+    bad_rows = [("bad1", first[0]["value"][:-1]),
+                ("neg", re.sub(r'"v08":"[0-9]+"', '"v08":"-5"', first[1]["value"])),
+                ("unseen", first[2]["value"].replace('"direction":"', '"direction":"zz'))]
+    spark.createDataFrame(bad_rows, "key string, value string").unionByName(msgs) \
+        .write.json(tmp + "/topic")
+    src = S.stream_json_messages(spark, tmp + "/topic")
+    ST.score_stream_with_quarantine(spark, src, TEST_OBS, TEST_RESULT_FIELDS, mapping, models,
+                                    profile, tmp + "/out", tmp + "/q", tmp + "/ck",
+                                    hour=8).awaitTermination()
+    q = {r["key"]: r["reason"] for r in spark.read.parquet(tmp + "/q").collect()}
+    assert q == {"bad1": "corrupt", "neg": "negative", "unseen": "unseen"}
+    got = spark.read.parquet(tmp + "/out").drop("epoch")
+    good = MS.quarantine(MS.decode(msgs, TEST_OBS.schema()))[0]
+    expect = SC.score(good, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile, 8,
+                      keep=("date",)).select(*got.columns)
+    assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
+    assert got.count() > 0 and good_n > 0
