@@ -158,13 +158,13 @@ def execute_jdbc(spark, options: dict, statements: Sequence[str]) -> None:
 
 
 def ensure_table(spark, table: str, schema: T.StructType, key: Sequence[str], options: dict) -> None:
-    """Create the keyed result table once if it does not exist."""
+    """Create the keyed result table once if it does not exist (resolving the
+    table's schema through the reader fails when it is absent)."""
+    read = spark.read.format("jdbc").option("dbtable", table)
+    for k, v in options.items():
+        read = read.option(k, v)
     try:
-        read = spark.read.format("jdbc").option("dbtable", table)
-        for k, v in options.items():
-            read = read.option(k, v)
-        read.schema  # noqa: B018 - resolves the table, raises when absent
-        read.load().schema  # noqa: B018
+        read.load().schema  # noqa: B018 - a metadata query only, no rows
     except Exception:
         execute_jdbc(spark, options, [create_table_sql(table, schema, key)])
 
