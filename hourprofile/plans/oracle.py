@@ -23,7 +23,7 @@ def _lst(items, sep=",\n  "):
 # Wide observations, volumes kept numeric (BIGINT cents).
 OBS_CTES = f"""ev AS (
   SELECT user_id, event_type, CAST(ts AS DATE) AS day,
-  {_lst(f"SUM(CASE WHEN hour(ts) = {h} THEN CAST(round(value * 100) AS BIGINT) ELSE 0 END) AS {v}" for h, v in zip(HOURS, V))}
+  {_lst(f"CAST(SUM(CASE WHEN hour(ts) = {h} THEN CAST(round(value * 100) AS BIGINT) ELSE 0 END) AS BIGINT) AS {v}" for h, v in zip(HOURS, V))}
   FROM events GROUP BY user_id, event_type, CAST(ts AS DATE)
 ), obs AS (
   SELECT CAST(day AS VARCHAR) AS date,
@@ -300,7 +300,7 @@ FROM obs o JOIN prof p ON p.id = o.id"""
     q["message_encode"] = with_ctes(OBS_CTES, _obs_strings()) + (
         f"SELECT {MSG_KEY_SQL} AS key, {_obj_json(OBS_RECORD)} AS value FROM obs_s")
     q["message_array"] = with_ctes(OBS_CTES, _obs_strings()) + (
-        f"SELECT {MSG_KEY_SQL} AS key, to_json([{rec}]) AS value FROM obs_s")
+        f"SELECT {MSG_KEY_SQL} AS key, CAST(to_json([{rec}]) AS VARCHAR) AS value FROM obs_s")
     q["message_decode"] = with_ctes(OBS_CTES, _obs_strings()) + (
         f"SELECT {MSG_KEY_SQL} AS key, {rec}, false AS corrupt FROM obs_s")
     q["message_decode_failfast"] = q["message_decode"]

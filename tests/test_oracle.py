@@ -22,6 +22,19 @@ def test_every_query_has_oracle_or_is_documented():
     assert set(SQL) <= set(QUERIES)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "date": "DATE"}
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_oracle_column_types_match(spark, con, name):
+    df = QUERIES[name](spark, SF_SMALL)
+    ours = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+            for f in df.schema.fields}
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    assert ours == theirs
+
+
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, con, name, QUERIES[name], SQL.get(name), SF_SMALL)
