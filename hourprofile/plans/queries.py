@@ -232,15 +232,16 @@ def predict_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("id", "date", F.round("predicted", 6).alias("predicted"))
 
 
-def _live(spark: SparkSession, sf_dir: str) -> DataFrame:
-    obs = tv.observations(spark, sf_dir).withColumn("sid", FN.composite_key(TEST_OBS.key))
+def _live(spark: SparkSession, sf_dir: str, obs: DataFrame | None = None) -> DataFrame:
+    obs = (obs if obs is not None else tv.observations(spark, sf_dir)) \
+        .withColumn("sid", FN.composite_key(TEST_OBS.key))
     vols = F.array(*[FN.to_number(v, "int") for v in TEST_OBS.volumes])
     return obs.select("sid", "date", FN.at_hour(vols, SCORE_HOUR).alias("volume"))
 
 
-def _profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return P.profile(tv.observations(spark, sf_dir), tv.stations(spark, sf_dir),
-                     TEST_OBS, TEST_STATION, eager=True)
+def _profile(spark: SparkSession, sf_dir: str, obs: DataFrame | None = None) -> DataFrame:
+    obs = obs if obs is not None else tv.observations(spark, sf_dir)
+    return P.profile(obs, tv.stations(spark, sf_dir), TEST_OBS, TEST_STATION, eager=True)
 
 
 @register
@@ -252,14 +253,16 @@ def at_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def profile_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each record looked up in the profile: one row per matching lane."""
-    j = SC.attach_profile(_live(spark, sf_dir), _profile(spark, sf_dir), SCORE_HOUR)
+    obs = tv.staged_observations(spark, sf_dir)  # read twice: profile and live rows
+    j = SC.attach_profile(_live(spark, sf_dir, obs), _profile(spark, sf_dir, obs), SCORE_HOUR)
     return j.select("sid", "date", "lanes", "volume", "historical")
 
 
 @register
 def level(spark: SparkSession, sf_dir: str) -> DataFrame:
     """High / Medium / Low against the historical average of the hour."""
-    j = SC.attach_profile(_live(spark, sf_dir), _profile(spark, sf_dir), SCORE_HOUR)
+    obs = tv.staged_observations(spark, sf_dir)  # read twice: profile and live rows
+    j = SC.attach_profile(_live(spark, sf_dir, obs), _profile(spark, sf_dir, obs), SCORE_HOUR)
     return j.select("sid", "date", "lanes", "volume", "historical",
                     FN.level("volume", "historical").alias("level"))
 
