@@ -7,8 +7,6 @@ Prints one line per query: rows, column match, exact and tolerant value match.
 from __future__ import annotations
 
 import math
-import sys
-import os
 import os
 import sys
 import time
