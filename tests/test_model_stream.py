@@ -178,6 +178,9 @@ def test_plan_guards(spark):
     prof = Q.hourly_profile_eager(spark, SF_SMALL)
     plan = _plan(prof)
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    # the events scan reads only the four columns the profile needs
+    assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,event_type:string,value:double>" in plan
+    assert "partial_avg" in plan and "partial_sum" in plan
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     txt = ev.select("user_id", "value").where(F.col("value") > 1)._jdf.queryExecution() \
         .executedPlan().toString()
