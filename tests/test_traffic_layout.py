@@ -82,3 +82,20 @@ def test_train_and_score_on_traffic_layout(spark, layout, tmp):
                      keep=("date",))
     folded = SC.upsert_fold(dated, "sid", ["date", "lanes"]).collect()
     assert len(folded) == 1 and folded[0]["lanes"] == 1
+
+
+def test_streams_on_traffic_layout(spark, layout, tmp):
+    from hourprofile import streaming as ST
+    obs = S.read_csv(spark, layout + "/data", TRAFFIC_OBS.schema())
+    prof = J.profile_job(obs, S.read_csv(spark, layout + "/data_station"), TRAFFIC_OBS,
+                         TRAFFIC_STATION, out=tmp + "/traffic")
+    mapping, models = J.train_job(spark, obs, TRAFFIC_OBS, tmp + "/ml")
+    ST.publish(spark, layout + "/data", TRAFFIC_OBS, tmp + "/topic", tmp + "/ck1",
+               max_files=1).awaitTermination()
+    msgs = S.stream_json_messages(spark, tmp + "/topic", max_files=1)
+    rows = ST.scored(msgs, TRAFFIC_OBS, TRAFFIC_RESULT_FIELDS, mapping, models, prof, hour=7,
+                     metrics=None)
+    ST.upsert_stream(rows, tmp + "/rt", tmp + "/ck2").awaitTermination()
+    table = ST.read_upserted(spark, tmp + "/rt").collect()
+    assert len(table) == 1 and table[0]["sid"] == "08_000101_North" and table[0]["lanes"] == 1
+    assert table[0]["level"] in ("High", "Medium", "Low")
