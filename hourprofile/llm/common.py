@@ -79,6 +79,24 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int) -> Iterat
             at = end
 
 
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """One table per run of equal keys in rows sorted by ``key``; a run may go on
+    over several batches."""
+    open_: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = b.column(b.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        cuts = [0, *(np.flatnonzero(k[1:] != k[:-1]) + 1).tolist(), len(k)]
+        for i, j in zip(cuts, cuts[1:], strict=False):
+            if open_ and (i or open_[0].column(b.schema.get_field_index(key))[0].as_py() != k[0]):
+                yield pa.Table.from_batches(open_)
+                open_ = []
+            open_.append(b.slice(i, j - i))
+    if open_:
+        yield pa.Table.from_batches(open_)
+
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 #: Everything in ASCII but letters and digits separates words.

@@ -14,11 +14,13 @@
    component; their collisions over whole signatures are counted, pairs with
    MATCHES or more are confirmed on the full sets, and links merge components.
    The hub leaves its list, as all its pairs there are settled; lists whose
-   members share a component are done. What is open after that (texts that share
-   rare values without being near copies) is compared in blocks of ``BLOCK``
-   members, all blocks of a list against each other, each pair of blocks a row of
-   its own. So every pair of a list is either tested or inside one component, and
-   no link between components is lost.
+   members share a component are done.
+5. Open lists are then merged by the component that most of their members are in.
+   Members outside that component are compared with all, members inside only with
+   those outside, in blocks of ``BLOCK``, every two blocks a group of their own: first
+   by collisions, then on the full sets, passing over pairs that links found there
+   already connect. Only those links leave the task. So every pair of a list is
+   either tested or inside one component: no link between components is lost.
 
 Cases: null, empty and blank texts have no set (n_shingles 0) and link with
 nothing; fewer words than ``WORDS`` make one shingle of all; repeated rows are
@@ -36,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, mix, slices, table, words_of
+from .common import components, mix, runs, slices, table, words_of
 
 THRESHOLD = 80  # percent
 COORDINATES = 80
@@ -44,8 +46,8 @@ COORDINATES = 80
 #: in fewer than 48 with a probability of about ``MISS``.
 MATCHES = 48
 MISS = 1e-5
-HUB_ROUNDS = 3
-BLOCK = 64
+HUB_ROUNDS = 2
+BLOCK = 256
 
 _rng = np.random.default_rng(77)
 _A = _rng.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
@@ -151,31 +153,59 @@ def _confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
-def _open_pairs(mine: DataFrame, sigs: DataFrame) -> DataFrame:
-    """All pairs (a, b) of ``mine`` (list, n, rep, comp) in one list, in different
-    components and with enough collisions, block against block."""
-    member = F.struct("rep", "comp", "n_shingles", "signature")
-    blocks = (mine.join(sigs, "rep").withColumn("block", F.pmod(F.xxhash64("rep", "list"), F.ceil(F.col("n") / BLOCK)))
-              .groupBy("list", "block").agg(F.collect_list(member).alias("m")))
-    blocks = table(blocks, "minhash-blocks")
-    other = blocks.select("list", F.col("block").alias("block2"), F.col("m").alias("m2"))
+def _group(rows: pa.Table):
+    """Links that connect the similar members of one group; each merge is one link."""
+    reps, comps, sizes = (rows.column(c).to_numpy() for c in ("rep", "comp", "n_shingles"))
+    minor = rows.column("minor").to_numpy()
+    sigs = np.array(rows.column("signature").combine_chunks().values).reshape(len(reps), -1)
+    full = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("shingles")]
+    up = {int(c): int(c) for c in comps}
+
+    def root(c: int) -> int:
+        while up[c] != c:
+            up[c] = c = up[up[c]]
+        return c
+
+    for i in np.flatnonzero(minor):
+        # members outside the main component come once per pair, the others always
+        ok = (comps != comps[i]) & (~minor | (np.arange(len(reps)) > i))
+        ok &= 100 * np.minimum(sizes, sizes[i]) >= THRESHOLD * np.maximum(sizes, sizes[i])
+        at = np.flatnonzero(ok)
+        hits = (sigs[at] == sigs[i]).sum(1)
+        for j in at[hits >= MATCHES][np.argsort(-hits[hits >= MATCHES], kind="stable")]:
+            a, b = root(int(comps[i])), root(int(comps[j]))
+            if a == b:
+                continue
+            both = len(np.intersect1d(full[i], full[j], assume_unique=True))
+            if 100 * both >= THRESHOLD * (sizes[i] + sizes[j] - both):
+                up[max(a, b)] = min(a, b)
+                yield int(min(reps[i], reps[j])), int(max(reps[i], reps[j]))
+
+
+def _open_links(mine: DataFrame, sigs: DataFrame, full: DataFrame) -> DataFrame:
+    """Links between members of a list that are in different components."""
+    share = mine.groupBy("list", "comp").agg(F.count(F.lit(1)).alias("n"))
+    main = share.groupBy("list").agg(F.max(F.struct(F.col("n"), -F.col("comp"))).alias("m")).select("list", (-F.col("m.col2")).alias("main"))
+    members = mine.join(table(main, "minhash-main"), "list").select("main", "rep", "comp").distinct()
+    members = table(members.withColumn("minor", F.col("comp") != F.col("main")), "minhash-groups")
+    parts = members.groupBy("main").agg(F.ceil(F.sum(F.col("minor").cast("int")) / BLOCK).cast("int").alias("minors"),
+                                        F.ceil(F.sum((~F.col("minor")).cast("int")) / BLOCK).cast("int").alias("majors"))
+    members = members.join(table(parts.where("minors > 0"), "minhash-parts"), "main")
+    # blocks of the main component have negative numbers and only meet the others
+    h, outside = F.xxhash64("rep", "main"), F.sequence(F.lit(0), F.col("minors") - 1)
+    inside = F.when(F.col("majors") > 0, F.sequence(-F.col("majors"), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    block = F.when(F.col("minor"), F.pmod(h, "minors").cast("int")).otherwise((-1 - F.pmod(h, F.col("majors"))).cast("int"))
+    members = members.withColumn("block", block).withColumn("with", F.explode(F.when(F.col("minor"), F.concat(outside, inside)).otherwise(outside)))
+    own = members.where("minor or block <> with").withColumn("group", F.xxhash64("main", F.least("block", "with"), F.greatest("block", "with")))
+    own = own.join(sigs, "rep").join(full, "rep").select("group", "rep", "comp", "n_shingles", "minor", "block", "with", "signature", "shingles")
+    own = own.repartition("group").sortWithinPartitions("group")
 
     def run(batches):
-        for batch in batches:
-            left, right = [], []
-            for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                sx, sy = (np.array([m["signature"] for m in z], np.int64) for z in (x, y))
-                nx, ny = (np.array([m["n_shingles"] for m in z], np.int64) for z in (x, y))
-                rx, ry = (np.array([m["rep"] for m in z], np.int64) for z in (x, y))
-                cx, cy = (np.array([m["comp"] for m in z], np.int64) for z in (x, y))
-                for i in range(len(rx)):
-                    ok = ((sy == sx[i]).sum(1) >= MATCHES) & (cy != cx[i]) & (100 * np.minimum(ny, nx[i]) >= THRESHOLD * np.maximum(ny, nx[i]))
-                    left += [int(min(rx[i], r)) for r in ry[ok]]
-                    right += [int(max(rx[i], r)) for r in ry[ok]]
-            yield pa.RecordBatch.from_arrays([pa.array(left, pa.int64()), pa.array(right, pa.int64())], ["a", "b"])
-
-    both = blocks.join(other, "list").where("block <= block2").select("m", "m2")
-    return both.mapInArrow(run, "a long, b long").distinct()
+        for rows in runs(batches, "group"):
+            found = list(_group(rows))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+    return own.mapInArrow(run, "a long, b long")
 
 
 def links(sigs: DataFrame, docs: DataFrame, names: DataFrame, words: int) -> DataFrame | None:
@@ -200,12 +230,10 @@ def links(sigs: DataFrame, docs: DataFrame, names: DataFrame, words: int) -> Dat
         if still.isEmpty():
             break
         mine = table(mine.join(still, "list"), "minhash-members")
-        if turn < HUB_ROUNDS:
-            pairs = (mine.where("comp <> hub_comp").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
-            close = _colliding(pairs, sigs)
-        else:
-            close = _open_pairs(mine, sigs)
-        new = _confirmed(table(close, "minhash-close"), full)
+        if turn == HUB_ROUNDS:
+            return found.unionByName(table(_open_links(mine, sigs, full), "minhash-links"))
+        pairs = mine.where("comp <> hub_comp").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+        new = _confirmed(table(_colliding(pairs, sigs), "minhash-close"), full)
         found = table(new if found is None else found.unionByName(new), "minhash-links")
         lists = mine.where("rep <> hub").select("list", "rep")
         labels = components(found, "minhash")
