@@ -9,10 +9,11 @@ unknown class reach. A paragraph accepted so is compared with the templates of
 its family; the share of a template's word pairs that it holds must reach
 ``SIMILARITY``.
 
-A paragraph without any word of the vocabulary has no feature and is unknown by
-the model's bias alone; it is passed over before n-grams are made. Everything
-runs in DataFrame expressions; the weights (a few thousand rows, fixed by the
-templates) are broadcast.
+Texts and paragraphs without any telling word of the templates are passed over
+before n-grams are made: more than 1 - SIMILARITY of every template's word pairs
+hold such a word (checked on loading), so no template could confirm them.
+Everything runs in DataFrame expressions; the weights (a few thousand rows, fixed
+by the templates) are broadcast.
 
 Cases: null and empty texts and blank paragraphs give no rows; of equal
 probabilities the family first in order wins; repeated rows are reported each; an
@@ -21,6 +22,8 @@ empty table gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -116,7 +119,23 @@ SOUND_ALIKE = [
     "Terms of service apply to the use of this website.",
 ]
 #: Words too common to tell anything alone.
-_COMMON = "a an and any are as at be by for from in is it of on or that the this to was with you not all may".split()
+_COMMON = ("a an and any are as at be by can do either for free from has have he in is it law may not of on or other see should "
+           "terms that the this to under use version was will with work you your").split()
+
+
+def plain_words(text: str) -> list[str]:
+    return [w for w in re.split(r"[^a-z0-9]+", text.lower()) if w]
+
+
+def telling_words() -> list[str]:
+    """Words of the templates without which none can be confirmed."""
+    telling = {w for ts in TEMPLATES.values() for t in ts for w in plain_words(t)} - set(_COMMON) - set("0123456789")
+    for t in (t for ts in TEMPLATES.values() for t in ts):
+        w = [x.strip(".") for x in re.split(r"[^a-z0-9.]+", t.lower())]
+        pairs = {p for p in zip([x for x in w if x], [x for x in w if x][1:], strict=False)}
+        if sum(bool(telling & set(plain_words(" ".join(p)))) for p in pairs) <= (1 - SIMILARITY) * len(pairs):
+            raise ValueError(f"a copy of {t!r} might hold no telling word")
+    return sorted(telling)
 
 
 def words(text: Column) -> Column:
@@ -174,7 +193,6 @@ class Classifier:
         alike = top.where(F.col("family") == UNKNOWN).agg(F.max("other")).first()[0]
         self.least = max(LEAST_PROBABILITY, float(alike or 0.0))
         data.unpersist()
-        self.words = sorted({w for g in self.vocabulary for w in g.split(" ")} - set(_COMMON))
 
     def table(self, spark: SparkSession) -> DataFrame:
         """(gram, weights): fixed by the templates, a few thousand rows."""
@@ -219,8 +237,14 @@ def scan(docs: DataFrame) -> DataFrame:
     paragraph that states a licence."""
     spark = docs.sparkSession
     model = classifier(spark)
-    lines = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("paragraph", "p"))
-    near = lines.withColumn("w", words(F.col("p"))).where(F.arrays_overlap("w", F.array(*map(F.lit, model.words))))
+    telling = F.array(*map(F.lit, telling_words()))
+
+    def may_tell(column: str) -> Column:
+        return F.arrays_overlap(F.split(F.lower(column), "[^a-z0-9]+"), telling)
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(may_tell("text"))
+    lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "p"))
+    near = lines.where(may_tell("p")).withColumn("w", words(F.col("p")))
     # written, so that its row numbers, which tell repeated rows apart, stay
     near = table(near.select(F.monotonically_increasing_id().alias("row"), "doc_id", "paragraph", grams(F.col("w")).alias("grams")), "license-paragraphs")
     found = model.scored(near, ["row"]).where(F.col("other") > model.least)
