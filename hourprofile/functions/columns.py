@@ -50,14 +50,21 @@ def to_number(c, dtype: str, legacy_int_cast: bool = False) -> Column:
     """Tolerant cast: unparsable text gives null instead of failing (ANSI-safe).
 
     With ``legacy_int_cast`` integral targets accept decimals and truncate
-    toward zero, as a non-ANSI string-to-int cast did.
+    toward zero, as a non-ANSI string-to-int cast did; text, NaN, infinities and
+    what the target can't hold give null.
     """
     c = _col(c)
     if legacy_int_cast and dtype in ("int", "integer", "bigint", "long", "smallint"):
-        return c.try_cast("double").try_cast(dtype)
+        return F.coalesce(c.try_cast(dtype), c.try_cast("double").try_cast(dtype))
     return c.try_cast(dtype)
 
 
+def volume(c, dtype: str = "bigint") -> Column:
+    """The one cast of volumes, in profile, features and results alike: decimals
+    truncate toward zero, bad text and non-finite values give null."""
+    return to_number(c, dtype, True)
+
+
 def log_volume(c) -> Column:
     """``ln(v + 0.01)``; negative input gives null."""
     return F.ln(_col(c).cast("double") + F.lit(LOG_OFFSET))
@@ -105,7 +112,8 @@ def scaled_current(volume) -> Column:
     ``int(max(v + v * 0.5 * z0, 0))`` with z0 the first seeded normal draw.
     """
     v = _col(volume).cast("double")
-    return F.greatest(v + v * F.lit(0.5) * F.lit(SEED0_FIRST_NORMAL), F.lit(0.0)).cast("int")
+    current = F.greatest(v + v * F.lit(0.5) * F.lit(SEED0_FIRST_NORMAL), F.lit(0.0)).try_cast("int")
+    return F.when(v.isNotNull(), current)  # greatest() alone would make 0 of null
 
 
 def point_wkt(lon, lat) -> Column:
@@ -113,6 +121,9 @@ def point_wkt(lon, lat) -> Column:
     return F.format_string("POINT(%s %s)", _col(lon).cast("string"), _col(lat).cast("string"))
 
 
-def current_hour() -> Column:
-    """Wall-clock hour in the session time zone, evaluated once per query/batch."""
-    return F.hour(F.current_timestamp())
+def current_hour(zone: str | None = None) -> Column:
+    """Wall-clock hour, evaluated once per query/batch, in ``zone`` (such as
+    ``America/Denver``; default: the session's time zone)."""
+    if zone is None:
+        return F.hour(F.current_timestamp())
+    return F.hour(F.convert_timezone(F.current_timezone(), F.lit(zone), F.current_timestamp().cast("timestamp_ntz")))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .joins import bounded_broadcast
+from ..session import materialize
 
 MAPPING_SCHEMA = T.StructType([
     T.StructField("field_pos", T.IntegerType()),
@@ -39,43 +39,30 @@ def levels(df: DataFrame, fields: Sequence[str]) -> DataFrame:
             .distinct())
 
 
-# A dictionary up to this many levels is numbered by one window task; above it
-# the distributed numbering is used.
-SINGLE_TASK_LEVELS = 1_000_000
-
-
 def dense_index(df: DataFrame, group: str, order: str, out: str = "idx",
-                num_partitions: int | None = None, known_rows: int | None = None,
-                single_task_max: int = SINGLE_TASK_LEVELS) -> DataFrame:
-    """0-based dense position of ``order`` within ``group`` (distinct rows).
-
-    Size-checked: when the row count is within ``single_task_max`` a plain
-    ``row_number`` window numbers it (one shuffle). Above it the numbering is
-    distributed like ``zipWithIndex``: range-partition by (group, order),
-    number rows inside each partition, add the count of the same group's rows
-    in the earlier partitions. No task then holds a whole group; the
-    per-partition count table has at most partitions x groups rows and is
-    broadcast.
+                num_partitions: int | None = None) -> DataFrame:
+    """0-based dense position of ``order`` within ``group`` (distinct rows), one
+    way for every size.
+
+    Distributed like ``zipWithIndex``: range-partition by (group, order), number
+    rows inside each partition, add the count of the same group's rows in the
+    earlier partitions. The ranged rows with their partition number are written
+    once, and both the numbering and the counts read that table: two exchanges of
+    their own would sample their bounds separately. No task holds a whole group.
     """
-    n_rows = known_rows if known_rows is not None else df.count()
-    if n_rows <= single_task_max:
-        return df.withColumn(out, (F.row_number().over(
-            Window.partitionBy(group).orderBy(order)) - 1).cast("int"))
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, group, order)
-              .withColumn("_pid", F.spark_partition_id()))
+    ranged = df.repartitionByRange(num_partitions, group, order) if num_partitions else df.repartitionByRange(group, order)
+    ranged = materialize(ranged.withColumn("_pid", F.spark_partition_id()), "ranged")
     local = ranged.withColumn(
         "_lrn", F.row_number().over(Window.partitionBy("_pid", group).orderBy(order)))
     counts = ranged.groupBy("_pid", group).agg(F.count(F.lit(1)).alias("_n"))
     base = counts.select(
-        "_pid", group,
+        F.col("_pid").alias("_bpid"), F.col(group).alias("_bgroup"),
         (F.sum("_n").over(Window.partitionBy(group).orderBy("_pid")
                           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
          - F.col("_n")).alias("_base"))
-    return (local.join(F.broadcast(base), ["_pid", group])
+    return (local.join(base, (F.col("_pid") == F.col("_bpid")) & F.col(group).eqNullSafe(F.col("_bgroup")), "left")
             .withColumn(out, (F.col("_base") + F.col("_lrn") - 1).cast("int"))
-            .drop("_pid", "_lrn", "_base"))
+            .drop("_pid", "_lrn", "_base", "_bpid", "_bgroup"))
 
 
 def with_offsets(mapping: DataFrame) -> DataFrame:
@@ -87,17 +74,10 @@ def with_offsets(mapping: DataFrame) -> DataFrame:
     return mapping.join(F.broadcast(offs), "field_pos")
 
 
-def fit(df: DataFrame, fields: Sequence[str], materialize: bool = True) -> DataFrame:
-    """Fit the mapping of every field in one pass (no per-field jobs).
-
-    The distinct levels (a dictionary, small) are written once as a table so
-    the indexing jobs that follow do not re-run the scan that produced them.
-    """
-    lv = levels(df, fields)
-    if materialize:
-        from ..session import materialize as write_back
-        lv = write_back(lv, "levels")
-    m = dense_index(lv, "field_pos", "value")
+def fit(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Fit the mapping of every field in one pass (no per-field jobs); the
+    numbering writes the distinct levels once, so the source is read once."""
+    m = materialize(dense_index(levels(df, fields), "field_pos", "value"), "levels")
     return with_offsets(m).select(*MAPPING_SCHEMA.fieldNames())
 
 
@@ -116,18 +96,16 @@ def width(mapping: DataFrame) -> int:
 
 
 def apply(df: DataFrame, mapping: DataFrame, fields: Sequence[str], on_unseen: str = "fail",
-          prefix: str = "pos_", known_levels: int | None = None) -> DataFrame:
+          prefix: str = "pos_") -> DataFrame:
     """Add ``pos_<field>`` = one-hot position of each field's value.
 
     ``on_unseen``: ``fail`` raises on a value missing from the mapping (null
     included), ``skip`` drops such rows, ``null`` keeps them with a null
-    position. The mapping side is broadcast when its size is within the bound.
+    position. Whether a field's side is broadcast is left to Spark, by its bytes.
     """
     if on_unseen not in ("fail", "skip", "null"):
         raise ValueError(f"unknown unseen policy {on_unseen!r}")
-    m = bounded_broadcast(mapping.select("field_pos", "value",
-                                         (F.col("offset") + F.col("idx")).alias("_pos")),
-                          known_rows=known_levels)
+    m = mapping.select("field_pos", "value", (F.col("offset") + F.col("idx")).alias("_pos"))
     out = df
     how = "inner" if on_unseen == "skip" else "left"
     for i, f in enumerate(fields):
@@ -143,12 +121,6 @@ def apply(df: DataFrame, mapping: DataFrame, fields: Sequence[str], on_unseen: s
     return out
 
 
-def positions(df: DataFrame, fields: Sequence[str], prefix: str = "pos_",
-              out: str = "positions") -> DataFrame:
-    """Collect the per-field positions into one array column (sparse one-hot)."""
-    return df.withColumn(out, F.array(*[F.col(f"{prefix}{f}") for f in fields]))
-
-
 # ------------------------------------------------------------------ persistence
 def save_mapping(mapping: DataFrame, path: str) -> str:
     mapping.write.mode("overwrite").parquet(path)

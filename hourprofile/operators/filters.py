@@ -29,8 +29,8 @@ def nonzero(df: DataFrame, cols: Sequence[str], legacy_int_cast: bool = False) -
 
 
 def all_nonnegative_condition(cols: Sequence[str]) -> Column:
-    """True when every value parses and is >= 0; false when one is negative;
-    null when one is missing or unparsable (and none is negative).
+    """True when every value parses, is finite and >= 0; false when one is negative
+    or not finite; null when one is missing or unparsable (and none is false).
 
     Written as a conjunction of one predicate per column (same three-valued
     result as ``forall`` over an array): each conjunct is its own constraint,
@@ -39,23 +39,27 @@ def all_nonnegative_condition(cols: Sequence[str]) -> Column:
     """
     cond = None
     for c in cols:
-        p = C.to_number(c, "double") >= 0
+        v = C.to_number(c, "double")
+        p = (v >= 0) & (v < F.lit(float("inf")))  # NaN sorts above infinity
         cond = p if cond is None else cond & p
     return cond if cond is not None else F.lit(True)
 
 
 def nonnegative_reason(cols: Sequence[str]) -> Column:
-    """``ok`` / ``negative`` / ``missing`` for one row, in a single pass."""
+    """``ok`` / ``negative`` / ``not_finite`` / ``missing`` for one row, in a single pass."""
     ok = all_nonnegative_condition(cols)
-    return (F.when(ok, F.lit("ok")).when(ok.isNull(), F.lit("missing"))
-            .otherwise(F.lit("negative")))
+    negative = F.lit(False)
+    for c in cols:
+        negative = negative | F.coalesce(C.to_number(c, "double") < 0, F.lit(False))
+    return (F.when(ok, F.lit("ok")).when(negative, F.lit("negative"))
+            .when(ok.isNull(), F.lit("missing")).otherwise(F.lit("not_finite")))
 
 
 def all_nonnegative(df: DataFrame, cols: Sequence[str], quarantine: bool = False):
     """Keep rows whose listed values are all >= 0.
 
     With ``quarantine=True`` returns ``(good, bad)``; ``bad`` carries a
-    ``reason`` column (``negative`` or ``missing``).
+    ``reason`` column (``negative``, ``not_finite`` or ``missing``).
     """
     ok = all_nonnegative_condition(cols)
     if not quarantine:

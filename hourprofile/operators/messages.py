@@ -49,13 +49,15 @@ def _value(df: DataFrame, value_col: str, unescape: bool) -> Column:
 
 
 def decode(df: DataFrame, schema: T.StructType, shape: str = "object", mode: str = "PERMISSIVE",
-           unescape: bool = False, value_col: str = "value", keep: Sequence[str] = ("key",),
+           unescape: bool = False, unquote: bool = False, value_col: str = "value", keep: Sequence[str] = ("key",),
            corrupt_col: str | None = "corrupt") -> DataFrame:
     """Parse ``value`` into the schema's columns (``data.*``) next to ``keep``.
 
     ``mode="PERMISSIVE"``: a malformed message gives a row of nulls and
     ``corrupt = true``; ``mode="FAILFAST"``: the query fails on it.
-    ``shape="array"`` reads a JSON array of strings by position.
+    ``shape="array"`` reads a JSON array of strings by position; with ``unquote``
+    the quotes that raw fields carry are stripped. A null value and an array of
+    the wrong length are malformed too; ``{}`` is a record of nulls.
     """
     v = _value(df, value_col, unescape)
     names = schema.fieldNames()
@@ -66,14 +68,15 @@ def decode(df: DataFrame, schema: T.StructType, shape: str = "object", mode: str
             opts["columnNameOfCorruptRecord"] = CORRUPT
         parsed = df.select(*keep, F.from_json(v, sch if mode == "PERMISSIVE" else schema, opts)
                            .alias("data"), v.alias("_raw"))
-        bad = (F.col("_raw").isNotNull() & (F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull())) \
+        bad = (F.col("_raw").isNull() | F.col("data").isNull() | F.col(f"data.{CORRUPT}").isNotNull()) \
             if mode == "PERMISSIVE" else F.lit(False)
         out = [F.when(~bad, F.col(f"data.{n}")).alias(n) for n in names]
     elif shape == "array":
         opts = {"mode": mode}
         parsed = df.select(*keep, F.from_json(v, "array<string>", opts).alias("data"), v.alias("_raw"))
-        bad = F.col("_raw").isNotNull() & F.col("data").isNull()
-        out = [F.get(F.col("data"), i).cast(schema[n].dataType).alias(n) for i, n in enumerate(names)]
+        bad = F.coalesce(F.size("data") != len(names), F.lit(True)) if mode == "PERMISSIVE" else F.lit(False)
+        field = (lambda i: C.strip_quotes(F.get(F.col("data"), i))) if unquote else (lambda i: F.get(F.col("data"), i))
+        out = [F.when(~bad, field(i).try_cast(schema[n].dataType)).alias(n) for i, n in enumerate(names)]
     else:
         raise ValueError(f"unknown shape {shape!r}")
     extra = [bad.alias(corrupt_col)] if corrupt_col else []

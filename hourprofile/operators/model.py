@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import columns as C
-from .joins import bounded_broadcast
 
 MODEL_SCHEMA = T.StructType([
     T.StructField("hour", T.IntegerType()),
@@ -202,6 +201,8 @@ def gram_matrix(gram_df: DataFrame, width: int) -> np.ndarray:
     model width, not by the data)."""
     g = np.zeros((width, width))
     for r in gram_df.collect():
+        if r["g"] is None or not np.isfinite(r["g"]):
+            raise ValueError(f"entry ({r['i']}, {r['j']}) of the Gram matrix is not a finite number")
         g[r["i"], r["j"]] = r["g"]
         g[r["j"], r["i"]] = r["g"]
     return g
@@ -242,8 +243,9 @@ def gradient_descent(a: np.ndarray, b: np.ndarray, n: float, iterations: int = 1
 
 def normal_equations(a: np.ndarray, b: np.ndarray, ridge: float = 1e-8):
     """Least squares from the normal equations; a tiny ridge keeps the
-    one-hot design (every level kept, plus intercept) solvable."""
-    reg = ridge * np.eye(len(b))
+    one-hot design (every level kept, plus intercept) solvable. It is relative
+    to the mean diagonal entry, which grows with the rows as all entries do."""
+    reg = ridge * (np.trace(a) / len(b)) * np.eye(len(b))
     reg[-1, -1] = 0.0
     w = np.linalg.solve(a + reg, b)
     return w, 1
@@ -302,8 +304,9 @@ def predict(design_df: DataFrame, models: DataFrame, hour, back_transform: bool
     them. Both add left to right, so the results are identical.
     """
     h = hour if isinstance(hour, Column) else F.lit(int(hour))
-    m = bounded_broadcast(models.select(F.col("hour").alias("_mh"), "intercept", "coef"),
-                          known_rows=24)
+    if models.limit(25).count() > 24:
+        raise ValueError("a model table has one row per hour, 24 at most")
+    m = F.broadcast(models.select(F.col("hour").alias("_mh"), "intercept", "coef"))
     df = design_df.join(m, h == F.col("_mh"))
     coef = F.col("coef")
     k = F.size(coef) - F.lit(23)

@@ -35,12 +35,12 @@ def stations(station_raw: DataFrame, spec: StationSpec, legacy_int_cast: bool =
     return project.typed(st, spec.attributes, keep_cols=["id"])
 
 
-def observations(obs_raw: DataFrame, spec: ObsSpec, dtype: str = "int",
+def observations(obs_raw: DataFrame, spec: ObsSpec, dtype: str = "bigint",
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """``id`` + 24 typed volumes ``volume00..volume23`` (+ ``keep`` columns)."""
     return obs_raw.select(
         C.composite_key(spec.key).alias("id"), *keep,
-        *[C.to_number(v, dtype).alias(o) for v, o in zip(spec.volumes, VOLUME_COLUMNS)],
+        *[C.volume(v, dtype).alias(o) for v, o in zip(spec.volumes, VOLUME_COLUMNS)],
     )
 
 
@@ -65,7 +65,7 @@ def hourly_average(station: DataFrame, obs: DataFrame, eager: bool = False) -> D
 
 
 def profile(obs_raw: DataFrame, station_raw: DataFrame, obs_spec: ObsSpec,
-            station_spec: StationSpec, eager: bool = False,
+            station_spec: StationSpec, eager: bool = True,
             legacy_int_cast: bool = False) -> DataFrame:
     """Full profile job from raw (string) observation and station frames."""
     st = stations(station_raw, station_spec, legacy_int_cast)

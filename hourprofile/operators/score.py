@@ -2,7 +2,7 @@
 
 Everything is one DataFrame plan that runs unchanged on a batch or on a
 micro-batch: decode -> quarantine -> encode -> predict (broadcast 24 models)
--> profile lookup (size-checked broadcast) -> level -> fold.
+-> profile lookup -> level -> fold.
 """
 
 from __future__ import annotations
@@ -15,11 +15,9 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..spec import AVG_COLUMNS, RESULT_COLUMNS, ObsSpec
 from . import encode, filters, model
-from .joins import bounded_broadcast
 
 
-def attach_profile(df: DataFrame, profile: DataFrame, hour, key: str = "sid",
-                   profile_rows: int | None = None) -> DataFrame:
+def attach_profile(df: DataFrame, profile: DataFrame, hour, key: str = "sid") -> DataFrame:
     """Inner lookup of each row's station in the profile (no match -> no row;
     one output per matching profile row, i.e. per lane), adding the profile
     attributes and ``historical`` = the profile's average at ``hour``."""
@@ -27,7 +25,7 @@ def attach_profile(df: DataFrame, profile: DataFrame, hour, key: str = "sid",
     prof = profile.select(
         F.col("id").alias(key), "location", "latitude", "longitude_w", "lanes", "highway",
         C.at_hour(F.array(*[F.col(a) for a in AVG_COLUMNS]), h).alias("historical"))
-    return df.join(bounded_broadcast(prof, known_rows=profile_rows), key)
+    return df.join(prof, key)
 
 
 def result_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
@@ -45,9 +43,10 @@ def result_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 def with_point(result: DataFrame, order: str = "lonlat", srid: int = 4326) -> DataFrame:
     """Add ``geom`` (WKT point) and ``srid`` to result rows, for tables that
     keep a geometry. ``order="latlon"`` reproduces the legacy job, which put the
-    latitude first; ``lonlat`` is the x=longitude convention."""
-    lon = F.lit(0.0) - F.col("longitude")  # result longitude is west-positive
-    x, y = (lon, F.col("latitude")) if order == "lonlat" else (F.col("latitude"), lon)
+    latitude first and the stored, west-positive longitude second; ``lonlat`` is
+    the x=longitude convention with the signed longitude."""
+    lon = F.lit(0.0) - F.col("longitude")
+    x, y = (lon, F.col("latitude")) if order == "lonlat" else (F.col("latitude"), F.col("longitude"))
     if order not in ("lonlat", "latlon"):
         raise ValueError(f"unknown order {order!r}")
     return result.withColumn("geom", C.point_wkt(x, y)).withColumn("srid", F.lit(srid))
@@ -55,8 +54,7 @@ def with_point(result: DataFrame, order: str = "lonlat", srid: int = 4326) -> Da
 
 def score(records: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mapping: DataFrame,
           models: DataFrame, profile: DataFrame, hour, on_unseen: str = "skip",
-          keep: Sequence[str] = (), profile_rows: int | None = None,
-          mapping_rows: int | None = None) -> DataFrame:
+          keep: Sequence[str] = ()) -> DataFrame:
     """Score raw records (string columns of ``spec``) at ``hour``.
 
     Rows with a negative or missing volume are dropped here (use
@@ -66,15 +64,14 @@ def score(records: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mapping:
     h = hour if isinstance(hour, Column) else F.lit(int(hour))
     keyed = records.withColumn("sid", C.composite_key(spec.key))
     good = filters.all_nonnegative(keyed, spec.volumes)
-    enc = encode.apply(good, mapping, spec.categoricals, on_unseen=on_unseen,
-                       known_levels=mapping_rows)
+    enc = encode.apply(good, mapping, spec.categoricals, on_unseen=on_unseen)
     d = model.design(enc, spec.categoricals, spec.volumes, keep=[
         "sid", *keep,
         F.col(fields["direction"]).alias("direction"),
         F.col(fields["roadtype"]).alias("roadtype"),
-        C.at_hour(F.array(*[C.to_number(v, "int") for v in spec.volumes]), h).alias("volume")])
+        C.at_hour(F.array(*[C.volume(v) for v in spec.volumes]), h).alias("volume")])
     pred = model.predict(d, models, h, n_positions=len(spec.categoricals)).drop("positions", "logs")
-    joined = attach_profile(pred, profile, h, profile_rows=profile_rows)
+    joined = attach_profile(pred, profile, h)
     return result_columns(joined, keep)
 
 

@@ -46,11 +46,10 @@ def encode_training(spark: SparkSession, rows: DataFrame, spec: ObsSpec,
     # the rows feed both the fit and the encoding: materialise them once
     rows = materialize(rows.select(*keep, *spec.categoricals, *spec.volumes), "train-rows")
     mpath = mapping_path or scratch_path(spark, "mapping")
-    # the rows are already a table: the level pass re-reads it cheaply
-    E.save_mapping(E.fit(rows, spec.categoricals, materialize=False), mpath)
+    E.save_mapping(E.fit(rows, spec.categoricals), mpath)
     mapping = E.load_mapping(spark, mpath)
     k = E.width(mapping)
-    enc = E.apply(rows, mapping, spec.categoricals, on_unseen="fail", known_levels=k)
+    enc = E.apply(rows, mapping, spec.categoricals, on_unseen="fail")
     enc = enc.select(*keep, *[f"pos_{c}" for c in spec.categoricals], *spec.volumes)
     return enc, mapping, k
 

@@ -10,7 +10,6 @@ from __future__ import annotations
 HOURS = range(24)
 V = [f"v{h:02d}" for h in HOURS]
 AVG = [f"avgvolume{h:02d}" for h in HOURS]
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 
 # Hour used by the scoring queries (the wall-clock hour is injected for tests).
 SCORE_HOUR = 8
@@ -39,11 +38,9 @@ OBS_CTES = f"""ev AS (
   FROM ev JOIN customer ON customer.c_custkey = ev.user_id
 )"""
 
-_TYPES_LIST = "[" + ", ".join(f"'{t}'" for t in EVENT_TYPES) + "]"
-
 # Station rows, typed; keeps the raw nation for the coordinate filters.
 STATION_CTES = f"""st_dir AS (
-  SELECT *, unnest({_TYPES_LIST}) AS direction FROM customer
+  SELECT * FROM customer, (SELECT DISTINCT event_type AS direction FROM events WHERE event_type IS NOT NULL)
 ), st_all AS (
   SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '_' || CAST(c_custkey AS VARCHAR) || '_' || direction AS id,
     c_name AS location, c_acctbal AS latitude, CAST(c_nationkey AS DOUBLE) * 0.5 AS longitude_w,
@@ -221,7 +218,7 @@ RESULT = ["sid", "location", "latitude", "longitude", "direction", "lanes", "roa
 
 def _scored_ctes() -> str:
     h = SCORE_HOUR
-    vh = f"CAST(e.{V[h]} AS INTEGER)"
+    vh = f"CAST(e.{V[h]} AS BIGINT)"
     return f"""scored AS (
   SELECT e.date, e.id AS sid, p.location, p.latitude, p.longitude_w AS longitude, e.direction,
     p.lanes, e.segment AS roadtype, p.highway, {_current(vh)} AS current,
@@ -254,6 +251,18 @@ def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["hourly_profile"] = _profile_sql()
     q["hourly_profile_eager"] = _profile_sql()
+    q["hourly_profile_naive"] = _profile_sql()
+    q["dense_index_keys"] = """SELECT l_returnflag, l_orderkey, count(*) AS lines,
+  CAST(row_number() OVER (PARTITION BY l_returnflag ORDER BY l_orderkey) - 1 AS INTEGER) AS idx
+FROM lineitem GROUP BY l_returnflag, l_orderkey"""
+    kind = "CAST(station_id AS BIGINT) % 7"
+    typed = f"CASE {kind} WHEN 0 THEN -1 WHEN 1 THEN 12 WHEN 6 THEN 3000000000 END"
+    dirty = f"dirty AS (SELECT * REPLACE (CAST({typed} AS BIGINT) AS v08) FROM obs)"
+    q["dirty_volumes_reason"] = with_ctes(OBS_CTES, dirty) + f"""SELECT id, date,
+  CASE {kind} WHEN 0 THEN 'negative' WHEN 1 THEN 'ok' WHEN 2 THEN 'not_finite' WHEN 3 THEN 'not_finite'
+    WHEN 6 THEN 'ok' ELSE 'missing' END AS reason, v08 AS volume
+FROM dirty"""
+    q["dirty_volumes_profile"] = _profile_sql().replace("JOIN obs o", "JOIN dirty o").replace(STATION_CTES, STATION_CTES + ",\n" + dirty)
     q["csv_header_roundtrip"] = with_ctes(OBS_CTES) + f"SELECT {', '.join(OBS_RECORD)} FROM obs"
     q["lines_split"] = q["csv_header_roundtrip"]
     q["composite_key"] = _key_sql("{}")
@@ -268,7 +277,7 @@ def oracle_sql() -> dict[str, str]:
   CASE WHEN {neg} THEN 'negative' WHEN {miss} THEN 'missing' ELSE 'ok' END AS reason,
   {", ".join(V)}
 FROM obs"""
-    vols = ", ".join(f"CAST(o.{v} AS INTEGER) AS volume{v[1:]}" for v in V)
+    vols = ", ".join(f"CAST(o.{v} AS BIGINT) AS volume{v[1:]}" for v in V)
     q["station_join"] = with_ctes(OBS_CTES, STATION_CTES) + f"""SELECT s.id, s.location, s.lanes, o.date, {vols}
 FROM st s JOIN obs o ON s.id = o.id"""
     q["category_distinct"] = with_ctes(OBS_CTES, mapping_ctes()) + "SELECT field_pos, field, value FROM lv"
@@ -287,7 +296,7 @@ FROM mapping GROUP BY field_pos, field, "offset" """
     q["gram_blocks"] = _gram_sql()
     q["predict_hour"] = with_ctes(OBS_CTES, mapping_ctes(), _enc_cte()) + (
         f"SELECT id, date, round({_predict_expr(h)}, 6) AS predicted FROM enc")
-    vh = f"CAST(o.{V[h]} AS INTEGER)"
+    vh = f"CAST(o.{V[h]} AS BIGINT)"
     q["at_hour"] = with_ctes(OBS_CTES) + f"SELECT o.id, o.date, {vh} AS volume FROM obs o"
     look = with_ctes(OBS_CTES, STATION_CTES, _profile_cte())
     q["profile_lookup"] = look + f"""SELECT o.id AS sid, o.date, p.lanes, {vh} AS volume, p.{AVG[h]} AS historical
@@ -305,6 +314,7 @@ FROM obs o JOIN prof p ON p.id = o.id"""
         f"SELECT {MSG_KEY_SQL} AS key, {rec}, false AS corrupt FROM obs_s")
     q["message_decode_failfast"] = q["message_decode"]
     q["message_array_decode"] = q["message_decode"]
+    q["message_array_quoted"] = q["message_decode"]
     nulled = ", ".join(f"CASE WHEN direction = 'error' THEN NULL ELSE {c} END AS {c}" for c in OBS_RECORD)
     q["message_decode_bad"] = with_ctes(OBS_CTES, _obs_strings()) + (
         f"SELECT {MSG_KEY_SQL} AS key, {nulled}, direction = 'error' AS corrupt FROM obs_s")

@@ -36,7 +36,15 @@ def register(fn):
 
 @register
 def hourly_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Join observations to stations, average each hour per station group."""
+    """Average each hour per station, then attach the station groups (no join
+    meets more than one row per station, however hot)."""
+    return P.profile(tv.observations(spark, sf_dir), tv.stations(spark, sf_dir),
+                     TEST_OBS, TEST_STATION, eager=True)
+
+
+@register
+def hourly_profile_naive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same result by the straightforward plan: join first, then average."""
     return P.profile(tv.observations(spark, sf_dir), tv.stations(spark, sf_dir),
                      TEST_OBS, TEST_STATION, eager=False)
 
@@ -109,13 +117,43 @@ def filter_nonzero_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def filter_all_nonnegative(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every observation tagged ok / negative / missing in one pass (the
+    """Every observation tagged ok / negative / not_finite / missing in one pass (the
     quarantine split of ``filters.all_nonnegative`` filters on this tag)."""
     obs = PR.composite_key(tv.observations(spark, sf_dir), TEST_OBS.key)
     tagged = obs.withColumn("reason", FL.nonnegative_reason(TEST_OBS.volumes))
     return _typed_obs(tagged.select("id", "date", "reason", *TEST_OBS.volumes))
 
 
+#: What stands in volume v08 of the dirty view, by station number modulo 7.
+DIRTY = ("-1", "12.5", "NaN", "Infinity", "", "text", "3000000000")
+
+
+def dirty_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observations with a rule-made bad or odd volume in every row."""
+    kind = F.col("station_id").cast("bigint") % len(DIRTY)
+    return tv.observations(spark, sf_dir).withColumn("v08", F.element_at(F.array(*map(F.lit, DIRTY)), (kind + 1).cast("int")))
+
+
+@register
+def dirty_volumes_reason(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reason and typed volume of observations with odd volumes."""
+    obs = PR.composite_key(dirty_observations(spark, sf_dir), TEST_OBS.key)
+    return obs.select("id", "date", FL.nonnegative_reason(TEST_OBS.volumes).alias("reason"), FN.volume("v08").alias("volume"))
+
+
+@register
+def dirty_volumes_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly profile over odd volumes: decimals truncate, bad text is no volume."""
+    return P.profile(dirty_observations(spark, sf_dir), tv.stations(spark, sf_dir), TEST_OBS, TEST_STATION)
+
+
+@register
+def dense_index_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distributed dense numbering of the order keys of every return flag."""
+    keys = tv.table(spark, sf_dir, "lineitem").groupBy("l_returnflag", "l_orderkey").agg(F.count(F.lit(1)).alias("lines"))
+    return E.dense_index(keys, "l_returnflag", "l_orderkey")
+
+
 @register
 def station_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many-to-many join of stations (a row per lane) to daily observations."""
@@ -175,7 +213,7 @@ def encoded_unseen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Levels fitted on the first half-month, applied to all rows; unseen -> null."""
     # the rows feed the fit and the encoding: one table instead of two scans
     rows = materialize(training_rows(spark, sf_dir), "train-rows")
-    mapping = E.fit(rows.where(F.col("date") < F.lit(TRAIN_WINDOW_END)), CATS, materialize=False)
+    mapping = E.fit(rows.where(F.col("date") < F.lit(TRAIN_WINDOW_END)), CATS)
     enc = E.apply(rows, mapping, CATS, on_unseen="null")
     return enc.select("id", "date", *[f"pos_{c}" for c in CATS])
 
@@ -235,7 +273,7 @@ def predict_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _live(spark: SparkSession, sf_dir: str, obs: DataFrame | None = None) -> DataFrame:
     obs = (obs if obs is not None else tv.observations(spark, sf_dir)) \
         .withColumn("sid", FN.composite_key(TEST_OBS.key))
-    vols = F.array(*[FN.to_number(v, "int") for v in TEST_OBS.volumes])
+    vols = F.array(*[FN.volume(v) for v in TEST_OBS.volumes])
     return obs.select("sid", "date", FN.at_hour(vols, SCORE_HOUR).alias("volume"))
 
 
@@ -252,9 +290,9 @@ def at_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def profile_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each record looked up in the profile: one row per matching lane."""
+    """Each record looked up in the written profile: one row per matching lane."""
     obs = tv.staged_observations(spark, sf_dir)  # read twice: profile and live rows
-    j = SC.attach_profile(_live(spark, sf_dir, obs), _profile(spark, sf_dir, obs), SCORE_HOUR)
+    j = SC.attach_profile(_live(spark, sf_dir, obs), materialize(_profile(spark, sf_dir, obs), "profile"), SCORE_HOUR)
     return j.select("sid", "date", "lanes", "volume", "historical")
 
 
@@ -262,7 +300,7 @@ def profile_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def level(spark: SparkSession, sf_dir: str) -> DataFrame:
     """High / Medium / Low against the historical average of the hour."""
     obs = tv.staged_observations(spark, sf_dir)  # read twice: profile and live rows
-    j = SC.attach_profile(_live(spark, sf_dir, obs), _profile(spark, sf_dir, obs), SCORE_HOUR)
+    j = SC.attach_profile(_live(spark, sf_dir, obs), materialize(_profile(spark, sf_dir, obs), "profile"), SCORE_HOUR)
     return j.select("sid", "date", "lanes", "volume", "historical",
                     FN.level("volume", "historical").alias("level"))
 
@@ -314,6 +352,15 @@ def message_array_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MS.decode(_messages(spark, sf_dir, shape="array"), TEST_OBS.schema(), shape="array")
 
 
+@register
+def message_array_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON-array messages whose raw fields still carry their quotes."""
+    obs = tv.observations(spark, sf_dir)
+    key = FN.composite_key(list(MSG_KEY))
+    quoted = obs.select(key.alias("key"), *[F.concat(F.lit('"'), F.col(c), F.lit('"')).alias(c) for c in TEST_OBS.columns])
+    return MS.decode(MS.encode(quoted, key=F.col("key"), shape="array", columns=TEST_OBS.columns), TEST_OBS.schema(), shape="array", unquote=True)
+
+
 @register
 def message_decode_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Malformed messages (every 'error'-direction message truncated by one

@@ -18,9 +18,8 @@ from pyspark.sql import functions as F
 
 from ..spec import HOURS, TEST_RECORD, TEST_VOLUMES
 
-# The event_type domain of the driver's events table, used as the
-# travel direction of a station.
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
+#: Event types play the directions of travel, of which a station has a handful.
+MAX_EVENT_TYPES = 100
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,7 +50,10 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    types = F.array(*[F.lit(t) for t in EVENT_TYPES])
+    found = table(spark, sf_dir, "events").select("event_type").where("event_type is not null").distinct().limit(MAX_EVENT_TYPES + 1).collect()
+    if len(found) > MAX_EVENT_TYPES:
+        raise ValueError(f"more than {MAX_EVENT_TYPES} event types can't play directions")
+    types = F.array(*[F.lit(r.event_type) for r in sorted(found)]).cast("array<string>")
     return c.select(
         F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("state"),
         F.col("c_custkey").cast("string").alias("station_id"),

@@ -38,14 +38,17 @@ def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for intermediate tables, checkpoints and staged files.
 
     Reads ``spark.checkpoint.dir`` from the session (the cluster's shared
-    folder). Only when it is unset -- local tests -- a private folder is
-    created and registered as the checkpoint directory.
+    folder). Where it is unset, a private folder is created and registered as
+    the checkpoint directory on a ``local`` master only; on a cluster every
+    executor would write to its own disk, so that is an error.
     """
     conf = spark.sparkContext.getConf()
     d = conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local") or "cluster" in spark.sparkContext.master:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         d = tempfile.mkdtemp(prefix="hourprofile-")
         spark.conf.set("spark.checkpoint.dir", d)
         spark.sparkContext.setCheckpointDir(d)

@@ -83,7 +83,7 @@ def stream_memory(df: DataFrame, name: str, mode: str = "append",
 
 # ---------------------------------------------------------------- jdbc
 _SQL_TYPES = {
-    T.StringType: "VARCHAR(1024)",
+    T.StringType: "TEXT",
     T.DoubleType: "DOUBLE PRECISION",
     T.FloatType: "REAL",
     T.IntegerType: "INTEGER",
@@ -125,6 +125,16 @@ def merge_sql(table: str, staging: str, key: Sequence[str], columns: Sequence[st
     return sql + f" WHEN NOT MATCHED THEN INSERT ({ins_cols}) VALUES ({ins_vals})"
 
 
+def on_conflict_sql(table: str, staging: str, key: Sequence[str], columns: Sequence[str],
+                    update_cols: Sequence[str]) -> str:
+    """The same upsert for databases without MERGE (INSERT .. ON CONFLICT)."""
+    cols = ", ".join(f'"{c}"' for c in columns)
+    keys = ", ".join(f'"{k}"' for k in key)
+    upd = ", ".join(f'"{c}" = EXCLUDED."{c}"' for c in update_cols)
+    act = f"DO UPDATE SET {upd}" if update_cols else "DO NOTHING"
+    return f"INSERT INTO {table} ({cols}) SELECT {cols} FROM {staging} ON CONFLICT ({keys}) {act}"
+
+
 def write_jdbc(df: DataFrame, table: str, options: dict, mode: str = "overwrite",
                create_table_options: str | None = None) -> None:
     """Partition-parallel JDBC write (each task opens its own connection)."""
@@ -153,6 +163,9 @@ def execute_jdbc(spark, options: dict, statements: Sequence[str]) -> None:
         for s in statements:
             st.execute(s)
         conn.commit()
+    except Exception:
+        conn.rollback()
+        raise
     finally:
         conn.close()
 

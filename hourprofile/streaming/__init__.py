@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,7 +45,7 @@ def publish(spark: SparkSession, source_dir: str, spec: ObsSpec, out: str, check
 def decoded(messages: DataFrame, spec: ObsSpec, shape: str = "object",
             mode: str = "PERMISSIVE") -> DataFrame:
     """Log frame -> typed records (+ ``key`` and ``corrupt``)."""
-    return MS.decode(messages, spec.schema(), shape=shape, mode=mode)
+    return MS.decode(messages, spec.schema(), shape=shape, mode=mode, unquote=shape == "array")
 
 
 def scored(messages: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mapping: DataFrame,
@@ -54,17 +55,17 @@ def scored(messages: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mappin
     the micro-batch (``current_timestamp`` is fixed per batch)."""
     good, _ = MS.quarantine(decoded(messages, spec, shape))
     h = F.hour(F.current_timestamp()) if hour is None else hour
-    out = SC.score(good, spec, fields, mapping, models, profile, h, keep=keep,
-                   profile_rows=profile.count(), mapping_rows=mapping.count())
+    out = SC.score(good, spec, fields, mapping, models, profile, h, keep=keep)
     return out.observe(metrics, F.count(F.lit(1)).alias("rows")) if metrics else out
 
 
 def score_stream(spark: SparkSession, messages: DataFrame, spec: ObsSpec,
                  fields: Mapping[str, str], mapping: DataFrame, models: DataFrame,
                  profile: DataFrame, out: str, checkpoint: str, hour=None,
-                 trigger: dict | None = None, keep: Sequence[str] = ("date",)) -> StreamingQuery:
+                 trigger: dict | None = None, keep: Sequence[str] = ("date",),
+                 shape: str = "object") -> StreamingQuery:
     """Score every micro-batch and append the result rows (Parquet at ``out``)."""
-    df = scored(messages, spec, fields, mapping, models, profile, hour, keep)
+    df = scored(messages, spec, fields, mapping, models, profile, hour, keep, shape=shape)
     w = (df.writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     return w.trigger(**(trigger or {"availableNow": True})).start()
@@ -75,9 +76,9 @@ def score_stream_with_quarantine(spark: SparkSession, messages: DataFrame, spec:
                                  models: DataFrame, profile: DataFrame, out: str,
                                  quarantine: str, checkpoint: str, hour=None,
                                  trigger: dict | None = None,
-                                 keep: Sequence[str] = ("date",)) -> StreamingQuery:
+                                 keep: Sequence[str] = ("date",), shape: str = "object") -> StreamingQuery:
     """Like ``score_stream``, and every rejected message is kept: corrupt JSON,
-    a negative or missing volume, or a category the mapping does not know.
+    a negative, infinite or missing volume, or a category the mapping does not know.
 
     One pass per micro-batch (``foreachBatch``): the decoded batch is
     persisted, scored rows go to ``out/epoch=<n>``, rejected rows with a
@@ -88,8 +89,7 @@ def score_stream_with_quarantine(spark: SparkSession, messages: DataFrame, spec:
     from ..operators import encode as E
     from ..operators import filters as FL
 
-    profile_rows, mapping_rows = profile.count(), mapping.count()
-    dec = decoded(messages, spec)
+    dec = decoded(messages, spec, shape)
     h_fixed = hour
 
     def write_epoch(batch: DataFrame, epoch: int) -> None:
@@ -100,16 +100,14 @@ def score_stream_with_quarantine(spark: SparkSession, messages: DataFrame, spec:
             tagged = batch.withColumn("reason", reason)
             # unseen categories: encode with nulls, any null position rejects the row
             enc = E.apply(tagged.where(F.col("reason") == "ok").drop("reason", "corrupt"),
-                          mapping, spec.categoricals, on_unseen="null", known_levels=mapping_rows,
-                          prefix="_q_")
+                          mapping, spec.categoricals, on_unseen="null", prefix="_q_")
             unseen = F.lit(False)
             for c in spec.categoricals:
                 unseen = unseen | F.col(f"_q_{c}").isNull()
             enc = enc.withColumn("reason", F.when(unseen, F.lit("unseen")).otherwise(F.lit("ok")))
             good = enc.where(F.col("reason") == "ok").drop("reason", *[f"_q_{c}" for c in spec.categoricals])
             h = F.hour(F.current_timestamp()) if h_fixed is None else h_fixed
-            SC.score(good, spec, fields, mapping, models, profile, h, keep=keep,
-                     profile_rows=profile_rows, mapping_rows=mapping_rows) \
+            SC.score(good, spec, fields, mapping, models, profile, h, keep=keep) \
                 .write.mode("overwrite").parquet(f"{out.rstrip('/')}/epoch={epoch}")
             bad = tagged.where(F.col("reason") != "ok").drop("corrupt").unionByName(
                 enc.where(F.col("reason") == "unseen").drop(*[f"_q_{c}" for c in spec.categoricals]))
@@ -187,8 +185,10 @@ def read_upserted(spark: SparkSession, changelog: str, key: str = "sid") -> Data
 def _snapshot_or_none(spark: SparkSession, changelog: str):
     try:
         return spark.read.parquet(_snapshot_path(changelog))
-    except Exception:  # no snapshot yet
-        return None
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" not in str(e):
+            raise
+        return None  # no snapshot yet
 
 
 def compact_upserted(spark: SparkSession, changelog: str, key: str = "sid") -> str:

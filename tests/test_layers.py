@@ -22,7 +22,7 @@ def test_kafka_options():
 
 def test_jdbc_sql_text():
     ddl = sinks.create_table_sql("realtimetraffic", RESULT_SCHEMA, ["sid"])
-    assert ddl.startswith('CREATE TABLE realtimetraffic ("sid" VARCHAR(1024) NOT NULL')
+    assert ddl.startswith('CREATE TABLE realtimetraffic ("sid" TEXT NOT NULL')
     assert 'PRIMARY KEY ("sid")' in ddl and '"current" INTEGER' in ddl
     merge = sinks.merge_sql("realtimetraffic", "stage", ["sid"], ["sid", "current"], ["current"])
     assert merge == ('MERGE INTO realtimetraffic t USING stage s ON t."sid" = s."sid" '

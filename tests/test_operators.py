@@ -113,12 +113,67 @@ def test_dense_index_distributed_equals_window(spark):
     df = spark.createDataFrame([(g, f"v{i:03d}") for g in range(3) for i in range(0, 150, g + 1)],
                                "g int, v string")
     one = E.dense_index(df, "g", "v")
-    dist = E.dense_index(df, "g", "v", num_partitions=7, single_task_max=0)
+    dist = E.dense_index(df, "g", "v", num_partitions=7)
     assert one.exceptAll(dist).count() == 0 and dist.exceptAll(one).count() == 0
     got = sorted((r["g"], r["idx"]) for r in dist.collect())
     assert got == sorted((g, i) for g in range(3) for i in range(len(range(0, 150, g + 1))))
 
 
+def test_dense_index_loses_no_row(spark, tmp):
+    df = spark.range(0, 400_000, 1, 16).select((F.col("id") % 2).cast("int").alias("g"), F.sha1(F.col("id").cast("string")).alias("v"),
+                                               (F.col("id") * 3).alias("more"))
+    E.dense_index(df, "g", "v").write.parquet(tmp + "/idx")
+    for r in spark.read.parquet(tmp + "/idx").groupBy("g").agg(
+            F.count("idx").alias("n"), F.countDistinct("idx").alias("d"), F.min("idx").alias("lo"), F.max("idx").alias("hi"), F.countDistinct("more").alias("m")).collect():
+        assert (r.n, r.d, r.lo, r.hi, r.m) == (200_000, 200_000, 0, 199_999, 200_000)
+
+
+def test_one_rule_for_volumes(spark):
+    from hourprofile.functions import columns as C
+    from hourprofile.operators import filters as FL
+    rows = [("5",), ("12.5",), ("-1",), ("NaN",), ("Infinity",), ("-Infinity",), ("",), ("text",), (None,), ("3000000000",)]
+    df = spark.createDataFrame(rows, "v string")
+    got = [(r.v, r.n, r.why, r.cur) for r in df.select(
+        "v", C.volume("v").alias("n"), FL.nonnegative_reason(["v"]).alias("why"),
+        C.scaled_current(C.volume("v")).alias("cur")).collect()]
+    assert [x[1] for x in got] == [5, 12, -1, None, None, None, None, None, None, 3000000000]
+    assert [x[2] for x in got] == ["ok", "ok", "negative", "not_finite", "not_finite", "negative", "missing", "missing", "missing", "ok"]
+    assert got[3][3] is None and got[0][3] == 9
+
+
+def test_not_finite_row_changes_no_other(spark):
+    import numpy as np
+    from hourprofile.operators import model as M
+    with pytest.raises(ValueError):
+        M.gram_matrix(spark.createDataFrame([(0, 0, None)], "i int, j int, g double"), 1)
+    a = np.eye(3) * 7e9
+    w, _ = M.normal_equations(a, np.array([7e9, 0.0, 7e9]))
+    assert np.allclose(w, [1, 0, 1])
+
+
+def test_array_messages_quotes_and_lengths(spark):
+    from pyspark.sql import types as T
+    from hourprofile.operators import messages as MS
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("n", T.IntegerType())])
+    df = spark.createDataFrame([("k", '["\\"06\\"","\\"12\\""]'), ("k", '["06"]'), ("k", None), ("k", '["x","y"]')], "key string, value string")
+    got = [(r.a, r.n, r.corrupt) for r in MS.decode(df, schema, shape="array", unquote=True).collect()]
+    assert got == [("06", 12, False), (None, None, True), (None, None, True), ("x", None, False)]
+    df = spark.createDataFrame([("k", "{}"), ("k", None), ("k", '{"a":"1"}')], "key string, value string")
+    assert [r.corrupt for r in MS.decode(df, schema).collect()] == [False, True, False]
+
+
+def test_upsert_text_without_merge():
+    from hourprofile import sinks
+    assert sinks.on_conflict_sql("t", "s", ["sid"], ["sid", "current"], ["current"]) == (
+        'INSERT INTO t ("sid", "current") SELECT "sid", "current" FROM s ON CONFLICT ("sid") DO UPDATE SET "current" = EXCLUDED."current"')
+
+
+def test_hour_in_a_zone(spark):
+    from hourprofile.functions import columns as C
+    r = spark.range(1).select(C.current_hour("UTC").alias("u"), C.current_hour("Asia/Kolkata").alias("k"), C.current_hour("Asia/Tokyo").alias("t")).first()
+    assert (r.t - r.u) % 24 == 9 and (r.k - r.u) % 24 in (5, 6)
+
+
 def test_encoder_offsets_and_unseen(spark):
     df = spark.createDataFrame([("a", "x"), ("b", "y"), ("b", "z")], "f string, g string")
     m = E.fit(df, ["f", "g"])
@@ -194,4 +249,4 @@ def test_result_point_orders(spark):
     a = SC.with_point(df).first()
     b = SC.with_point(df, order="latlon").first()
     assert a["geom"] == "POINT(-105.5 40.25)" and a["srid"] == 4326
-    assert b["geom"] == "POINT(40.25 -105.5)"
+    assert b["geom"] == "POINT(40.25 105.5)"

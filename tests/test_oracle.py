@@ -1,5 +1,7 @@
 """Every registered query against its DuckDB oracle at sf0.001 (order-insensitive)."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as ENTRY
@@ -7,8 +9,9 @@ from oracle_compare import compare, duck
 
 from conftest import SF_SMALL
 
-QUERIES = ENTRY.queries()
-SQL = ENTRY.oracle_sql()
+# the training-data queries have tests of their own
+QUERIES = {k: f for k, f in ENTRY.queries().items() if not re.match(r"op\d+_|pipeline$", k)}
+SQL = {k: q for k, q in ENTRY.oracle_sql().items() if k in QUERIES}
 
 
 @pytest.fixture(scope="module")
