@@ -23,6 +23,7 @@ empty table gives no rows; other columns are not read.
 from __future__ import annotations
 
 import re
+from itertools import pairwise
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -127,13 +128,17 @@ def plain_words(text: str) -> list[str]:
     return [w for w in re.split(r"[^a-z0-9]+", text.lower()) if w]
 
 
+def word_pairs(text: str) -> set[str]:
+    w = [x for x in (x.strip(".") for x in re.split(r"[^a-z0-9.]+", text.lower())) if x]
+    return {" ".join(p) for p in pairwise(w)}
+
+
 def telling_words() -> list[str]:
     """Words of the templates without which none can be confirmed."""
     telling = {w for ts in TEMPLATES.values() for t in ts for w in plain_words(t)} - set(_COMMON) - set("0123456789")
     for t in (t for ts in TEMPLATES.values() for t in ts):
-        w = [x.strip(".") for x in re.split(r"[^a-z0-9.]+", t.lower())]
-        pairs = {p for p in zip([x for x in w if x], [x for x in w if x][1:], strict=False)}
-        if sum(bool(telling & set(plain_words(" ".join(p)))) for p in pairs) <= (1 - SIMILARITY) * len(pairs):
+        pairs = word_pairs(t)
+        if sum(bool(telling & set(plain_words(p))) for p in pairs) <= (1 - SIMILARITY) * len(pairs):
             raise ValueError(f"a copy of {t!r} might hold no telling word")
     return sorted(telling)
 
@@ -144,6 +149,11 @@ def words(text: Column) -> Column:
     return F.filter(F.transform(w, lambda x: F.btrim(x, F.lit("."))), lambda x: x != "")
 
 
+def once(value: Column, f) -> Column:
+    """``f(value)`` with ``value`` computed once, however often ``f`` uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def grams(w: Column, n: int = GRAMS) -> Column:
     """Distinct 1- to n-grams."""
     def runs(k: int) -> Column:
@@ -181,7 +191,7 @@ class Classifier:
         from pyspark.ml.classification import LogisticRegression
         from pyspark.ml.feature import CountVectorizer
 
-        data = variants(spark).withColumn("grams", grams(F.col("w"))).cache()
+        data = variants(spark).withColumn("grams", once(F.col("w"), lambda w: grams(w))).cache()
         vocabulary = CountVectorizer(inputCol="grams", outputCol="x", binary=True, minDF=1).fit(data)
         self.families = sorted(TEMPLATES) + [UNKNOWN]
         index = F.array_position(F.array(*map(F.lit, self.families)), F.col("family")) - 1
@@ -228,7 +238,7 @@ def classifier(spark: SparkSession) -> Classifier:
 
 
 def _pairs() -> list[Column]:
-    return [F.struct(F.lit(f).alias("f"), F.lit(k).alias("template"), F.filter(grams(words(F.lit(t)), 2), lambda g: g.contains(" ")).alias("held"))
+    return [F.struct(F.lit(f).alias("f"), F.lit(k).alias("template"), F.array(*map(F.lit, sorted(word_pairs(t)))).alias("held"))
             for f, ts in TEMPLATES.items() for k, t in enumerate(ts)]
 
 
@@ -244,9 +254,12 @@ def scan(docs: DataFrame) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(may_tell("text"))
     lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "p"))
-    near = lines.where(may_tell("p")).withColumn("w", words(F.col("p")))
+    near = lines.where(may_tell("p"))
+    # what holds no word pair of any template can't be confirmed by one
+    some = F.array(*map(F.lit, sorted({p for ts in TEMPLATES.values() for t in ts for p in word_pairs(t)})))
+    near = near.where(once(words(F.col("p")), lambda w: F.arrays_overlap(grams(w, 2), some)))
     # written, so that its row numbers, which tell repeated rows apart, stay
-    near = table(near.select(F.monotonically_increasing_id().alias("row"), "doc_id", "paragraph", grams(F.col("w")).alias("grams")), "license-paragraphs")
+    near = table(near.select(F.monotonically_increasing_id().alias("row"), "doc_id", "paragraph", once(words(F.col("p")), lambda w: grams(w)).alias("grams")), "license-paragraphs")
     found = model.scored(near, ["row"]).where(F.col("other") > model.least)
     notices = spark.range(1).select(F.explode(F.array(*_pairs())).alias("x")).select("x.*")
     share = F.size(F.array_intersect("grams", "held")) / F.size("held")
