@@ -46,7 +46,7 @@ COORDINATES = 80
 #: in fewer than 48 with a probability of about ``MISS``.
 MATCHES = 48
 MISS = 1e-5
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 BLOCK = 256
 
 _rng = np.random.default_rng(77)
@@ -107,15 +107,13 @@ def shingles_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         for b in slices(batches, "text", 1 << 20):
-            found = shingle_sets(b.column(1), words)
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(map(_digest, found), pa.binary()), pa.array([s.tobytes() for s in found], pa.binary())],
-                ["doc_id", "digest", "shingles"])
+            found = shingle_sets(b.column(2), words)
+            keep = pa.array([_digest(s) == d for s, d in zip(found, b.column(1).to_pylist(), strict=True)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(keep), pa.array([s.tobytes() for s in found], pa.binary()).filter(keep)], ["rep", "shingles"])
 
-    texts = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-             .join(wanted.select("doc_id").distinct(), "doc_id", "left_semi"))
-    full = texts.mapInArrow(run, "doc_id long, digest binary, shingles binary")
-    return full.join(wanted, ["doc_id", "digest"]).select("rep", "shingles")
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    # a doc_id with several texts meets all its digests; only the own one stays
+    return texts.join(wanted, "doc_id").select("rep", "digest", "text").mapInArrow(run, "rep long, shingles binary")
 
 
 def postings(sigs: DataFrame) -> DataFrame:
