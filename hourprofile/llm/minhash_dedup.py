@@ -17,10 +17,15 @@
    members share a component are done.
 5. Open lists are then merged by the component that most of their members are in.
    Members outside that component are compared with all, members inside only with
-   those outside, in blocks of ``BLOCK``, every two blocks a group of their own: first
-   by collisions, then on the full sets, passing over pairs that links found there
-   already connect. Only those links leave the task. So every pair of a list is
-   either tested or inside one component: no link between components is lost.
+   those outside, in blocks of ``BLOCK``, every two blocks a group of their own. One
+   pass counts collisions and keeps the members with a partner of MATCHES or more;
+   the next compares these on the full sets, passing over pairs that links found
+   there already connect. Only those links leave the task. So every pair of a list
+   is either tested or inside one component: no link between components is lost.
+
+Collisions are counted on the low 16 bits of every coordinate, which can only add
+candidates; full sets are made of the texts whose collisions call for them. Joins
+with sides that grow with the input are shuffled at every size (``merge``).
 
 Cases: null, empty and blank texts have no set (n_shingles 0) and link with
 nothing; fewer words than ``WORDS`` make one shingle of all; repeated rows are
@@ -32,6 +37,7 @@ other text are compared by their own text; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -121,14 +127,14 @@ def postings(sigs: DataFrame) -> DataFrame:
     every = sigs.select("rep", F.posexplode("signature").alias("c", "v")).select("rep", F.xxhash64("c", "v").alias("list"))
     shared = table(every.groupBy("list").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "minhash-lists")
     mine = Window.partitionBy("rep")
-    return (every.join(shared, "list")
+    return (every.join(shared.hint("merge"), "list")
             .select("rep", "list", F.count(F.lit(1)).over(mine).alias("present"), F.row_number().over(mine.orderBy("n", "list")).alias("r"))
             .where((F.col("present") >= MATCHES) & (F.col("r") <= F.col("present") - MATCHES + 1)).select("list", "rep"))
 
 
 def _colliding(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
     """The pairs (a, b) of fitting sizes with MATCHES equal coordinates or more."""
-    one, two = (sigs.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("signature").alias(f"s{c}")) for c in "ab")
+    one, two = (sigs.select(F.col("rep").alias(c), F.col("n_shingles").alias(f"n{c}"), F.col("bits").alias(f"s{c}")).hint("merge") for c in "ab")
     hits = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
     sized = 100 * F.least("na", "nb") >= THRESHOLD * F.greatest("na", "nb")
     return pairs.join(one, "a").join(two, "b").where(sized).where(hits >= MATCHES).select("a", "b")
@@ -136,7 +142,7 @@ def _colliding(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
 
 def _confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
     """The pairs whose full sets are similar enough."""
-    one, two = (full.select(F.col("rep").alias(c), F.col("shingles").alias(f"x{c}")) for c in "ab")
+    one, two = (full.select(F.col("rep").alias(c), F.col("shingles").alias(f"x{c}")).hint("merge") for c in "ab")
 
     def run(batches):
         for b in batches:
@@ -151,11 +157,33 @@ def _confirmed(pairs: DataFrame, full: DataFrame) -> DataFrame:
     return pairs.join(one, "a").join(two, "b").select("a", "b", "xa", "xb").mapInArrow(run, "a long, b long")
 
 
+def _partners(rows: pa.Table):
+    """(i, members that may be similar to it by size and collisions, most first)
+    of every member outside the main component; each pair comes once."""
+    comps, sizes = rows.column("comp").to_numpy(), rows.column("n_shingles").to_numpy()
+    minor = rows.column("minor").to_numpy()
+    sigs = np.array(rows.column("bits").combine_chunks().values).reshape(len(comps), -1)
+    for i in np.flatnonzero(minor):
+        # members outside the main component come once per pair, the others always
+        ok = (comps != comps[i]) & (~minor | (np.arange(len(comps)) > i))
+        ok &= 100 * np.minimum(sizes, sizes[i]) >= THRESHOLD * np.maximum(sizes, sizes[i])
+        at = np.flatnonzero(ok)
+        hits = (sigs[at] == sigs[i]).sum(1)
+        yield i, at[hits >= MATCHES][np.argsort(-hits[hits >= MATCHES], kind="stable")]
+
+
+def _live(rows: pa.Table) -> pa.Table:
+    """The members of one group that have a partner in it."""
+    live = np.zeros(len(rows), bool)
+    for i, found in _partners(rows):
+        live[found] = True
+        live[i] |= len(found) > 0
+    return rows.filter(pa.array(live))
+
+
 def _group(rows: pa.Table):
     """Links that connect the similar members of one group; each merge is one link."""
     reps, comps, sizes = (rows.column(c).to_numpy() for c in ("rep", "comp", "n_shingles"))
-    minor = rows.column("minor").to_numpy()
-    sigs = np.array(rows.column("signature").combine_chunks().values).reshape(len(reps), -1)
     full = [np.frombuffer(x.as_buffer(), np.uint64) for x in rows.column("shingles")]
     up = {int(c): int(c) for c in comps}
 
@@ -164,13 +192,8 @@ def _group(rows: pa.Table):
             up[c] = c = up[up[c]]
         return c
 
-    for i in np.flatnonzero(minor):
-        # members outside the main component come once per pair, the others always
-        ok = (comps != comps[i]) & (~minor | (np.arange(len(reps)) > i))
-        ok &= 100 * np.minimum(sizes, sizes[i]) >= THRESHOLD * np.maximum(sizes, sizes[i])
-        at = np.flatnonzero(ok)
-        hits = (sigs[at] == sigs[i]).sum(1)
-        for j in at[hits >= MATCHES][np.argsort(-hits[hits >= MATCHES], kind="stable")]:
+    for i, found in _partners(rows):
+        for j in found:
             a, b = root(int(comps[i])), root(int(comps[j]))
             if a == b:
                 continue
@@ -180,7 +203,7 @@ def _group(rows: pa.Table):
                 yield int(min(reps[i], reps[j])), int(max(reps[i], reps[j]))
 
 
-def _open_links(mine: DataFrame, sigs: DataFrame, full: DataFrame) -> DataFrame:
+def _open_links(mine: DataFrame, sigs: DataFrame, sets: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Links between members of a list that are in different components."""
     share = mine.groupBy("list", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = share.groupBy("list").agg(F.max(F.struct(F.col("n"), -F.col("comp"))).alias("m")).select("list", (-F.col("m.col2")).alias("main"))
@@ -195,15 +218,21 @@ def _open_links(mine: DataFrame, sigs: DataFrame, full: DataFrame) -> DataFrame:
     block = F.when(F.col("minor"), F.pmod(h, "minors").cast("int")).otherwise((-1 - F.pmod(h, F.col("majors"))).cast("int"))
     members = members.withColumn("block", block).withColumn("with", F.explode(F.when(F.col("minor"), F.concat(outside, inside)).otherwise(outside)))
     own = members.where("minor or block <> with").withColumn("group", F.xxhash64("main", F.least("block", "with"), F.greatest("block", "with")))
-    own = own.join(sigs, "rep").join(full, "rep").select("group", "rep", "comp", "n_shingles", "minor", "block", "with", "signature", "shingles")
-    own = own.repartition("group").sortWithinPartitions("group")
+    own = own.select("group", "rep", "comp", "minor").join(sigs.hint("merge"), "rep")
 
-    def run(batches):
+    def partnered(batches):
+        for rows in runs(batches, "group"):
+            yield from _live(rows).to_batches()
+
+    def linked(batches):
         for rows in runs(batches, "group"):
             found = list(_group(rows))
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
 
-    return own.mapInArrow(run, "a long, b long")
+    live = own.repartition("group").sortWithinPartitions("group").mapInArrow(partnered, own.schema)
+    live = table(live, "minhash-live")
+    full = sets(live.select("rep").distinct())
+    return live.join(full.hint("merge"), "rep").repartition("group").sortWithinPartitions("group").mapInArrow(linked, "a long, b long")
 
 
 def links(sigs: DataFrame, docs: DataFrame, names: DataFrame, words: int) -> DataFrame | None:
@@ -211,9 +240,14 @@ def links(sigs: DataFrame, docs: DataFrame, names: DataFrame, words: int) -> Dat
     lists = table(postings(sigs), "minhash-postings")
     if lists.isEmpty():
         return None
-    few = lists.select("rep").distinct()
-    full = table(shingles_of(docs, names.join(few, "rep"), words), "minhash-shingles")
-    sigs = table(sigs.join(few, "rep"), "minhash-candidates")
+    few = table(lists.select("rep").distinct(), "minhash-posted")
+    bits = F.transform("signature", lambda x: F.shiftright(F.shiftleft(x, 48), 48).cast("short"))
+    sigs = table(sigs.join(few, "rep").select("rep", "n_shingles", bits.alias("bits")), "minhash-candidates")
+
+    def sets(reps: DataFrame) -> DataFrame:
+        wanted = table(names.join(reps, "rep"), "minhash-wanted")
+        return table(shingles_of(docs, wanted, words), "minhash-shingles")
+
     found = labels = None
     for turn in range(HUB_ROUNDS + 1):
         mine = lists.withColumn("comp", F.col("rep"))
@@ -229,9 +263,10 @@ def links(sigs: DataFrame, docs: DataFrame, names: DataFrame, words: int) -> Dat
             break
         mine = table(mine.join(still, "list"), "minhash-members")
         if turn == HUB_ROUNDS:
-            return found.unionByName(table(_open_links(mine, sigs, full), "minhash-links"))
+            return found.unionByName(table(_open_links(mine, sigs, sets), "minhash-links"))
         pairs = mine.where("comp <> hub_comp").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-        new = _confirmed(table(_colliding(pairs, sigs), "minhash-close"), full)
+        close = table(_colliding(pairs, sigs), "minhash-close")
+        new = _confirmed(close, sets(close.select(F.explode(F.array("a", "b")).alias("rep")).distinct()))
         found = table(new if found is None else found.unionByName(new), "minhash-links")
         lists = mine.where("rep <> hub").select("list", "rep")
         labels = components(found, "minhash")
