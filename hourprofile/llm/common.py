@@ -186,6 +186,28 @@ def one_hash(text: str) -> int:
     return int(hash_spans(b, np.array([0]), np.array([len(b)]))[0])
 
 
+# ---------------------------------------------------------------- sieve
+
+#: Bits of a sieve (8 MB): so much goes to every task, however many ids there are.
+SIEVE_BITS = 1 << 26
+
+
+def sieved(df: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``df`` without most of the rows whose ``key`` isn't in ``wanted``.
+
+    A bitmap of hashed keys, in rows of 32768 bits, is broadcast: rows without
+    their bit can't join with ``wanted``. Others may not either, so the join
+    follows; with many keys the sieve only lets more rows pass.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(SIEVE_BITS)) + 1
+    bits = (wanted.select(F.bitmap_bucket_number(place).alias("_row"), F.bitmap_bit_position(place).alias("_at"))
+            .repartition("_row").groupBy("_row").agg(F.bitmap_construct_agg("_at").alias("_bits")))
+    at = F.bitmap_bit_position(place)
+    byte = F.substring("_bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))
+    hit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
+    return df.withColumn("_row", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "_row").where(hit).select(df.columns)
+
+
 # ---------------------------------------------------------------- components
 
 

@@ -24,8 +24,9 @@
    is either tested or inside one component: no link between components is lost.
 
 Collisions are counted on the low 16 bits of every coordinate, which can only add
-candidates; full sets are made of the texts whose collisions call for them. Joins
-with sides that grow with the input are shuffled at every size (``merge``).
+candidates; full sets are made of the texts whose collisions call for them, and a
+sieve of fixed size spares most other texts the shuffle. Joins with sides that grow
+with the input are shuffled at every size (``merge``).
 
 Cases: null, empty and blank texts have no set (n_shingles 0) and link with
 nothing; fewer words than ``WORDS`` make one shingle of all; repeated rows are
@@ -44,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, mix, runs, slices, table, words_of
+from .common import components, mix, runs, sieved, slices, table, words_of
 
 THRESHOLD = 80  # percent
 COORDINATES = 80
@@ -119,7 +120,7 @@ def shingles_of(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     # a doc_id with several texts meets all its digests; only the own one stays
-    return texts.join(wanted, "doc_id").select("rep", "digest", "text").mapInArrow(run, "rep long, shingles binary")
+    return sieved(texts, wanted, "doc_id").join(wanted.hint("merge"), "doc_id").select("rep", "digest", "text").mapInArrow(run, "rep long, shingles binary")
 
 
 def postings(sigs: DataFrame) -> DataFrame:
@@ -242,7 +243,7 @@ def links(sigs: DataFrame, docs: DataFrame, names: DataFrame, words: int) -> Dat
         return None
     few = table(lists.select("rep").distinct(), "minhash-posted")
     bits = F.transform("signature", lambda x: F.shiftright(F.shiftleft(x, 48), 48).cast("short"))
-    sigs = table(sigs.join(few, "rep").select("rep", "n_shingles", bits.alias("bits")), "minhash-candidates")
+    sigs = table(sigs.select("rep", "n_shingles", bits.alias("bits")).join(few.hint("merge"), "rep"), "minhash-candidates")
 
     def sets(reps: DataFrame) -> DataFrame:
         wanted = table(names.join(reps, "rep"), "minhash-wanted")
@@ -279,7 +280,7 @@ def classes(docs: DataFrame, words: int = 2) -> DataFrame:
     known = every.where("digest is not null and doc_id is not null")
     first = known.groupBy("digest").agg(F.min(F.struct("doc_id", "row")).alias("f"))
     names = table(first.select("digest", F.col("f.doc_id").alias("doc_id"), F.col("f.row").alias("rep")), "minhash-classes")
-    sigs = known.select(F.col("row").alias("rep"), "n_shingles", "signature").join(names.select("rep"), "rep")
+    sigs = known.select(F.col("row").alias("rep"), "n_shingles", "signature").join(names.select("rep").hint("merge"), "rep")
     sigs = table(sigs, "minhash-signatures")
     found = links(sigs, docs, names, words)
     of_class = names.select("digest", F.col("doc_id").alias("c"))
