@@ -218,6 +218,20 @@ def test_minhash_groups_of_edited_copies(spark):
     assert {r.doc_id: r.component_id for r in minhash_dedup.classes(df).collect()} == want
 
 
+def test_sieve_keeps_every_wanted_row(spark):
+    from hourprofile.llm.common import sieved
+
+    rows = spark.range(-5000, 5000).selectExpr("id as doc_id", "'x' as text", "1 as _note")
+    rows = rows.unionByName(spark.sql("select cast(null as bigint) as doc_id, 'x' as text, 1 as _note"))
+    wanted = spark.range(-5000, 5000, 7).selectExpr("id as doc_id").unionByName(spark.sql("select 3L as doc_id"))
+    got = [r.doc_id for r in sieved(rows, wanted, "doc_id").collect()]
+    want = {r.doc_id for r in wanted.collect()}
+    assert want <= set(got) and len(got) == len(set(got))
+    assert len(got) <= len(want) + 20  # few others share a bit
+    assert sieved(rows, wanted.limit(0), "doc_id").count() == 0
+    assert sieved(rows, wanted, "doc_id").columns == rows.columns
+
+
 def test_html(spark, empty):
     page = ('<html><head><title>t</title><script>var a="</p><p>no</p>";</script></head><body><nav><ul><li><a href="/a">Home</a></li><li><a href="/b">News</a></li></ul></nav>'
             '<div class="ad">Buy now things.</div><article><h1>A  title &amp; more</h1><p>First <b>bold</b>\n text of the story.<br>Second line.</p>'
