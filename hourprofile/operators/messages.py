@@ -19,8 +19,8 @@ CORRUPT = "_corrupt_record"
 
 
 def encode(df: DataFrame, key=None, shape: str = "object",
-           columns: Sequence[str] | None = None) -> DataFrame:
-    """``(key, value)`` frame.
+           columns: Sequence[str] | None = None, offset: Column | None = None) -> DataFrame:
+    """``(key, value)`` frame, with ``offset`` too if its place in the log is given.
 
     ``key``: ``None`` -> ingest time as text (every row of a micro-batch gets
     the same key); a list of column names -> their composite key; a Column.
@@ -38,7 +38,8 @@ def encode(df: DataFrame, key=None, shape: str = "object",
         k = key
     else:
         k = C.composite_key(list(key))
-    return df.select(k.alias("key"), value.alias("value"))
+    place = [] if offset is None else [offset.cast("long").alias("offset")]
+    return df.select(k.alias("key"), value.alias("value"), *place)
 
 
 def _value(df: DataFrame, value_col: str, unescape: bool) -> Column:

@@ -61,11 +61,29 @@ def score(records: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mapping:
     ``filters.all_nonnegative(..., quarantine=True)`` upstream to keep them).
     ``fields`` names the record columns for ``direction`` and ``roadtype``.
     """
-    h = hour if isinstance(hour, Column) else F.lit(int(hour))
-    keyed = records.withColumn("sid", C.composite_key(spec.key))
-    good = filters.all_nonnegative(keyed, spec.volumes)
+    good = filters.all_nonnegative(records, spec.volumes)
     enc = encode.apply(good, mapping, spec.categoricals, on_unseen=on_unseen)
-    d = model.design(enc, spec.categoricals, spec.volumes, keep=[
+    return score_encoded(enc, spec, fields, models, profile, hour, keep)
+
+
+def tagged(decoded: DataFrame, spec: ObsSpec, mapping: DataFrame) -> DataFrame:
+    """Decoded records with their one-hot positions and a ``reason``: ``corrupt``,
+    ``negative``, ``not_finite``, ``missing``, ``unseen`` (a category that the
+    mapping does not know) or ``ok``, the first that holds."""
+    enc = encode.apply(decoded, mapping, spec.categoricals, on_unseen="null")
+    unseen = F.lit(False)
+    for c in spec.categoricals:
+        unseen = unseen | F.col(f"pos_{c}").isNull()
+    volumes = filters.nonnegative_reason(spec.volumes)
+    return enc.withColumn("reason", F.when(F.col("corrupt"), F.lit("corrupt")).when(volumes != "ok", volumes)
+                          .when(unseen, F.lit("unseen")).otherwise(F.lit("ok")))
+
+
+def score_encoded(enc: DataFrame, spec: ObsSpec, fields: Mapping[str, str], models: DataFrame,
+                  profile: DataFrame, hour, keep: Sequence[str] = ()) -> DataFrame:
+    """Score records that have their one-hot positions (``pos_<field>``)."""
+    h = hour if isinstance(hour, Column) else F.lit(int(hour))
+    d = model.design(enc.withColumn("sid", C.composite_key(spec.key)), spec.categoricals, spec.volumes, keep=[
         "sid", *keep,
         F.col(fields["direction"]).alias("direction"),
         F.col(fields["roadtype"]).alias("roadtype"),

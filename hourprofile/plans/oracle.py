@@ -322,6 +322,16 @@ FROM obs o JOIN prof p ON p.id = o.id"""
     q["stream_score"] = _scored_base() + f"SELECT date, {', '.join(RESULT)} FROM scored"
     q["stream_upsert"] = _fold_sql("first")
     q["upsert_latest"] = _fold_sql("latest")
+    twice = "enc2 AS (SELECT * REPLACE (CAST(v08 AS BIGINT) + 100 AS v08), 0 AS copy FROM enc UNION ALL SELECT * REPLACE (CAST(v08 AS BIGINT) AS v08), 1 AS copy FROM enc)"
+    seq = "2 * date_diff('day', CAST(e.date AS DATE), DATE '2024-01-01') + e.copy AS seq"
+    q["stream_upsert_arrival"] = (_fold_sql("first").replace("scored AS (\n  SELECT e.date", f"{twice},\nscored AS (\n  SELECT {seq}, e.date")
+                                  .replace("FROM enc e JOIN", "FROM enc2 e JOIN").replace("ORDER BY date, lanes", "ORDER BY seq, lanes")
+                                  .replace("ORDER BY date DESC", "ORDER BY seq DESC"))
+    station = "CAST(station_id AS BIGINT)"
+    q["stream_quarantine"] = with_ctes(OBS_CTES, _obs_strings()) + f"""SELECT {MSG_KEY_SQL} AS key,
+  CASE WHEN {station} % 11 = 0 THEN 'corrupt' WHEN {kind} = 0 THEN 'negative' WHEN {kind} IN (2, 3) THEN 'not_finite'
+    WHEN {kind} IN (4, 5) THEN 'missing' ELSE 'unseen' END AS reason
+FROM obs_s WHERE {station} % 11 = 0 OR {station} % 13 = 0 OR {kind} NOT IN (1, 6)"""
     q["batch_metrics"] = _scored_base() + "SELECT CAST(count(*) AS BIGINT) AS rows FROM scored"
     q["point_wkt"] = with_ctes(OBS_CTES, STATION_CTES, _profile_cte()) + """SELECT id, lanes,
   'POINT(' || CAST(0.0 - longitude_w AS VARCHAR) || ' ' || CAST(latitude AS VARCHAR) || ')' AS wkt,

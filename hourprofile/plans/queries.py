@@ -408,18 +408,17 @@ def _scoring_inputs(spark: SparkSession, sf_dir: str):
 
 
 def _scored_stream(spark: SparkSession, sf_dir: str):
-    """Run the scoring stream (several micro-batches); returns (path, query)."""
+    """Run the scoring stream (several micro-batches); returns the paths of rows and counts."""
     k = (spark.sparkContext.applicationId, sf_dir, "scored")
     if k not in _STREAM_STAGE:
         mapping, models, profile = _scoring_inputs(spark, sf_dir)
         msgs = S.stream_json_messages(spark, _published(spark, sf_dir), max_files=tv.files_per_trigger(spark, 3))
         out = scratch_path(spark, "scored")
-        q = ST.score_stream(spark, msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile,
-                            out, scratch_path(spark, "score-ckpt"), hour=SCORE_HOUR)
-        q.awaitTermination()
-        _STREAM_STAGE[k] = {"out": out, "query": q}
+        ST.score_stream(spark, msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile, out,
+                        scratch_path(spark, "score-ckpt"), hour=SCORE_HOUR, metrics=out + "-counts").awaitTermination()
+        _STREAM_STAGE[k] = {"out": out, "metrics": out + "-counts"}
     d = _STREAM_STAGE[k]
-    return d["out"], d["query"]
+    return d["out"], d["metrics"]
 
 
 @register
@@ -433,7 +432,7 @@ def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message stream -> decode -> encode -> predict -> profile lookup -> level."""
     out, _ = _scored_stream(spark, sf_dir)
-    return spark.read.parquet(out).withColumn("predicted", F.round("predicted", 6))
+    return spark.read.parquet(out).select("date", *RESULT_COLUMNS).withColumn("predicted", F.round("predicted", 6))
 
 
 @register
@@ -442,8 +441,7 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     lane) wins every column but current, the last row wins current."""
     mapping, models, profile = _scoring_inputs(spark, sf_dir)
     msgs = S.stream_json_messages(spark, _published(spark, sf_dir), max_files=tv.files_per_trigger(spark, 3))
-    rows = ST.scored(msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile,
-                     hour=SCORE_HOUR, metrics=None)
+    rows = ST.scored(msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile, hour=SCORE_HOUR)
     log = scratch_path(spark, "upsert-log")
     ST.upsert_stream(rows, log, scratch_path(spark, "upsert-ckpt")).awaitTermination()
     return ST.read_upserted(spark, log).withColumn("predicted", F.round("predicted", 6))
@@ -460,10 +458,48 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows observed per micro-batch of the scoring stream, summed."""
-    _, q = _scored_stream(spark, sf_dir)
-    counts = ST.observed_rows(q)
-    return spark.createDataFrame([(int(sum(counts)),)], "rows bigint")
+    """Result rows counted per micro-batch of the scoring stream, summed."""
+    _, counts = _scored_stream(spark, sf_dir)
+    return spark.read.parquet(counts).where(F.col("kind") == "scored").agg(F.sum("rows").alias("rows"))
+
+
+def _message_stream(spark: SparkSession, msgs: DataFrame, name: str):
+    """Messages written to a folder of several files, and a stream over it."""
+    topic = scratch_path(spark, name)
+    msgs.repartition(tv.stage_parts(spark), "key").write.json(topic)
+    return S.stream_json_messages(spark, topic, max_files=tv.files_per_trigger(spark, 3))
+
+
+@register
+def stream_upsert_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two messages a station and date, folded in the order of their log offsets
+    (later dates come first, the raised volume before the plain one)."""
+    mapping, models, profile = _scoring_inputs(spark, sf_dir)
+    obs = tv.staged_observations(spark, sf_dir)
+    seq = 2 * F.datediff(F.lit("2024-01-01").cast("date"), F.col("date").cast("date"))
+    raised = obs.withColumn("v08", (F.col("v08").try_cast("bigint") + 100).cast("string")).withColumn("_seq", seq)
+    both = raised.unionByName(obs.withColumn("_seq", seq + 1))
+    msgs = MS.encode(both, key=list(MSG_KEY), columns=TEST_OBS.columns, offset=F.col("_seq"))
+    rows = ST.scored(_message_stream(spark, msgs, "topic-arrival"), TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile, hour=SCORE_HOUR)
+    log = scratch_path(spark, "arrival-log")
+    ST.upsert_stream(rows, log, scratch_path(spark, "arrival-ckpt")).awaitTermination()
+    return ST.read_upserted(spark, log).withColumn("predicted", F.round("predicted", 6))
+
+
+@register
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that the scoring stream rejects, with the reason: odd volumes (see
+    ``DIRTY``), every 11th station's messages cut short, every 13th's segment unknown."""
+    mapping, models, profile = _scoring_inputs(spark, sf_dir)
+    station = F.col("station_id").cast("bigint")
+    obs = dirty_observations(spark, sf_dir).withColumn("segment", F.when(station % 13 == 0, F.lit("NEW")).otherwise(F.col("segment")))
+    value = F.to_json(F.struct(*TEST_OBS.columns))
+    cut = F.when(station % 11 == 0, F.expr("substr(_v, 1, length(_v) - 1)")).otherwise(F.col("_v"))
+    msgs = obs.withColumn("_v", value).select(FN.composite_key(list(MSG_KEY)).alias("key"), cut.alias("value"))
+    out = scratch_path(spark, "sifted")
+    ST.score_stream(spark, _message_stream(spark, msgs, "topic-dirty"), TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile,
+                    out, scratch_path(spark, "sifted-ckpt"), hour=SCORE_HOUR, rejected=out + "-rejected").awaitTermination()
+    return spark.read.parquet(out + "-rejected").select("key", "reason")
 
 
 @register

@@ -42,94 +42,97 @@ def publish(spark: SparkSession, source_dir: str, spec: ObsSpec, out: str, check
     return sinks.stream_json_files(msgs, out, checkpoint, trigger)
 
 
+#: Columns of the log that order its messages; a file twin may give some of them.
+LOG_ORDER = ("timestamp", "partition", "offset")
+
+
+def _log_columns(df: DataFrame) -> list[str]:
+    return [c for c in LOG_ORDER if c in df.columns]
+
+
+def local_hour(zone: str | None = None):
+    """The wall-clock hour in ``zone`` (default: the session's zone), fixed per micro-batch."""
+    now = F.localtimestamp()
+    return F.hour(now if zone is None else F.convert_timezone(None, F.lit(zone), now))
+
+
 def decoded(messages: DataFrame, spec: ObsSpec, shape: str = "object",
             mode: str = "PERMISSIVE") -> DataFrame:
-    """Log frame -> typed records (+ ``key`` and ``corrupt``)."""
-    return MS.decode(messages, spec.schema(), shape=shape, mode=mode, unquote=shape == "array")
+    """Log frame -> typed records (+ ``key``, the log's order and ``corrupt``)."""
+    return MS.decode(messages, spec.schema(), shape=shape, mode=mode, unquote=shape == "array",
+                     keep=("key", *_log_columns(messages)))
 
 
 def scored(messages: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mapping: DataFrame,
-           models: DataFrame, profile: DataFrame, hour=None, keep: Sequence[str] = ("date",),
-           shape: str = "object", metrics: str | None = "scored") -> DataFrame:
-    """Decode, drop corrupt messages, score. ``hour=None`` = wall-clock hour of
-    the micro-batch (``current_timestamp`` is fixed per batch)."""
+           models: DataFrame, profile: DataFrame, hour=None, keep: Sequence[str] | None = None,
+           shape: str = "object", zone: str | None = None) -> DataFrame:
+    """Score the good messages, as one plan (``score_stream`` keeps the others as well).
+
+    ``hour=None`` = wall-clock hour of the micro-batch in ``zone``. ``keep``: by
+    default the date and the log's order, by which ``upsert_stream`` folds.
+    """
+    keep = ["date", *_log_columns(messages)] if keep is None else keep
     good, _ = MS.quarantine(decoded(messages, spec, shape))
-    h = F.hour(F.current_timestamp()) if hour is None else hour
-    out = SC.score(good, spec, fields, mapping, models, profile, h, keep=keep)
-    return out.observe(metrics, F.count(F.lit(1)).alias("rows")) if metrics else out
+    h = local_hour(zone) if hour is None else hour
+    return SC.score(good, spec, fields, mapping, models, profile, h, keep=keep)
 
 
 def score_stream(spark: SparkSession, messages: DataFrame, spec: ObsSpec,
                  fields: Mapping[str, str], mapping: DataFrame, models: DataFrame,
-                 profile: DataFrame, out: str, checkpoint: str, hour=None,
-                 trigger: dict | None = None, keep: Sequence[str] = ("date",),
-                 shape: str = "object") -> StreamingQuery:
-    """Score every micro-batch and append the result rows (Parquet at ``out``)."""
-    df = scored(messages, spec, fields, mapping, models, profile, hour, keep, shape=shape)
-    w = (df.writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", checkpoint).outputMode("append"))
-    return w.trigger(**(trigger or {"availableNow": True})).start()
-
-
-def score_stream_with_quarantine(spark: SparkSession, messages: DataFrame, spec: ObsSpec,
-                                 fields: Mapping[str, str], mapping: DataFrame,
-                                 models: DataFrame, profile: DataFrame, out: str,
-                                 quarantine: str, checkpoint: str, hour=None,
-                                 trigger: dict | None = None,
-                                 keep: Sequence[str] = ("date",), shape: str = "object") -> StreamingQuery:
-    """Like ``score_stream``, and every rejected message is kept: corrupt JSON,
-    a negative, infinite or missing volume, or a category the mapping does not know.
-
-    One pass per micro-batch (``foreachBatch``): the decoded batch is
-    persisted, scored rows go to ``out/epoch=<n>``, rejected rows with a
-    ``reason`` go to ``quarantine/epoch=<n>``; both overwrite their epoch
-    folder, so a replayed epoch is idempotent.
+                 profile: DataFrame | str, out: str, checkpoint: str, hour=None,
+                 trigger: dict | None = None, keep: Sequence[str] | None = None,
+                 shape: str = "object", rejected: str | None = None, metrics: str | None = None,
+                 zone: str | None = None) -> StreamingQuery:
+    """Score every micro-batch; no message is lost.
+
+    Result rows go to ``out/epoch=<n>``, messages that can't be scored, with a
+    ``reason`` (``score.tagged``), to ``rejected/epoch=<n>`` and the counts of result
+    rows (kind ``scored``) and of messages by reason to ``metrics/epoch=<n>``
+    (default folders: ``out`` with a suffix). A replayed epoch overwrites its own
+    folders. A ``profile`` given as a path is read anew for every micro-batch, so a
+    newly written profile takes effect at once.
     """
-    from ..functions import columns as C
-    from ..operators import encode as E
-    from ..operators import filters as FL
-
     dec = decoded(messages, spec, shape)
-    h_fixed = hour
+    keep = ["date", *_log_columns(messages)] if keep is None else keep
+    out, at = out.rstrip("/"), "{}/epoch={}".format
+    rejected, metrics = rejected or out + "_rejected", metrics or out + "_metrics"
+    h = local_hour(zone) if hour is None else hour
 
     def write_epoch(batch: DataFrame, epoch: int) -> None:
-        batch = batch.persist()
+        own = batch.sparkSession
+        prof = own.read.parquet(profile) if isinstance(profile, str) else profile
+        tagged = SC.tagged(batch, spec, mapping).persist()
         try:
-            reason = F.when(F.col("corrupt"), F.lit("corrupt")).otherwise(
-                FL.nonnegative_reason(spec.volumes))
-            tagged = batch.withColumn("reason", reason)
-            # unseen categories: encode with nulls, any null position rejects the row
-            enc = E.apply(tagged.where(F.col("reason") == "ok").drop("reason", "corrupt"),
-                          mapping, spec.categoricals, on_unseen="null", prefix="_q_")
-            unseen = F.lit(False)
-            for c in spec.categoricals:
-                unseen = unseen | F.col(f"_q_{c}").isNull()
-            enc = enc.withColumn("reason", F.when(unseen, F.lit("unseen")).otherwise(F.lit("ok")))
-            good = enc.where(F.col("reason") == "ok").drop("reason", *[f"_q_{c}" for c in spec.categoricals])
-            h = F.hour(F.current_timestamp()) if h_fixed is None else h_fixed
-            SC.score(good, spec, fields, mapping, models, profile, h, keep=keep) \
-                .write.mode("overwrite").parquet(f"{out.rstrip('/')}/epoch={epoch}")
-            bad = tagged.where(F.col("reason") != "ok").drop("corrupt").unionByName(
-                enc.where(F.col("reason") == "unseen").drop(*[f"_q_{c}" for c in spec.categoricals]))
-            bad.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/epoch={epoch}")
+            good = tagged.where(F.col("reason") == "ok")
+            SC.score_encoded(good, spec, fields, models, prof, h, keep).write.mode("overwrite").parquet(at(out, epoch))
+            bad = tagged.where(F.col("reason") != "ok").drop("corrupt", *[f"pos_{c}" for c in spec.categoricals])
+            bad.write.mode("overwrite").parquet(at(rejected, epoch))
+            rows = own.read.parquet(at(out, epoch)).agg(F.lit("scored").alias("kind"), F.count(F.lit(1)).alias("rows"))
+            reasons = tagged.groupBy(F.col("reason").alias("kind")).agg(F.count(F.lit(1)).alias("rows"))
+            rows.unionByName(reasons).coalesce(1).write.mode("overwrite").parquet(at(metrics, epoch))
         finally:
-            batch.unpersist()
+            tagged.unpersist()
 
     w = dec.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def _order(rows: DataFrame, seq: Sequence[str] | None) -> list[str]:
+    return [*_log_columns(rows), "date", "lanes"] if seq is None else list(seq)
+
+
 def upsert_stream(scored_rows: DataFrame, changelog: str, checkpoint: str, key: str = "sid",
-                  seq: Sequence[str] = ("date", "lanes"), policy: str = "first",
+                  seq: Sequence[str] | None = None, policy: str = "first",
                   trigger: dict | None = None) -> StreamingQuery:
     """Fold scored rows per key with streaming state (update mode) and write
     each micro-batch's changed keys to ``changelog/epoch=<n>``.
 
-    State holds one row per key (bounded by the station dimension). A replayed
+    ``seq`` orders the rows of a key; by default the order of the log, as far as the
+    rows have it, then date and lane. State holds one row per key (bounded by the station dimension). A replayed
     epoch overwrites its own folder, so restarts are idempotent;
     ``read_upserted`` gives the table as the upserts leave it.
     """
-    folded = SC.upsert_fold(scored_rows, key, list(seq), policy=policy)
+    folded = SC.upsert_fold(scored_rows, key, _order(scored_rows, seq), policy=policy)
 
     def write_epoch(batch: DataFrame, epoch: int) -> None:
         batch.write.mode("overwrite").parquet(f"{changelog.rstrip('/')}/epoch={epoch}")
@@ -140,7 +143,7 @@ def upsert_stream(scored_rows: DataFrame, changelog: str, checkpoint: str, key:
 
 
 def upsert_stream_jdbc(scored_rows: DataFrame, table: str, options: Mapping[str, str],
-                       checkpoint: str, key: str = "sid", seq: Sequence[str] = ("date", "lanes"),
+                       checkpoint: str, key: str = "sid", seq: Sequence[str] | None = None,
                        update_cols: Sequence[str] = ("current",),
                        trigger: dict | None = None) -> StreamingQuery:
     """Same fold, applied to a database table: each micro-batch's changed keys
@@ -148,7 +151,7 @@ def upsert_stream_jdbc(scored_rows: DataFrame, table: str, options: Mapping[str,
     statement that inserts new keys and updates only ``update_cols``.
     The table is created on the first batch if absent."""
     from ..spec import RESULT_SCHEMA
-    folded = SC.upsert_fold(scored_rows, key, list(seq)).select(*RESULT_COLUMNS)
+    folded = SC.upsert_fold(scored_rows, key, _order(scored_rows, seq)).select(*RESULT_COLUMNS)
 
     def write_epoch(batch: DataFrame, epoch: int) -> None:
         sinks.ensure_table(batch.sparkSession, table, RESULT_SCHEMA, [key], dict(options))
@@ -205,12 +208,3 @@ def compact_upserted(spark: SparkSession, changelog: str, key: str = "sid") -> s
     folded.write.mode("overwrite").parquet(_snapshot_path(changelog))
     return _snapshot_path(changelog)
 
-
-def observed_rows(query: StreamingQuery, name: str = "scored") -> list[int]:
-    """Per-batch row counts recorded by ``DataFrame.observe``."""
-    out = []
-    for p in query.recentProgress:
-        m = (p.get("observedMetrics") or {}).get(name)
-        if m is not None:
-            out.append(int(m["rows"]))
-    return out

@@ -150,8 +150,7 @@ def test_stream_restart_and_upsert_replay(spark, tmp):
 
     mapping, models, profile = Q._scoring_inputs(spark, SF_SMALL)
     msgs = S.stream_json_messages(spark, topic, max_files=1)
-    rows = ST.scored(msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile, hour=8,
-                     metrics=None)
+    rows = ST.scored(msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile, hour=8)
     ST.upsert_stream(rows, tmp + "/log", tmp + "/uck").awaitTermination()
     table = ST.read_upserted(spark, tmp + "/log")
     batch_rows = SC.score(spark.read.json(topic, schema="key string, value string")
@@ -228,9 +227,10 @@ def test_score_stream_quarantine(spark, tmp):
     spark.createDataFrame(bad_rows, "key string, value string").unionByName(msgs) \
         .write.json(tmp + "/topic")
     src = S.stream_json_messages(spark, tmp + "/topic")
-    ST.score_stream_with_quarantine(spark, src, TEST_OBS, TEST_RESULT_FIELDS, mapping, models,
-                                    profile, tmp + "/out", tmp + "/q", tmp + "/ck",
-                                    hour=8).awaitTermination()
+    prof = tmp + "/profile"
+    profile.write.parquet(prof)
+    ST.score_stream(spark, src, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, prof, tmp + "/out",
+                    tmp + "/ck", hour=8, rejected=tmp + "/q", keep=("date",)).awaitTermination()
     q = {r["key"]: r["reason"] for r in spark.read.parquet(tmp + "/q").collect()}
     assert q == {"bad1": "corrupt", "neg": "negative", "unseen": "unseen"}
     got = spark.read.parquet(tmp + "/out").drop("epoch")
@@ -239,3 +239,27 @@ def test_score_stream_quarantine(spark, tmp):
                       keep=("date",)).select(*got.columns)
     assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
     assert got.count() > 0 and good_n > 0
+    # every message is counted once, and so is every result row
+    n = {r["kind"]: r["rows"] for r in spark.read.parquet(tmp + "/out_metrics").groupBy("kind").agg(F.sum("rows").alias("rows")).collect()}
+    assert n.pop("scored") == got.count()
+    assert n == {"ok": good_n, "corrupt": 1, "negative": 1, "unseen": 1}
+
+
+def test_ties_fold_by_sequence(spark, tmp):
+    """Records of one station and date are folded by the log's offsets, in whatever
+    order and micro-batch they come."""
+    mapping, models, profile = Q._scoring_inputs(spark, SF_SMALL)
+    one = tv.observations(spark, SF_SMALL).limit(40).collect()
+    obs = spark.createDataFrame(one, TEST_OBS.schema())
+    copies = [obs.withColumn("v08", F.lit(str(10 + k))).withColumn("_seq", F.lit(k)) for k in range(3)]
+    tables = []
+    for name, order in (("up", (0, 1, 2)), ("down", (2, 1, 0))):
+        for k in order:
+            MS.encode(copies[k], key=list((*TEST_OBS.key, "date")), columns=TEST_OBS.columns, offset=F.col("_seq")) \
+                .coalesce(1).write.mode("append").json(f"{tmp}/{name}")
+        msgs = S.stream_json_messages(spark, f"{tmp}/{name}", max_files=1)
+        rows = ST.scored(msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile, hour=8)
+        ST.upsert_stream(rows, f"{tmp}/{name}-log", f"{tmp}/{name}-ck").awaitTermination()
+        tables.append(ST.read_upserted(spark, f"{tmp}/{name}-log").orderBy("sid").collect())
+        assert len(glob.glob(f"{tmp}/{name}-log/epoch=*")) == 3
+    assert tables[0] and tables[0] == tables[1]

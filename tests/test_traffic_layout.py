@@ -93,8 +93,7 @@ def test_streams_on_traffic_layout(spark, layout, tmp):
     ST.publish(spark, layout + "/data", TRAFFIC_OBS, tmp + "/topic", tmp + "/ck1",
                max_files=1).awaitTermination()
     msgs = S.stream_json_messages(spark, tmp + "/topic", max_files=1)
-    rows = ST.scored(msgs, TRAFFIC_OBS, TRAFFIC_RESULT_FIELDS, mapping, models, prof, hour=7,
-                     metrics=None)
+    rows = ST.scored(msgs, TRAFFIC_OBS, TRAFFIC_RESULT_FIELDS, mapping, models, prof, hour=7)
     ST.upsert_stream(rows, tmp + "/rt", tmp + "/ck2").awaitTermination()
     table = ST.read_upserted(spark, tmp + "/rt").collect()
     assert len(table) == 1 and table[0]["sid"] == "08_000101_North" and table[0]["lanes"] == 1
