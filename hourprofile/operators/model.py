@@ -293,10 +293,11 @@ def load(spark: SparkSession, path: str) -> DataFrame:
 
 # ------------------------------------------------------------------ scoring
 def predict(design_df: DataFrame, models: DataFrame, hour, back_transform: bool = True,
-            out: str = "predicted", n_positions: int | None = None) -> DataFrame:
+            out: str = "predicted", n_positions: int | None = None, integer: bool = False) -> DataFrame:
     """Add the prediction of the hour's model: ``intercept + sum coef[pos] +
     sum coef * log features``; ``exp`` of it when ``back_transform`` (the log
-    offset is not subtracted). The 24-row model table is broadcast.
+    offset is not subtracted), truncated to BIGINT with ``integer``. The 24-row model
+    table is broadcast.
 
     With ``n_positions`` (the number of categorical fields) the sums are
     written out term by term with ``element_at`` -- fully inside generated
@@ -324,5 +325,6 @@ def predict(design_df: DataFrame, models: DataFrame, hour, back_transform: bool
         vol = F.aggregate(F.zip_with(F.slice(coef, k + 1, 23), feats, lambda c, x: c * x),
                           F.lit(0.0), lambda acc, t: acc + t)
     raw = F.col("intercept") + cat + vol
-    return df.withColumn(out, F.exp(raw) if back_transform else raw).drop(
+    value = F.exp(raw) if back_transform else raw
+    return df.withColumn(out, value.cast("bigint") if integer else value).drop(
         "_mh", "intercept", "coef")

@@ -25,16 +25,17 @@ from ..spec import RESULT_COLUMNS, ObsSpec
 
 def publish(spark: SparkSession, source_dir: str, spec: ObsSpec, out: str, checkpoint: str,
             key: Sequence[str] | None = None, shape: str = "object", header: bool = True,
-            max_files: int | None = None, trigger: dict | None = None,
+            max_files: int | None = None, trigger: dict | None = None, multiline: bool = False,
             kafka: Mapping[str, str] | None = None) -> StreamingQuery:
     """CSV files -> ``(key, value)`` messages -> log.
 
     The value is the JSON of the record plus its ingest ``timestamp``. ``key``
-    names the columns of the message key (default: ingest time as text).
+    names the columns of the message key (default: ingest time as text); ``multiline``
+    reads records whose fields hold line breaks (a file is then one split).
     With ``kafka={"servers": ..., "topic": ...}`` the log is a Kafka topic,
     otherwise the JSON-lines folder ``out`` (file twin with the same frame).
     """
-    src = S.stream_csv(spark, source_dir, spec.schema(), header=header, max_files=max_files)
+    src = S.stream_csv(spark, source_dir, spec.schema(), header=header, max_files=max_files, multiline=multiline)
     src = src.withColumn("timestamp", F.current_timestamp())
     msgs = MS.encode(src, key=list(key) if key else None, shape=shape)
     if kafka:

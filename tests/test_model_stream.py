@@ -263,3 +263,17 @@ def test_ties_fold_by_sequence(spark, tmp):
         tables.append(ST.read_upserted(spark, f"{tmp}/{name}-log").orderBy("sid").collect())
         assert len(glob.glob(f"{tmp}/{name}-log/epoch=*")) == 3
     assert tables[0] and tables[0] == tables[1]
+
+
+def test_integer_prediction(spark):
+    """The integer form truncates the back-transformed prediction."""
+    row = spark.createDataFrame([([0, 2], [float(i) / 7 for i in range(24)])], "positions array<int>, logs array<double>")
+    m = M.rule_models(spark, 4)
+    plain = M.predict(row, m, 5, n_positions=2).first()["predicted"]
+    assert M.predict(row, m, 5, n_positions=2, integer=True).first()["predicted"] == int(plain) > 0
+
+
+def test_local_hour_of_a_zone(spark):
+    one = spark.range(1).select(ST.local_hour("UTC").alias("u"), ST.local_hour("Asia/Kolkata").alias("k"),
+                                F.minute(F.localtimestamp()).alias("m")).first()
+    assert one["k"] == (one["u"] + 5 + (one["m"] >= 30)) % 24
