@@ -1,16 +1,17 @@
-"""Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
-
-Every run of ``SEED_WORDS`` words of a test item is a seed. One pass over all
-texts counts in how many texts each seed occurs; an item keeps its rare seeds,
-those in at most ``RARE_FACTOR`` times as many texts as its median seed (function
-words drop out, the seeds of an item that leaked often stay). A second pass finds
-the rare seeds in every text, and around each the text is aligned with the item
-word by word. The best local score, divided by the item's score against itself,
-is the similarity; at ``THRESHOLD`` the text counts as holding the item, edited
-or not.
+"""Benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
+
+Every run of ``SEED_WORDS`` words of a test item is a seed, however many texts hold
+it. One pass over all texts finds the seeds in every text; each says where the item
+would begin. Around that place the words that the item has too are counted: fewer
+than ``THRESHOLD`` of the item's can't reach the threshold, whatever their order, so
+this test loses nothing. What is left is aligned with the item word by word. The
+best local score, divided by the item's score against itself, is the similarity; at
+``THRESHOLD`` the text counts as holding the item, edited or not. Every alignment
+that good and with ``SEED_WORDS`` words of the item in a row lies inside the span
+looked at (``_reach``), and is found; copies without such a run are not.
 
 Items are a query set that goes to the workers in blocks of at most
-``BLOCK_BYTES`` of text, one pair of passes each, whatever their number. Words are
+``BLOCK_BYTES`` of text, one pass each, whatever their number. Words are
 runs of letters and digits, A-Z folded; all other ASCII separates.
 
 Cases: null, empty or wordless items match nothing; null and empty texts hold
@@ -20,8 +21,6 @@ each; an empty table gives no rows; other columns pass through ``without``.
 
 from __future__ import annotations
 
-from collections import defaultdict
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,11 +29,12 @@ from pyspark.sql import functions as F
 from .common import mix, slices, words_of
 
 SEED_WORDS = 3
-RARE_FACTOR, RARE_LEAST = 2, 5
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.6
 BLOCK_BYTES = 8 << 20
 _FILTER_BITS = 22
+#: Places, and words around them, that are held at a time.
+_PLACES, _AROUND = 1 << 20, 1 << 22
 
 
 def seeds_of(words: np.ndarray, n: int) -> np.ndarray:
@@ -48,18 +48,26 @@ def seeds_of(words: np.ndarray, n: int) -> np.ndarray:
     return h
 
 
-def align(item: np.ndarray, text: np.ndarray) -> int:
-    """Best local alignment score of two word sequences."""
+def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
+    """Best local alignment score of two word sequences, and the first word of the
+    text at which an alignment with this score ends."""
     j = np.arange(len(text) + 1) * -GAP
-    row, best = np.zeros(len(text) + 1, np.int64), 0
+    row, best, end = np.zeros(len(text) + 1, np.int64), 0, 0
     for w in item:
         step = np.zeros_like(row)
         step[1:] = row[:-1] + np.where(text == w, MATCH, MISMATCH)
         np.maximum(step, row + GAP, out=step)
         np.maximum(step, 0, out=step)
         row = np.maximum.accumulate(step + j) - j
-        best = max(best, int(row.max()))
-    return best
+        at = int(row.argmax())
+        if (-row[at], at) < (-best, end):
+            best, end = int(row[at]), at
+    return best, end - 1
+
+
+def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges of ``counts`` from ``starts``, one after the other."""
+    return np.arange(int(counts.sum())) + np.repeat(starts - np.cumsum(counts) + counts, counts)
 
 
 class Items:
@@ -70,100 +78,132 @@ class Items:
         ends = np.cumsum(per)
         kept = [(i, h[e - n:e]) for i, n, e in zip(ids, per, ends, strict=True) if n]
         self.ids, self.words = [i for i, _ in kept], [w for _, w in kept]
-        self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
+        self.sizes = np.array([len(w) for w in self.words], np.int64)
         self.lengths = sorted({min(SEED_WORDS, len(w)) for w in self.words})
-        for k, w in enumerate(self.words):
-            for at, s in enumerate(seeds_of(w, min(SEED_WORDS, len(w))).tolist()):
-                self.places[s].append((k, at))
-        self._index()
-
-    def _index(self) -> None:
-        self.seeds = np.array(sorted(self.places), np.uint64)
+        seeds = [seeds_of(w, min(SEED_WORDS, len(w))) for w in self.words]
+        n = np.array([len(x) for x in seeds], np.int64)
+        self.seeds, index = np.unique(np.concatenate([np.zeros(0, np.uint64), *seeds]), return_inverse=True)
+        # (seed, item) of every place, ascending, and the place
+        key = index * len(kept) + np.repeat(np.arange(len(kept)), n)
+        order = np.argsort(key, kind="stable")
+        self.key, self.place = key[order], _ranges(np.zeros(len(kept), np.int64), n)[order]
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
         self.filter[self.seeds >> np.uint64(64 - _FILTER_BITS)] = True
+        self.own = np.zeros(1 << _FILTER_BITS, bool)
+        for k, w in enumerate(self.words):
+            self.own[self._slot(np.full(len(w), k), w)] = True
+
+    @staticmethod
+    def _slot(item: np.ndarray, words: np.ndarray) -> np.ndarray:
+        return mix(words + item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _FILTER_BITS)
+
+    def _reach(self, item: np.ndarray) -> np.ndarray:
+        """Words that an alignment at the threshold can have more than the item."""
+        return (MATCH * (1 - THRESHOLD) / -GAP * self.sizes[item] + 1e-9).astype(np.int64)
+
+    def _need(self, item):
+        """Words that an alignment at the threshold has in common with the item."""
+        return np.ceil(THRESHOLD * self.sizes[item] - 1e-9)
 
     def found(self, h: np.ndarray, doc: np.ndarray):
-        """(text index, word position in the block, seed) of every seed occurrence."""
+        """(word position in the block, index of the seed) of every seed occurrence."""
         for n in self.lengths:
             s = seeds_of(h, n)
             at = np.flatnonzero(self.filter[s >> np.uint64(64 - _FILTER_BITS)] & (doc[:len(s)] == doc[n - 1:]))
-            if len(at) and len(self.seeds):
-                k = np.minimum(np.searchsorted(self.seeds, s[at]), len(self.seeds) - 1)
-                at = at[self.seeds[k] == s[at]]
-                yield doc[at], at, s[at]
-
-    def keep_rare(self, texts_with: dict[int, int]) -> None:
-        per_item: dict[int, list[int]] = defaultdict(list)
-        for s, places in self.places.items():
-            for k in {k for k, _ in places}:
-                per_item[k].append(texts_with.get(s, 0))
-        most = {k: max(RARE_LEAST, RARE_FACTOR * float(np.median(v))) for k, v in per_item.items()}
-        rare = {s: [p for p in places if texts_with.get(s, 0) <= most[p[0]]] for s, places in self.places.items()}
-        self.places = {s: p for s, p in rare.items() if p}
-        self._index()
+            k = np.minimum(np.searchsorted(self.seeds, s[at]), len(self.seeds) - 1)
+            same = self.seeds[k] == s[at]
+            if same.any():
+                yield at[same], k[same]
+
+    def places(self, doc: np.ndarray, at: np.ndarray, seed: np.ndarray, low: int = 0, high: int | None = None):
+        """(text index, item, where the item would begin), each once and ascending, in
+        parts of whole items."""
+        high = len(self.ids) if high is None else high
+        a, b = (np.searchsorted(self.key, seed * len(self.ids) + x) for x in (low, high))
+        if int((b - a).sum()) > _PLACES and high - low > 1:
+            for part in ((low, (low + high) // 2), ((low + high) // 2, high)):
+                yield from self.places(doc, at, seed, *part)
+            return
+        p = _ranges(a, b - a)
+        at = np.repeat(at, b - a)
+        rows = np.stack([doc[at], self.key[p] % len(self.ids), at - self.place[p]])
+        rows = rows[:, np.lexsort(rows[::-1])]
+        new = np.ones(rows.shape[1], bool)
+        new[1:] = (rows[:, 1:] != rows[:, :-1]).any(0)
+        yield rows[:, new]
+
+    def spans(self, rows: np.ndarray, first: np.ndarray):
+        """Of each place the words [low, high) around it, and the number of the run of
+        overlapping spans of the same text and item it is in."""
+        d, k, begin = rows
+        reach = self._reach(k)
+        low = np.maximum(first[d], begin - reach)
+        high = np.minimum(first[d + 1], begin + self.sizes[k] + reach)
+        new = np.ones(len(d), bool)
+        new[1:] = (d[1:] != d[:-1]) | (k[1:] != k[:-1]) | (low[1:] > high[:-1])
+        return low, high, np.cumsum(new) - 1, np.flatnonzero(new)
+
+    def likely(self, rows: np.ndarray, h: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """The places with enough of the item's words around."""
+        if not rows.shape[1]:
+            return rows
+        low, high, run, begins = self.spans(rows, first)
+        start, size = low[begins], np.maximum.reduceat(high, begins) - low[begins]
+        keep = np.zeros(rows.shape[1], bool)
+        total, at = np.cumsum(size), 0
+        while at < len(begins):
+            end = max(int(np.searchsorted(total, total[at] - size[at] + _AROUND, side="right")), at + 1)
+            n = size[at:end]
+            has = self.own[self._slot(np.repeat(rows[1, begins[at:end]], n), h[_ranges(start[at:end], n)])]
+            sums = np.concatenate([[0], np.cumsum(has)])
+            own = slice(begins[at], begins[end] if end < len(begins) else None)
+            shift = (np.cumsum(n) - n - start[at:end])[run[own] - at]
+            keep[own] = sums[high[own] + shift] - sums[low[own] + shift] >= self._need(rows[1, own])
+            at = end
+        return rows[:, keep]
 
     def matches(self, column: pa.Array) -> list[tuple]:
-        """(text index, item id, similarity, first word, last word, seeds) of every text that holds an item."""
+        """(text index, item id, similarity, first word, last word, places) of every text that holds an item."""
         h, doc, per = words_of(column)
         first = np.concatenate([[0], np.cumsum(per)])
-        hits: dict[tuple[int, int], list[int]] = defaultdict(list)
-        for docs, at, seeds in self.found(h, doc):
-            for d, p, s in zip(docs.tolist(), at.tolist(), seeds.tolist(), strict=True):
-                for k, q in self.places[s]:
-                    hits[d, k].append(p - q)  # where the item would begin
-        out = []
-        for (d, k), begins in sorted(hits.items()):
-            item = self.words[k]
-            slack = len(item) // 4 + 2
-            best, where = 0, (0, 0)
-            begins = sorted(set(begins))
-            at = 0
-            while at < len(begins):  # windows that overlap are one
-                low = max(int(first[d]), begins[at] - slack)
-                high = begins[at] + len(item) + slack
-                while at < len(begins) and begins[at] - slack <= high:
-                    high = begins[at] + len(item) + slack
-                    at += 1
-                high = min(int(first[d + 1]), high)
-                score = align(item, h[low:high])
-                if score > best:
-                    best, where = score, (low - int(first[d]), high - int(first[d]) - 1)
-            similarity = best / (MATCH * len(item))
-            if similarity >= THRESHOLD:
-                out.append((d, self.ids[k], similarity, *where, len(begins)))
-        return out
+        out: dict[tuple[int, int], tuple] = {}
+        count: dict[tuple[int, int], int] = {}
+        for at, seed in self.found(h, doc):
+            for rows in self.places(doc, at, seed):
+                rows = self.likely(rows, h, first)
+                if not rows.shape[1]:
+                    continue
+                low, high, run, begins = self.spans(rows, first)
+                for (d, k), n, i, j in zip(rows[:2, begins].T.tolist(), np.bincount(run).tolist(), low[begins].tolist(),
+                                           np.maximum.reduceat(high, begins).tolist(), strict=True):
+                    item, text = self.words[k], h[i:j]
+                    count[d, k] = count.get((d, k), 0) + n
+                    if np.isin(item, text).sum() < self._need(k):
+                        continue
+                    score, last = align(item, text)
+                    if score >= THRESHOLD * MATCH * len(item) - 1e-9 and score > out.get((d, k), (0,))[0]:
+                        _, back = align(item[::-1], text[last::-1])
+                        begin = i - int(first[d])
+                        out[d, k] = score, begin + last - back, begin + last
+        return [(d, self.ids[k], score / (MATCH * len(self.words[k])), a, b, count[d, k])
+                for (d, k), (score, a, b) in sorted(out.items())]
 
 
 def blocks(docs: DataFrame, items: DataFrame):
-    """Blocks of items with their rare seeds, one at a time, as broadcasts."""
+    """Blocks of items with their seeds, one at a time, as broadcasts."""
     spark = docs.sparkSession
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     size = int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     n = -(-size // BLOCK_BYTES)
     for k in range(n):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        block = Items([r.item_id for r in own], [r.text for r in own])
-        shared = spark.sparkContext.broadcast(block)
-
-        def count(batches, shared=shared):
-            block = shared.value
-            for b in slices(batches, "text", 2 << 20):
-                h, doc, _ = words_of(b.column(0))
-                for docs, _, seeds in block.found(h, doc):
-                    # a seed once per text
-                    pairs = np.unique(np.stack([docs.astype(np.uint64), seeds]), axis=1)
-                    u, c = np.unique(pairs[1], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(c.astype(np.int64))], ["seed", "n"])
-
-        counts = (docs.select(F.col("text").cast("string")).mapInArrow(count, "seed long, n long")
-                  .groupBy("seed").agg(F.sum("n").alias("n")).collect())
-        block.keep_rare({r.seed % (1 << 64): r.n for r in counts})
-        yield spark.sparkContext.broadcast(block)
+        yield spark.sparkContext.broadcast(Items([r.item_id for r in own], [r.text for r in own]))
 
 
 def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, first_word, last_word and n_places of every
-    text that holds a test item."""
+    text that holds a test item: the aligned words, counted from 0, and the number
+    of places at which seeds put the item with enough of its words around."""
     schema = "doc_id long, item_id long, similarity double, first_word long, last_word long, n_places long"
     kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

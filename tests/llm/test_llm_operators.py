@@ -261,6 +261,17 @@ def test_decontamination(spark, edges, empty):
     assert decontam.matches(empty, items).count() == 0 and decontam.matches(edges, items.limit(0)).count() == 0
 
 
+def test_decontamination_of_frequent_copies(spark):
+    item = [f"word{k}" for k in range(40)]
+    edited = " ".join(f"other{k}" if k % 4 == 3 else w for k, w in enumerate(item))
+    items = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    rows = [(k, f"before {edited} after {k}") for k in range(60)] + [(60, " ".join(item)), (61, " ".join(item[:20]))]
+    got = {r.doc_id: r for r in decontam.matches(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), items).collect()}
+    assert sorted(got) == list(range(61))
+    assert got[0].similarity == (30 * 2 - 9) / 80 and (got[0].first_word, got[0].last_word) == (1, 39)
+    assert got[60].similarity == 1 and (got[60].first_word, got[60].last_word) == (0, 39)
+
+
 def test_language_id(spark, edges, empty, docs):
     got = queries.op10_language_id(spark, SF).toPandas().merge(docs[["doc_id", "lang"]])
     assert (got.held_out == [zlib.crc32(str(i).encode()) % 4 == 2 for i in got.doc_id]).all()
