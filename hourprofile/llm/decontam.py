@@ -74,7 +74,7 @@ class Items:
     """One block of test items with their seeds."""
 
     def __init__(self, ids: list, texts: list[str]):
-        h, _, per = words_of(pa.array(texts, pa.string()))
+        h, _, per = words_of(pa.array(texts, pa.string()), letters_only=True)
         ends = np.cumsum(per)
         kept = [(i, h[e - n:e]) for i, n, e in zip(ids, per, ends, strict=True) if n]
         self.ids, self.words = [i for i, _ in kept], [w for _, w in kept]
@@ -164,7 +164,7 @@ class Items:
 
     def matches(self, column: pa.Array) -> list[tuple]:
         """(text index, item id, similarity, first word, last word, places) of every text that holds an item."""
-        h, doc, per = words_of(column)
+        h, doc, per = words_of(column, letters_only=True)
         first = np.concatenate([[0], np.cumsum(per)])
         out: dict[tuple[int, int], tuple] = {}
         count: dict[tuple[int, int], int] = {}

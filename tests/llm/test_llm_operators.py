@@ -272,6 +272,16 @@ def test_decontamination_of_frequent_copies(spark):
     assert got[60].similarity == 1 and (got[60].first_word, got[60].last_word) == (0, 39)
 
 
+def test_decontamination_whatever_the_punctuation(spark):
+    words = [f"word{k}" for k in range(24)]
+    item = " ".join(w + ("," if k % 3 == 0 else "." if k % 3 == 1 else "") for k, w in enumerate(words))
+    rows = [(0, " ".join(words)), (1, " ".join(f"**{w}%%%" for w in words)), (2, "|" + "|_".join(words).upper()), (3, '"' + '" - "'.join(words) + '"'), (4, "!!! ,.")]
+    df, items = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(1, item), (2, "...")], "item_id long, text string")
+    got = {r.doc_id: (r.item_id, r.similarity) for r in decontam.matches(df, items).collect()}
+    assert got == {k: (1, 1.0) for k in range(4)}
+    assert [r.doc_id for r in decontam.without(df, items).collect()] == [4]
+
+
 def test_language_id(spark, edges, empty, docs):
     got = queries.op10_language_id(spark, SF).toPandas().merge(docs[["doc_id", "lang"]])
     assert (got.held_out == [zlib.crc32(str(i).encode()) % 4 == 2 for i in got.doc_id]).all()
