@@ -1,6 +1,8 @@
 """Licence scan: a trained paragraph classifier, confirmed by template comparison.
 
-Paragraphs (lines) are read as sets of word 1- to 3-grams from the templates'
+Paragraphs are lines, and runs of lines that follow each other without a blank one
+(a line without words, as one of comment marks only), for notices wrapped over
+several lines. They are read as sets of word 1- to 3-grams from the templates'
 vocabulary. A multinomial logistic regression over these sparse features, fitted
 on variants of the templates and on sentences that only sound alike, gives a
 probability per family and one for ``unknown``. The least probability that counts
@@ -9,6 +11,12 @@ unknown class reach. A paragraph accepted so is compared with the templates of
 its family; the share of a template's word pairs that it holds must reach
 ``SIMILARITY``.
 
+A run reaches from the last ``RUN_WORDS`` words of a line over the lines after it
+until these hold as many (twice the longest template). The smallest runs (or lines)
+that state a family tell its notices in a text apart; smallest runs that share lines
+are one notice. Its row is that of the run most like a template, of equal ones the
+shortest, and names the run's first line.
+
 Texts and paragraphs without any telling word of the templates are passed over
 before n-grams are made: more than 1 - SIMILARITY of every template's word pairs
 hold such a word (checked on loading), so no template could confirm them.
@@ -25,7 +33,7 @@ from __future__ import annotations
 import re
 from itertools import pairwise
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import table
@@ -242,6 +250,28 @@ def _pairs() -> list[Column]:
             for f, ts in TEMPLATES.items() for k, t in enumerate(ts)]
 
 
+#: Words on each side of a line end that runs of lines reach over.
+RUN_WORDS = 2 * max(len(plain_words(t)) for ts in TEMPLATES.values() for t in ts)
+
+
+def runs_of_lines(lines: Column, w: Column, i: Column) -> Column:
+    """(last, w) of the runs of two and more lines from line ``i`` with the words ``w``."""
+    tail = F.slice(w, F.greatest(F.size(w) - (RUN_WORDS - 1), F.lit(1)), RUN_WORDS)
+    none = F.array().cast("array<struct<last: int, w: array<string>>>")
+
+    def further(acc: Column, x: Column) -> Column:
+        def joined(more: Column) -> Column:
+            run = F.struct((i + F.size(acc.runs) + 1).cast("int").alias("last"), more.alias("w"))
+            return F.struct(more.alias("w"), (F.size(more) < F.least(F.size(w), F.lit(RUN_WORDS)) + RUN_WORDS).alias("open"),
+                            F.concat(acc.runs, F.array(run)).alias("runs"))
+
+        stop = F.struct(acc.w.alias("w"), F.lit(False).alias("open"), acc.runs.alias("runs"))
+        return F.when(~acc.open | (F.size(x) == 0), stop).otherwise(once(F.concat(acc.w, F.slice(x, 1, RUN_WORDS)), joined))
+
+    start = F.struct(tail.alias("w"), (F.size(w) > 0).alias("open"), none.alias("runs"))
+    return F.aggregate(F.slice(lines, i + 2, RUN_WORDS), start, further, lambda acc: acc.runs)
+
+
 def scan(docs: DataFrame) -> DataFrame:
     """doc_id, paragraph, family, probability, template and similarity of every
     paragraph that states a licence."""
@@ -252,20 +282,46 @@ def scan(docs: DataFrame) -> DataFrame:
     def may_tell(column: str) -> Column:
         return F.arrays_overlap(F.split(F.lower(column), "[^a-z0-9]+"), telling)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where(may_tell("text"))
-    lines = texts.select("doc_id", F.posexplode(F.split("text", "\n")).alias("paragraph", "p"))
-    near = lines.where(may_tell("p"))
+    texts = (docs.select(F.monotonically_increasing_id().alias("text_row"), F.col("doc_id").cast("long").alias("doc_id"),
+                         F.col("text").cast("string").alias("text")).where(may_tell("text")))
+    lines = texts.select("text_row", "doc_id", F.transform(F.split("text", "\n"), words).alias("lines"))
+    own = F.transform("lines", lambda w, i: F.array(F.struct(i.cast("int").alias("last"), w.alias("w"))))
+    more = F.transform("lines", lambda w, i: runs_of_lines(F.col("lines"), w, i))
+    near = lines.select("text_row", "doc_id", F.posexplode(F.zip_with(own, more, lambda a, b: F.concat(a, b))).alias("paragraph", "x"))
+    near = near.select("text_row", "doc_id", "paragraph", F.inline("x"))
+    near = near.where(F.arrays_overlap("w", telling))
     # what holds no word pair of any template can't be confirmed by one
     some = F.array(*map(F.lit, sorted({p for ts in TEMPLATES.values() for t in ts for p in word_pairs(t)})))
-    near = near.where(once(words(F.col("p")), lambda w: F.arrays_overlap(grams(w, 2), some)))
+    near = near.where(F.arrays_overlap(grams(F.col("w"), 2), some))
     # written, so that its row numbers, which tell repeated rows apart, stay
-    near = table(near.select(F.monotonically_increasing_id().alias("row"), "doc_id", "paragraph", once(words(F.col("p")), lambda w: grams(w)).alias("grams")), "license-paragraphs")
-    found = model.scored(near, ["row"]).where(F.col("other") > model.least)
+    near = table(near.select(F.monotonically_increasing_id().alias("row"), "text_row", "doc_id", "paragraph", "last", grams(F.col("w")).alias("grams")), "license-paragraphs")
     notices = spark.range(1).select(F.explode(F.array(*_pairs())).alias("x")).select("x.*")
     share = F.size(F.array_intersect("grams", "held")) / F.size("held")
+    # runs of lines are compared first: few hold half of a template
+    run = F.col("last") > F.col("paragraph")
+    half = F.exists(F.array(*[x["held"] for x in _pairs()]), lambda held: F.size(F.array_intersect("grams", held)) >= SIMILARITY * F.size(held))
+    near = near.where(~run | half)
+    found = model.scored(near, ["row"]).where(F.col("other") > model.least)
     close = (found.join(near, "row").join(F.broadcast(notices), F.col("best") == F.col("f"))
              .withColumn("similarity", share).where(F.col("similarity") >= SIMILARITY))
-    return (close.groupBy("row", "doc_id", "paragraph", F.col("best").alias("family"))
-            .agg(F.max("other").alias("probability"), F.max(F.struct("similarity", -F.col("template"))).alias("m"))
-            .select("doc_id", F.col("paragraph").cast("long").alias("paragraph"), "family", "probability",
-                    (-F.col("m.col2")).alias("template"), F.col("m.similarity").alias("similarity")))
+    close = (close.groupBy("row", "text_row", "doc_id", "paragraph", "last", F.col("best").alias("family"))
+             .agg(F.max("other").alias("probability"), F.max(F.struct("similarity", -F.col("template"))).alias("m")))
+    # the smallest runs tell the notices apart: those that share lines are one place
+    def over(*order, end: int = 0):
+        return Window.partitionBy("text_row", "family").orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
+
+    inwards, outwards = (F.desc("paragraph"), F.asc("last")), (F.asc("last"), F.desc("paragraph"))
+    inner = F.min("last").over(over(*inwards, end=-1))
+    close = close.withColumn("least", F.coalesce(inner > F.col("last"), F.lit(True)))
+    onwards = (F.asc("paragraph"), F.asc("last"))
+    ended = F.max(F.when(F.col("least"), F.col("last"))).over(over(*onwards, end=-1))
+    close = close.withColumn("new", F.col("least") & F.coalesce(F.col("paragraph") > ended, F.lit(True)))
+    close = close.withColumn("place", F.when(F.col("least"), F.sum(F.col("new").cast("int")).over(over(*onwards))))
+    # of the runs that hold runs of one place only, the one most like a template
+    low = F.min(F.when(F.col("least"), F.struct("last", "place"))).over(over(*inwards))["place"]
+    high = F.max(F.when(F.col("least"), F.struct("paragraph", "place"))).over(over(*outwards))["place"]
+    close = close.withColumn("low", low).withColumn("high", high).where(F.col("low") == F.col("high"))
+    best = F.struct(F.col("m.similarity"), (F.col("paragraph") - F.col("last")).alias("short"), (-F.col("paragraph")).alias("p"), "m", "probability", "doc_id")
+    return (close.groupBy("text_row", "family", "low").agg(F.max(best).alias("x"))
+            .select("x.doc_id", (-F.col("x.p")).cast("long").alias("paragraph"), "family", "x.probability",
+                    (-F.col("x.m.col2")).alias("template"), F.col("x.m.similarity").alias("similarity")))

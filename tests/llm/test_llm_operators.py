@@ -50,6 +50,39 @@ def test_licenses(spark, edges, empty):
     assert got == sorted([(0, 1, "mit"), (2, 1, "cc-by-nc"), (3, 1, "cc-by"), (4, 1, "gpl")] * 2)
 
 
+def test_wrapped_licenses(spark):
+    mit = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software."""
+    gpl = """/*
+ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+ */
+int main() { return 0; }"""
+    bsd = """# Redistribution and use in source and binary
+# forms, with or without modification, are
+# permitted provided that the following
+# conditions are met:
+# nothing else"""
+    apart = "Permission is hereby granted, free of charge,\n\nto any person obtaining a copy\n\nof this software"
+    narrow = "\n".join(licenses.TEMPLATES["isc"][1].split())
+    other = "the river ran on\n" * 30
+    texts = [mit, gpl, bsd, apart, narrow, other + "Released under the\nMIT License.\n" + other, "Released under the MIT License.\nand more\nReleased under the MIT License."]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(0, mit)], "doc_id long, text string")
+    rows = licenses.scan(df).collect()
+    got = sorted((r.doc_id, r.paragraph, r.family) for r in rows)
+    assert {r.similarity for r in rows if r.doc_id in (1, 2, 4, 5, 6)} == {1.0}
+    assert got == [(0, 4, "mit"), (0, 4, "mit"), (1, 1, "gpl"), (2, 0, "bsd"), (4, 0, "isc"), (5, 30, "mit"), (6, 0, "mit"), (6, 2, "mit")], got
+
+
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
             "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
 
