@@ -49,5 +49,5 @@ def mask_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in training sequences."""
-    return packing.pack(docs, *vocabulary(), keep_ids=False)
+    """Pieces of all documents in training sequences, with their ids."""
+    return packing.pack(docs, *vocabulary())

@@ -338,3 +338,12 @@ def test_pipeline(spark, docs):
     assert seen[1] == len(docs) and seen[2] == sum(i == r for i, r in want.items()) and seen[3] <= seen[2] and seen[4] == seen[3]
     packed = cp.run(spark, SF)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == {r.doc_id for r in df.select("doc_id").collect()}
+
+
+def test_pipeline_writes_the_packed_ids(spark, docs):
+    from hourprofile.llm import stages
+    df = spark.createDataFrame([(int(i), t) for i, t in docs[["doc_id", "text"]].head(20).itertuples(index=False)], "doc_id long, text string")
+    rows = stages.pack(spark, df, SF).collect()
+    assert all(len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32 for r in rows) and len({r.doc_id for r in rows}) == 20
+    got = queries.op4_packing(spark, SF)
+    assert got.columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and "crc32(ids" in got._jdf.queryExecution().analyzed().toString()
