@@ -243,3 +243,38 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     if labels is None:
         return edges.select(F.col("a").alias("id"), F.col("b").alias("component")).limit(0)
     return labels
+
+
+def marked(df: DataFrame, wanted: DataFrame, keys: list[str], out: str) -> DataFrame:
+    """``df`` with a flag ``out``: false says that no row of ``wanted`` has the same
+    ``keys``, true that one probably has (the bitmap of ``sieved``, kept as a column)."""
+    place = F.pmod(F.xxhash64(*keys), F.lit(SIEVE_BITS)) + 1
+    bits = (wanted.select(F.bitmap_bucket_number(place).alias("_row"), F.bitmap_bit_position(place).alias("_at"))
+            .repartition("_row").groupBy("_row").agg(F.bitmap_construct_agg("_at").alias("_bits")))
+    at = F.bitmap_bit_position(place)
+    byte = F.substring("_bits", (F.shiftright(at, 3) + 1).cast("int"), F.lit(1))
+    hit = F.getbit(F.conv(F.hex(byte), 16, 10).cast("int"), (at % 8).cast("int")) == 1
+    return (df.withColumn("_row", F.bitmap_bucket_number(place)).join(F.broadcast(bits), "_row", "left")
+            .select(*df.columns, F.coalesce(hit, F.lit(False)).alias(out)))
+
+
+#: A group is hot with more than one in so many of all rows; so many groups are hot at most.
+HOT_GROUPS = 1000
+
+
+def with_group(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """Left join of every row to the one row of its group.
+
+    Groups with over ``total / HOT_GROUPS`` rows (so ``HOT_GROUPS`` of them at most)
+    are broadcast; the others are shuffled with the rest of the rows, of which no
+    key holds more than that share. A null key is a group like any other.
+    """
+    k, mine = f"_{key}", [F.col(c).alias(f"_{c}") for c in groups.columns]
+    hot = F.broadcast(groups.where(F.col(size) * HOT_GROUPS > total).select(*mine))
+    cold = groups.where(F.col(size) * HOT_GROUPS <= total).select(*mine).hint("merge")
+    rest = [c for c in groups.columns if c != key]
+    found = [F.col(f"_{c}").alias(c) for c in rest]
+    first = rows.join(hot, rows[key].eqNullSafe(F.col(k)), "left")
+    done = first.where(F.col(f"_{size}").isNotNull()).select(*rows.columns, *found)
+    left = first.where(F.col(f"_{size}").isNull()).select(*rows.columns)
+    return done.unionByName(left.join(cold, left[key].eqNullSafe(F.col(k)), "left").select(*rows.columns, *found))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, embed_dedup, html_text, langid, licenses, minhash_dedup, ngram_lm, packing, pii, token_counts
+from . import (ball_kmeans, decontam, embed_dedup, exact_dedup, html_text, langid, licenses, minhash_dedup, ngram_lm, packing, pii,
+               token_align, token_counts)
 from .common import bucket_mod, load
 
-VOCABULARY = "byte_bpe_50k.json"
+VOCABULARY, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def vocabulary(name: str = VOCABULARY) -> tuple[str, str]:
@@ -65,6 +67,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = exact_dedup.duplicates(load(spark, sf_dir, "documents"), every_digest=True)
+    return out.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = token_align.align(load(spark, sf_dir, "documents"), *vocabulary(), vocabulary(PIECES)[0])
+    return documents
+
+
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes, books = ball_kmeans.compress(load(spark, sf_dir, "embeddings"))
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return codes.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_pii": op2_pii,
@@ -76,7 +94,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_text": op8_html_text,
     "op9_decontamination": op9_decontamination,
     "op10_language_id": op10_language_id,
+    "op11_exact_dedup": op11_exact_dedup,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_vector_codes": op13_vector_codes,
 }
-#: None of these results can be had from SQL: they need trained models,
+
+
+def _codes_sql() -> str:
+    """Two rounds of product k-means, every part against every entry."""
+    ctes = ["""kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)""", """parts AS MATERIALIZED (
+  SELECT vec_id, label, p, list_slice(v, p * len(v) // 16 + 1, (p + 1) * len(v) // 16) AS x FROM kept, range(16) AS r(p)
+)""", """b0 AS MATERIALIZED (
+  SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM parts
+  WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)
+)"""]
+    for r in range(3):
+        ctes.append(f"""a{r} AS MATERIALIZED (
+  SELECT a.vec_id, a.label, a.p, a.x,
+    min(list_sum(list_transform(list_zip(a.x, b.x), lambda t: (t[1] - t[2]) * (t[1] - t[2]))) * 64 + b.e) AS k
+  FROM parts a JOIN b{r} b ON a.p = b.p GROUP BY a.vec_id, a.label, a.p, a.x
+)""")
+        if r < 2:
+            ctes.append(f"""b{r + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(c.x, b.x) AS x FROM b{r} b LEFT JOIN (
+    SELECT p, e, list(m ORDER BY i) AS x FROM (
+      SELECT p, CAST(k % 64 AS BIGINT) AS e, i, CAST(floor(CAST(sum(x[i]) AS DOUBLE) / count(*)) AS BIGINT) AS m
+      FROM a{r}, range(1, 1025) AS r(i) WHERE i <= len(x) GROUP BY ALL) GROUP BY p, e) c ON b.p = c.p AND b.e = c.e
+)""")
+    return "WITH " + ", ".join(ctes) + """, coded AS (
+  SELECT vec_id, label, string_agg(printf('%02x', CAST(k % 64 AS INTEGER)), '' ORDER BY p) AS code, CAST(sum(k // 64) AS BIGINT) AS error
+  FROM a2 GROUP BY vec_id, label
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(x, ','), ',' ORDER BY p, e)) FROM b2) AS codebooks_sha256
+FROM coded"""
+
+
+#: The other results can't be had from SQL: they need trained models,
 #: vocabularies or offsets in code points. tests/llm holds the other checks.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op11_exact_dedup": r"""SELECT doc_id, first_value(doc_id) OVER w AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
+  row_number() OVER w = 1 AS kept, text_sha256
+FROM (SELECT doc_id, length(coalesce(text, '')) AS points,
+  sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256 FROM documents)
+WINDOW w AS (PARTITION BY text_sha256 ORDER BY points DESC, doc_id)""",
+    "op13_vector_codes": _codes_sql(),
+}
