@@ -47,7 +47,7 @@ from .byte_bpe import byte_letters, has_long_run, rank_encoding
 from .common import slices, table
 
 #: Text bytes of one run, records of one zstd block, radix bits.
-BLOCK, RECORDS, RADIX_BITS = 8 << 20, 1 << 16, 3
+BLOCK, RECORDS, RADIX_BITS = 2 << 20, 1 << 16, 3
 #: Compressed run bytes that one group of the merge holds.
 GROUP_BYTES = 64 << 20
 #: Bits of an id of each side and of a document's place in its run; with the radix they fill 63.
