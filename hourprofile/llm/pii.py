@@ -16,6 +16,7 @@ columns pass through ``mask``.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import random
@@ -99,7 +100,9 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|\s+|.", re.S)
 _SPELLED = re.compile(r"[\[({<]\s?(?:at|dot|punkt|arroba|@|\.)\s?[\])}>]", re.I)
 _GOES_ON = re.compile(r"\s?[\[({<]\s?(?:dot|punkt|\.)\s?[\])}>]|\s(?:dot|punkt)\s|\.\w", re.I)
+_LATER_DOT = re.compile(r"\.\w|[\[({<]\s?\.|\b(?:dot|punkt|punto|point)\b", re.I)
 _WORD_AT, _WORD_DOT = {"at", "arroba"}, {"dot", "punkt", "punto", "point"}
+_SIGNS = _WORD_AT | _WORD_DOT
 _CUES = {"phone": {"phone", "tel", "telephone", "call", "mobile", "fax", "cell", "text", "telefon", "tél", "teléfono"},
          "email": {"mail", "email", "contact", "write", "address", "reach", "e"},
          "card": {"card", "visa", "mastercard", "amex", "credit", "debit", "karte", "carte", "tarjeta"},
@@ -113,10 +116,12 @@ class Window:
         self.text = text
         self.tokens = [(m[0], m.start(), m.end()) for m in _TOKEN.finditer(text)]
         low = [t[0].lower() for t in self.tokens]
-        self.digits, self.marks = [0], [0]
+        self.digits, self.marks, self.words, self.loose = [0], [0], [0], [0]
         for k, t in enumerate(low):
             self.digits.append(self.digits[-1] + (len(t) if t[0].isdigit() and t.isascii() else 0))
             self.marks.append(self.marks[-1] + self._mark(low, k))
+            self.words.append(self.words[-1] + t[0].isalpha())
+            self.loose.append(self.loose[-1] + self._loose(low, k))
         self.low = low
 
     @staticmethod
@@ -129,26 +134,63 @@ class Window:
         bracketed = any(t in "[({<" for t in low[max(0, k - 2):k] if not t.isspace())
         return int(bracketed or any(t in _WORD_DOT for t in low[k + 1:k + 12]))
 
+    @staticmethod
+    def _loose(low: list[str], k: int) -> int:
+        """White space between two words neither of which is a sign of an address."""
+        if not low[k].isspace() or not 0 < k < len(low) - 1:
+            return 0
+        sides = low[k - 1], low[k + 1]
+        return int(all(t[0].isalnum() and t not in _SIGNS for t in sides))
+
     def segments(self):
-        """(first token, end token, kinds) of the candidates."""
+        """(first token, end token, kinds) of the candidates.
+
+        An address holds one at sign, written or spelled, inside, and no loose words;
+        the others hold no letter. What arithmetic decides is decided here: a card has a right
+        check digit, separators of one kind and no single digits, and an ip four parts of at
+        most 255 with dots between.
+        """
         n = len(self.tokens)
         for i in range(n):
             t = self.low[i]
             if t.isspace() or not (t[0].isalnum() or t in "+("):
                 continue
-            for j in range(i + 1, min(n, i + MAX_TOKENS) + 1):
+            most = min(n, i + MAX_TOKENS)
+            if t[0].isalpha() and self.marks[most] == self.marks[i]:
+                continue
+            for j in range(i + 1, most + 1):
                 last = self.low[j - 1]
-                if "\n" in last:
+                marks = self.marks[j] - self.marks[i]
+                if "\n" in last or marks > 1:
                     break
-                if self.marks[j] - self.marks[i] > 1 or not last[0].isalnum():
+                if not last[0].isalnum():
                     continue
-                if self.marks[j] > self.marks[i]:
+                if marks:
+                    if self.loose[j] > self.loose[i]:
+                        break
                     if t[0].isalnum() and self.marks[i + 1] == self.marks[i] and self.marks[j - 1] > self.marks[i]:
                         yield i, j, (1,)
-                elif any(x[0].isalpha() for x in self.low[i:j]):
-                    break
-                elif 4 <= (d := self.digits[j] - self.digits[i]) <= 19 and j - i > 1:
-                    yield i, j, tuple(k for k, least, most in ((2, 4, 12), (3, 13, 19), (4, 7, 15)) if least <= d <= most)
+                elif self.words[j] == self.words[i] and 4 <= (d := self.digits[j] - self.digits[i]) <= 19 and j - i > 1:
+                    if kinds := self._digit_kinds(i, j, d):
+                        yield i, j, kinds
+
+    def _digit_kinds(self, i: int, j: int, digits: int) -> tuple[int, ...]:
+        own = self.low[i:j]
+        kinds = []
+        if digits <= 12:
+            parts = [t for t in own if t[0].isdigit()]
+            between = "".join("d" if t[0].isdigit() else t for t in own).split("d")[1:-1]
+            if len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts) and all("." in b for b in between):
+                kinds.append(2)
+        if ":" not in own:
+            groups = [t for t in own if t[0].isdigit()]
+            between = "".join("d" if t[0].isdigit() else t for t in own).split("d")[1:-1]
+            alike = len(set(between)) == 1
+            if digits >= 14 and alike and min(map(len, groups)) >= 2 and luhn("".join(groups)):
+                kinds.append(3)
+            if 7 <= digits <= 15:
+                kinds.append(4)
+        return tuple(kinds)
 
     def features(self, i: int, j: int) -> list[str]:
         """What a candidate looks like as a whole and what is around it."""
@@ -164,10 +206,8 @@ class Window:
         if self.marks[j] > self.marks[i]:
             dots = sum(t in _WORD_DOT or t == "." for t in own)
             out += ["at:" + ("sign" if "@" in own else "word"), "dots:%d" % min(dots, 3), "last:%d" % min(len(own[-1]), 7), "gaps:%d" % min(sum(t.isspace() for t in own), 5)]
-            signs = {*_WORD_AT, *_WORD_DOT}
-            plain = sum(a[0].isalnum() and c[0].isalnum() and b.isspace() and a not in signs and c not in signs for a, b, c in zip(own, own[1:], own[2:], strict=False))
             out.append("more:%d" % bool(_GOES_ON.match(self.text, e)))
-            out += ["plain:%d" % min(plain, 3), "ends:%d" % any(t in signs - _WORD_AT or t == "." for t in own[-4:-1])]
+            out.append("ends:%d" % any(t in _WORD_DOT or t == "." for t in own[-4:-1]))
             k = next(x for x, t in enumerate(own) if t == "@" or t in _WORD_AT)
             out += ["local:%d" % min(sum(t[0].isalnum() for t in own[:k]), 4), "bracket:%d" % any(t in "[({<" for t in own)]
         else:
@@ -326,6 +366,15 @@ def _sentences(n: int, seed: int = 11) -> list[tuple[str, list[tuple[int, int, i
     def other():
         d = num(16)
         day, time = f"{num(4)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}", f"{rng.randint(0, 23):02d}:{num(2)}"
+        ean, year = f"97{rng.choice('89')}", 1990 + int(num(2)) % 40
+        stated = f"{year}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}"
+        scores = " ".join(f"{rng.randint(0, 30)}-{rng.randint(0, 30)}" for _ in range(rng.randint(2, 5)))
+        decimals = f"{num(1)}.{num(5)} {num(5)} {num(5)}", f"{num(1)}.{num(rng.randint(6, 14))}", f"{num(2)}.{num(4)}, {num(3)}.{num(4)}"
+        version = ".".join(num(rng.randint(1, 2)) for _ in range(3)) + rng.choice([f"-{num(4)}{num(2)}", f".{num(4)}", f"-{num(2)}.{num(4)}", f" {num(4)}"])
+        if rng.random() < 0.4:
+            return rng.choice([scores, scores, *decimals, version, f"{stated} {time}:{num(2)}", f"{stated} {num(4)}", f"{stated} {stated}", f"{stated} - {stated}", f"{year}-{year + 4} {num(3)}",
+                               f"ISBN {ean}-{num(1)}-{num(2)}-{num(6)}-{num(1)}", f"isbn {num(1)}-{num(3)}-{num(5)}-{num(1)}", f"{ean}-{num(1)}-{num(4)}-{num(4)}-{num(1)}",
+                               f"{num(3)}.{num(3)}.{num(3)},{num(2)}", f"{num(1)},{num(3)},{num(3)}.{num(2)}", f"({num(4)}) {num(2)}-{num(2)}", f"pp. {num(3)}-{num(3)}, {num(4)}"])
         return rng.choice([num(rng.randint(4, 18)), f"{day} {time}", f"{day}T{time}:{num(2)}", f"{rng.randint(1, 12)}/{rng.randint(1, 28)}/{num(4)} {time}", f"{num(4)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}", f"{rng.randint(0, 23)}:{num(2)}:{num(2)}",
                            f"{rng.randint(1, 30)}.{rng.randint(1, 12)}.{num(4)}", f"{num(1)}.{num(2)}.{num(1)}", f"{num(2)},{num(3)},{num(3)}", f"{num(3)} of {num(4)}",
                            " ".join(num(rng.randint(1, 5)) for _ in range(rng.randint(2, 6))), f"{word()}{num(6)}{word()}{num(5)}", f"{num(5)}-{num(4)}-{num(2)}",
@@ -365,24 +414,26 @@ def _windows(text: str, base: list[tuple[int, int, str]]):
     for sign in ("@", " dot ", " punkt "):
         at = text.find(sign)
         while at >= 0:
-            spots.append((at, at + len(sign)))
+            if sign != "@" or _LATER_DOT.search(text, at, at + MARGIN):
+                spots.append((at, at + len(sign)))
             at = text.find(sign, at + 1)
     taken = sorted(base)
     spots = sorted(s for s in spots if not any(a <= s[0] and s[1] <= b for a, b, _ in _near(taken, s[0])))
-    k = 0
+    k, done = 0, 0
     while k < len(spots):
-        lo, hi = max(0, spots[k][0] - MARGIN), spots[k][1] + MARGIN
+        lo, hi = spots[k][0] - MARGIN, spots[k][1] + MARGIN
         while k < len(spots) and spots[k][0] - MARGIN <= hi:
             hi = max(hi, spots[k][1] + MARGIN)
             k += 1
-        while lo and not text[lo - 1].isspace() and lo > spots[0][0] - 4 * MARGIN:
+        least = max(done, lo - 3 * MARGIN, 0)
+        lo = max(lo, done, 0)
+        while lo > least and not text[lo - 1].isspace():
             lo -= 1
         yield lo, text[lo:hi]
+        done = hi
 
 
 def _near(spans: list[tuple[int, int, str]], at: int):
-    import bisect
-
     k = bisect.bisect_right(spans, (at, 1 << 62, "")) - 1
     return spans[max(0, k - 3):k + 1]
 
@@ -391,10 +442,14 @@ def all_spans(text: str, crf: SemiCrf, base: list[tuple[int, int, str]] | None =
     """Base spans and the field's spans that touch none of them."""
     base = base_spans(text) if base is None else base
     found = list(base)
+    starts, reach = [a for a, _, _ in base], []
+    for _, b, _ in base:
+        reach.append(max(b, reach[-1] if reach else 0))
     for lo, part in _windows(text, base):
         for s, e, kind in crf.decode(part):
             s, e = s + lo, e + lo
-            if not any(a < e and s < b for a, b, _ in found):
+            k = bisect.bisect_left(starts, e)  # spans that start before the end
+            if not (k and reach[k - 1] > s):
                 found.append((s, e, kind))
     return sorted(found, key=lambda x: (x[0], KINDS.index(x[2])))
 
