@@ -5,7 +5,8 @@ the path of open elements, their class and id words. Scripts, styles and other
 markup that is never shown hold no blocks. Every block becomes a vector of hashed
 path parts, hashed words and a few plain figures; a bidirectional LSTM in numpy
 reads the page's sequence both ways and labels every block with the whole page as
-context. Blocks labelled as article text are kept in page order.
+context. Blocks labelled as article text are kept in page order. Markup is read in one
+forward scan, every byte of it a bounded number of times, at any depth.
 
 The network is trained when first used, on generated pages of many layouts whose
 blocks are labelled by construction; it is the same in every run.
@@ -21,6 +22,7 @@ import html
 import random
 import re
 import zlib
+from collections import Counter
 from functools import lru_cache
 
 import numpy as np
@@ -35,11 +37,13 @@ PATH_DIM, WORD_DIM, HIDDEN = 96, 24, 24
 BATCH_STEPS = 20_000
 TRAINING_PAGES, EPOCHS = 1200, 8
 
-_TAG = re.compile(
-    r"<!--(?:.*?-->|.*\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|object|textarea|select|canvas|math)\b(?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*>(?:.*?</\1\s*>|.*\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"<]*\"|'[^'<]*')*+)>"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)>|<[!?][^>]*>", re.S | re.I)
+#: What follows a tag's name up to its end; it can't run past the next "<", so a failure is cheap.
+_REST = re.compile(r"(?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*+>")
+_NAME = re.compile(r"/?[a-zA-Z][^\s/>]*")
+#: Elements whose content is never shown; of those that aren't closed only these two run to the end.
+_HIDDEN = frozenset("script style noscript template svg iframe object textarea select canvas math".split())
+_RAW = frozenset(("script", "style"))
+_END = {name: re.compile(rf"</{name}(?=[\s/>])", re.I) for name in _HIDDEN}
 _ATTR = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PARTS = re.compile(r"[a-z]+|[0-9]+")
 #: Elements that don't end a block.
@@ -49,11 +53,93 @@ _CLOSED_BY_BLOCK = frozenset({"p"})
 _SIBLINGS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table", "tbody", "thead", "tfoot"), "td": ("tr",), "th": ("tr",), "option": ("select",)}
 
 
-class Block:
-    __slots__ = ("path", "text", "linked", "label")
+class Node:
+    """An open element: its path is its parent's and its own tag and names."""
+
+    __slots__ = ("parent", "tag", "items", "sum")
+
+    def __init__(self, parent, tag: str, names: tuple[str, ...]):
+        self.parent, self.tag, self.sum = parent, tag, None
+        self.items = (tag, *("." + y for y in names)) if tag else ()
+
+    def path_sum(self) -> np.ndarray:
+        """Signed hashes of the whole path added up; every element is added once."""
+        todo, node = [], self
+        while node.sum is None and node.parent is not None:
+            todo.append(node)
+            node = node.parent
+        total = np.zeros(PATH_DIM, np.float32) if node.sum is None else node.sum
+        for node in reversed(todo):
+            total = total.copy()
+            for x in node.items:
+                _add(total, x)
+            if node is self or len(todo) < 3:  # long chains without text keep no sums between
+                node.sum = total
+        return total
 
-    def __init__(self, path, text, linked):
-        self.path, self.text, self.linked, self.label = path, text, linked, 0
+    def nearest(self, n: int) -> tuple[str, ...]:
+        out, node = (), self
+        while node is not None and len(out) < n:
+            out = node.items + out
+            node = node.parent
+        return out[-n:]
+
+
+class Block:
+    __slots__ = ("node", "text", "linked", "label")
+
+    def __init__(self, node, text, linked):
+        self.node, self.text, self.linked, self.label = node, text, linked, 0
+
+    @property
+    def path(self) -> tuple[str, ...]:
+        return self.node.nearest(1 << 62)
+
+
+def _tags(page: str):
+    """(start, end, name, closing, attributes) of the markup in one forward scan; the name
+    is empty for what holds no element and ends a block where ``closing`` says so.
+
+    A tag's name ends at white space, ``/`` or ``>``. A ``<`` that starts no tag, and all
+    after the last ``>``, is text.
+    """
+    at, gt, ends = 0, -1, {}
+    while (s := page.find("<", at)) >= 0:
+        if gt < s and (gt := page.find(">", s)) < 0:
+            return
+        if page.startswith("<!--", s):
+            e = page.find("-->", s + 2)
+            at = len(page) if e < 0 else e + 3
+            yield s, at, "", False, ""
+            continue
+        name = _NAME.match(page, s + 1)
+        if name is None:
+            if page[s + 1:s + 2] in ("!", "?"):
+                at = gt + 1
+                yield s, at, "", False, ""
+            else:
+                at = s + 1
+            continue
+        rest = _REST.match(page, name.end())
+        e = rest.end() if rest else gt + 1
+        tag, attrs = name[0].lower(), page[name.end():e - 1]
+        if tag[0] == "/":
+            yield s, e, tag[1:], True, attrs
+        elif tag in _HIDDEN and not (tag in ("svg", "math") and attrs.endswith("/")):
+            if ends.get(tag, -1) is not None and ends.get(tag, -1) < e:
+                found = _END[tag].search(page, e)
+                ends[tag] = found.start() if found else None
+            if ends[tag] is not None:
+                last = page.find(">", ends[tag])
+                e = len(page) if last < 0 else last + 1
+            elif tag in _RAW:
+                e = len(page)
+            yield s, e, "", True, attrs
+        elif tag in _HIDDEN:
+            yield s, e, "", True, attrs
+        else:
+            yield s, e, tag, False, attrs
+        at = e
 
 
 def _unescape(s: str) -> str:
@@ -67,8 +153,9 @@ def _unescape(s: str) -> str:
 def blocks(page: str) -> list[Block]:
     """Leaf blocks in page order, white space inside each made one space."""
     out: list[Block] = []
-    stack: list[tuple[str, tuple[str, ...]]] = []
-    path: tuple[str, ...] = ()
+    root = Node(None, "", ())
+    stack: list[Node] = []
+    open_: Counter[str] = Counter()
     text: list[str] = []
     links = linked = 0
 
@@ -77,24 +164,26 @@ def blocks(page: str) -> list[Block]:
         if text:
             s = " ".join(_unescape("".join(text)).split())
             if s:
-                out.append(Block(path, s, min(1.0, linked / len(s))))
+                out.append(Block(stack[-1] if stack else root, s, min(1.0, linked / len(s))))
             text.clear()
         linked = 0
 
+    def close(k: int):
+        for node in stack[k:]:
+            open_[node.tag] -= 1
+        del stack[k:]
+
     at = 0
-    for m in _TAG.finditer(page):
-        s = m.start()
+    for s, e, tag, closing, attrs in _tags(page):
         if s > at:
             text.append(page[at:s])
             if links:
                 linked += s - at
-        at = m.end()
-        tag = m[3] or m[6]
-        if tag is None:
-            if m[1]:
+        at = e
+        if not tag:
+            if closing:
                 flush()
             continue
-        tag, closing = tag.lower(), bool(m[2] or m[5])
         if tag in _INLINE:
             if tag == "a":
                 links = 0 if closing else 1
@@ -103,28 +192,24 @@ def blocks(page: str) -> list[Block]:
             continue
         flush()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == tag:
-                    del stack[k:]
-                    break
+            if open_[tag]:
+                close(next(k for k in range(len(stack) - 1, -1, -1) if stack[k].tag == tag))
         elif tag not in _VOID:
-            if stack and stack[-1][0] in _CLOSED_BY_BLOCK:
-                stack.pop()
+            if stack and stack[-1].tag in _CLOSED_BY_BLOCK:
+                close(len(stack) - 1)
             holders = _SIBLINGS.get(tag)
-            if holders:
+            if holders and open_[tag]:
                 for k in range(len(stack) - 1, -1, -1):
-                    if stack[k][0] == tag:
-                        del stack[k:]
+                    if stack[k].tag == tag:
+                        close(k)
                         break
-                    if stack[k][0] in holders:
+                    if stack[k].tag in holders:
                         break
             names = ()
-            attrs = m[4] or m[7]
-            if attrs and "=" in attrs:
+            if "=" in attrs:
                 names = tuple(p for a in _ATTR.findall(attrs) for p in _PARTS.findall("".join(a).lower()))
-            if len(stack) < 400:
-                stack.append((tag, names))
-        path = tuple(x for t, n in stack for x in (t, *("." + y for y in n)))
+            stack.append(Node(stack[-1] if stack else root, tag, names))
+            open_[tag] += 1
         links = 0
     if at < len(page):
         text.append(page[at:])
@@ -133,15 +218,14 @@ def blocks(page: str) -> list[Block]:
 
 
 @lru_cache(maxsize=20_000)
-def _path_vector(path: tuple[str, ...]) -> np.ndarray:
-    v = np.zeros(PATH_DIM, np.float32)
-    for k, x in enumerate(path):
-        h = zlib.crc32(x.encode())
-        v[h % PATH_DIM] += 1.0 if h & 0x10000 else -1.0
-    for x in path[-2:]:  # the nearest elements once more, as such
-        h = zlib.crc32(("last " + x).encode())
-        v[h % PATH_DIM] += 1.0 if h & 0x10000 else -1.0
-    return np.tanh(v)
+def _path_slot(x: str) -> tuple[int, float]:
+    h = zlib.crc32(x.encode())
+    return h % PATH_DIM, 1.0 if h & 0x10000 else -1.0
+
+
+def _add(v: np.ndarray, x: str) -> None:
+    k, sign = _path_slot(x)
+    v[k] += sign
 
 
 @lru_cache(maxsize=100_000)
@@ -150,24 +234,31 @@ def _word_slot(w: str) -> int:
     return h % WORD_DIM if h & 0x10000 else -1 - h % WORD_DIM
 
 
-_SHOWN_WORDS = 12
+#: Up to so many words each word counts in full; more words share the same weight.
+_FULL_WORDS = 12
 
 
 def vectors(page: list[Block]) -> np.ndarray:
-    """One row per block: path, words (a block's first and last), figures."""
+    """One row per block: path, all its words, figures."""
     n = len(page)
     x = np.zeros((n, PATH_DIM + WORD_DIM + 10), np.float32)
+    words = [b.text.split(" ") for b in page]
+    sizes = np.array([len(w) for w in words], np.int64)
+    slots = np.array([_word_slot(y) for w in words for y in w], np.int64)
+    cell = np.repeat(np.arange(n), sizes) * WORD_DIM + np.where(slots < 0, -1 - slots, slots)
+    hashed = np.bincount(cell, np.where(slots < 0, -0.3, 0.3), n * WORD_DIM).reshape(n, WORD_DIM)
+    x[:, PATH_DIM:PATH_DIM + WORD_DIM] = hashed * np.sqrt(np.minimum(1.0, _FULL_WORDS / sizes))[:, None]
     for k, b in enumerate(page):
-        x[k, :PATH_DIM] = _path_vector(b.path)
+        own = x[k, :PATH_DIM]
+        own += b.node.path_sum()
+        near = b.node.nearest(2)
+        for y in near:  # the nearest elements once more, as such
+            _add(own, "last " + y)
         t = b.text
-        w = t.split(" ", _SHOWN_WORDS)
-        for y in w[:_SHOWN_WORDS]:
-            s = _word_slot(y)
-            x[k, PATH_DIM + (s if s >= 0 else -1 - s)] += 0.3 if s >= 0 else -0.3
         size = len(t)
-        last = b.path[-1] if b.path else ""
         x[k, -10:] = (np.log1p(size) / 6, b.linked, k / n, (n - k) / n, size < 40, t[-1] in ".!?…:\"”", t.count(",") / (1 + size / 50),
-                      last in ("h1", "h2", "h3", "h4"), any(c in t for c in "©|»·"), min(n, 60) / 60)
+                      bool(near) and near[-1] in ("h1", "h2", "h3", "h4"), any(c in t for c in "©|»·"), min(n, 60) / 60)
+    x[:, :PATH_DIM] = np.tanh(x[:, :PATH_DIM])
     return x
 
 
