@@ -121,6 +121,20 @@ def point_wkt(lon, lat) -> Column:
     return F.format_string("POINT(%s %s)", _col(lon).cast("string"), _col(lat).cast("string"))
 
 
+def _double_hex(c) -> Column:
+    """The 8 bytes of a double, lowest first, as 16 hex digits."""
+    bits = F.call_function("java_method", F.lit("java.lang.Double"), F.lit("doubleToLongBits"), _col(c).cast("double")).cast("bigint")
+    digits = F.lpad(F.hex(bits), 16, "0")
+    return F.concat(*[F.substring(digits, 15 - 2 * k, 2) for k in range(8)])
+
+
+def point_wkb(lon, lat, srid: int = 4326) -> Column:
+    """Little-endian well-known-binary point with its SRID; null without both coordinates."""
+    head = b"\x01" + (0x20000001).to_bytes(4, "little") + srid.to_bytes(4, "little")
+    wkb = F.unhex(F.concat(F.lit(head.hex()), _double_hex(lon), _double_hex(lat)))
+    return F.when(_col(lon).isNotNull() & _col(lat).isNotNull(), wkb)
+
+
 def current_hour(zone: str | None = None) -> Column:
     """Wall-clock hour, evaluated once per query/batch, in ``zone`` (such as
     ``America/Denver``; default: the session's time zone)."""

@@ -2,7 +2,7 @@
 
 Two value shapes: ``object`` -- a JSON object of the record (null fields
 omitted) -- and ``array`` -- a JSON array of the raw fields in record order.
-Both decode to the same typed frame. Works on batch and streaming frames.
+Both decode to the same typed frame, also mixed in one log (``decode_mixed``). Works on batch and streaming frames.
 """
 
 from __future__ import annotations
@@ -84,6 +84,28 @@ def decode(df: DataFrame, schema: T.StructType, shape: str = "object", mode: str
     return parsed.select(*keep, *out, *extra)
 
 
+def decode_mixed(df: DataFrame, schema: T.StructType, unquote: bool = True, value_col: str = "value",
+                 keep: Sequence[str] = ("key",), corrupt_col: str = "corrupt") -> DataFrame:
+    """``decode`` for a log that holds both shapes: each message is parsed once as a
+    VARIANT and read by what it is, an object by its names, an array by position.
+
+    Everything else is malformed and gives nulls and ``corrupt = true``: cut or invalid
+    JSON (an object that repeats a name too), a null value, JSON null, a number, a
+    text, and an array of the wrong length. A field that its type can't hold is null.
+    """
+    parsed = df.select(*keep, F.try_parse_json(F.col(value_col).cast("string")).alias("_v"))
+    items = F.try_variant_get("_v", "$", "array<string>")
+    parsed = parsed.select(*keep, "_v", F.schema_of_variant("_v").startswith("OBJECT").alias("_object"), items.alias("_items"))
+    names = schema.fieldNames()
+    bad = ~F.coalesce(F.col("_object") | (F.size("_items") == len(names)), F.lit(False))
+    out = []
+    for i, n in enumerate(names):
+        item = F.get("_items", F.lit(i))
+        field = F.when(F.col("_object"), F.try_variant_get("_v", f"$['{n}']", "string")).otherwise(C.strip_quotes(item) if unquote else item)
+        out.append(F.when(~bad, field.try_cast(schema[n].dataType)).alias(n))
+    return parsed.select(*keep, *out, bad.alias(corrupt_col))
+
+
 def quarantine(decoded: DataFrame, corrupt_col: str = "corrupt"):
     """Split a decoded frame into ``(good, bad)`` on the corrupt flag."""
     return (decoded.filter(~F.col(corrupt_col)).drop(corrupt_col),

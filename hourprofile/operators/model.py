@@ -17,7 +17,6 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +28,8 @@ MODEL_SCHEMA = T.StructType([
     T.StructField("intercept", T.DoubleType()),
     T.StructField("coef", T.ArrayType(T.DoubleType())),
     T.StructField("iterations", T.IntegerType()),
+    T.StructField("rank", T.IntegerType()),
+    T.StructField("rss", T.DoubleType()),
 ])
 GRAM_SCHEMA = "i INT, j INT, g DOUBLE"
 
@@ -48,45 +49,10 @@ def label_and_features(logs: Column, hour) -> tuple[Column, Column]:
 
 
 # ------------------------------------------------------------------ Gram pass
-def gram(design_df: DataFrame, k: int) -> DataFrame:
-    """Upper triangle of ``G`` as ``(i, j, g)``; float sums.
-
-    Each partition folds its rows into one dense ``(K+25)^2`` partial in numpy
-    (Arrow batches) and emits its upper triangle; a ``groupBy(i, j)`` sums the
-    partials. Shuffle volume: partitions x (K+25)^2 / 2 numbers, whatever the
-    row count; a hot key or partition costs nothing extra.
-    """
-    width = k + 25
-
-    def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        g = np.zeros((width, width))
-        seen = False
-        for pdf in batches:
-            n = len(pdf)
-            if n == 0:
-                continue
-            seen = True
-            z = np.zeros((n, width))
-            pos = np.stack(pdf["positions"].to_numpy()).astype(np.int64)
-            rows = np.repeat(np.arange(n), pos.shape[1])
-            z[rows, pos.ravel()] = 1.0
-            z[:, k:k + 24] = np.stack(pdf["logs"].to_numpy()).astype(np.float64)
-            z[:, k + 24] = 1.0
-            g += z.T @ z
-        if not seen:
-            return
-        iu, ju = np.triu_indices(width)
-        vals = g[iu, ju]
-        keep = vals != 0.0
-        yield pd.DataFrame({"i": iu[keep].astype(np.int32), "j": ju[keep].astype(np.int32),
-                            "g": vals[keep]})
-
-    return (design_df.select("positions", "logs").mapInPandas(partials, GRAM_SCHEMA)
-            .groupBy("i", "j").agg(F.sum("g").alias("g")))
-
-
-EXACT_GRAM_SCHEMA = "i INT, j INT, s DECIMAL(38,12)"
-_INT64_BUDGET = 1 << 62  # an int64 partial holds rows x max|z|^2 up to this
+PACKED = "salt INT, sums BINARY"
+_UNIT = 1_000_000            # micro-units of the exact form
+_INT64_BUDGET = 1 << 62      # an int64 product holds rows x max|z|^2 up to this
+_LIMB = 31                   # exact sums are kept as high * 2^31 + low
 
 
 def quantised_logs(volumes: Sequence[str]) -> Column:
@@ -95,57 +61,114 @@ def quantised_logs(volumes: Sequence[str]) -> Column:
                      for v in volumes])
 
 
-def gram_exact(design_q: DataFrame, k: int) -> DataFrame:
-    """Exact Gram of ``[one-hot | logs rounded to 1e-6 | 1]`` as ``(i, j, g)``.
-
-    ``design_q`` has ``positions ARRAY<INT>`` and ``qlogs ARRAY<BIGINT>``
-    (``quantised_logs``). Every entry of ``z`` is an integer number of
-    micro-units, so each partition's partial is an exact integer matrix:
-    int64 products over chunks sized from the batch's largest magnitude so
-    that rows x max|z|^2 stays below 2^62 (logs of any BIGINT volume keep a
-    chunk above 1,000 rows), accumulated in Python integers. Partials are
-    summed as DECIMAL(38,12) by a ``groupBy(i, j)``: the result does not depend
-    on partitioning or order. Shuffle: partitions x (K+25)^2 / 2 rows.
+def _rows_of(batch, column: str, dtype) -> np.ndarray:
+    values = batch.column(column)
+    return values.flatten().to_numpy(zero_copy_only=False).astype(dtype).reshape(len(values), -1)
+
+
+def _triangles(batch, column: str, k: int, exact: bool) -> Iterator[np.ndarray]:
+    """Packed upper triangles of ``z^T z`` of a batch: one row of floats, or two of
+    integer limbs for chunks small enough that no int64 product overflows."""
+    width, kind, one = k + 25, (np.int64 if exact else np.float64), (_UNIT if exact else 1.0)
+    upper = np.triu_indices(width)
+    vols, pos = _rows_of(batch, column, kind), _rows_of(batch, "positions", np.int64)
+    big = max(_UNIT, int(np.abs(vols).max(initial=0))) if exact else 1
+    chunk = max(1, _INT64_BUDGET // (big * big)) if exact else len(vols)
+    for s in range(0, len(vols), chunk):
+        n = len(vols[s:s + chunk])
+        z = np.zeros((n, width), kind)
+        z[np.repeat(np.arange(n), pos.shape[1]), pos[s:s + n].ravel()] = one
+        z[:, k:k + 24] = vols[s:s + n]
+        z[:, k + 24] = one
+        g = (z.T @ z)[upper]
+        yield np.stack([g >> _LIMB, g & ((1 << _LIMB) - 1)]) if exact else g[None]
+
+
+def _added(arrays: Iterator[np.ndarray], exact: bool) -> np.ndarray | None:
+    """Sum of packed triangles; the low limbs carry into the high ones."""
+    total = None
+    for a in arrays:
+        total = a.copy() if total is None else total + a
+        if exact:
+            total[0] += total[1] >> _LIMB
+            total[1] &= (1 << _LIMB) - 1
+    return total
+
+
+def _packed(total: np.ndarray | None, salt: int):
+    import pyarrow as pa
+
+    if total is not None:
+        yield pa.RecordBatch.from_pydict({"salt": pa.array([salt], pa.int32()), "sums": pa.array([total.tobytes()], pa.binary())})
+
+
+def gram_partials(design_df: DataFrame, k: int, exact: bool = False) -> DataFrame:
+    """One row per task that has rows: its triangle, packed, and a salt."""
+    column = "qlogs" if exact else "logs"
+
+    def partials(batches):
+        from math import isqrt
+
+        from pyspark import TaskContext
+        found = (t for batch in batches if batch.num_rows for t in _triangles(batch, column, k, exact))
+        yield from _packed(_added(found, exact), isqrt(TaskContext.get().partitionId()))
+
+    return design_df.select("positions", column).mapInArrow(partials, PACKED)
+
+
+def gram(design_df: DataFrame, k: int, exact: bool = False) -> DataFrame:
+    """Upper triangle of ``G`` as ``(i, j, g)``, zeros left out.
+
+    Each task folds its rows into one dense triangle (numpy over Arrow batches) and
+    emits it packed as a single row. The triangles are added in two levels: the square
+    root of a task's number salts it, so about sqrt(tasks) partial sums of at most
+    2 sqrt(tasks) triangles each reach the one task of the second level. One row per
+    task crosses the first shuffle, whatever the width and the row count, and no task
+    holds more than a batch of triangles; hot keys cost nothing extra.
+
+    ``exact=True`` reads ``qlogs`` (``quantised_logs``) instead of ``logs``: products
+    are exact int64 matrices over chunks sized from the batch's largest magnitude, sums
+    are kept in two integer limbs, and entries come out rounded to 1e-6. The
+    result then doesn't depend on partitioning or order.
     """
-    width = k + 25
-    unit = 1_000_000
-
-    def partials(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from decimal import Decimal
-        acc = None
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            qall = np.stack(pdf["qlogs"].to_numpy()).astype(np.int64)
-            big = max(unit, int(np.abs(qall).max(initial=0)))
-            chunk = max(1, _INT64_BUDGET // (big * big))
-            for s in range(0, len(pdf), chunk):
-                part = pdf.iloc[s:s + chunk]
-                n = len(part)
-                z = np.zeros((n, width), dtype=np.int64)
-                pos = np.stack(part["positions"].to_numpy()).astype(np.int64)
-                z[np.repeat(np.arange(n), pos.shape[1]), pos.ravel()] = unit
-                z[:, k:k + 24] = qall[s:s + n]
-                z[:, k + 24] = unit
-                g = (z.T @ z).astype(object)
-                acc = g if acc is None else acc + g
-        if acc is None:
+    import pyarrow as pa
+
+    kind = np.int64 if exact else np.float64
+
+    def unpacked(batches):
+        for batch in batches:
+            for x in batch.column("sums"):
+                yield np.frombuffer(x.as_buffer(), kind).reshape(2 if exact else 1, -1)
+
+    def combined(batches):
+        yield from _packed(_added(unpacked(batches), exact), 0)
+
+    def entries(batches):
+        total = _added(unpacked(batches), exact)
+        if total is None:
             return
-        iu, ju = np.triu_indices(width)
-        vals = acc[iu, ju]
-        keep = np.array([v != 0 for v in vals], dtype=bool)
-        scale = Decimal(1).scaleb(-12)
-        yield pd.DataFrame({"i": iu[keep].astype(np.int32), "j": ju[keep].astype(np.int32),
-                            "s": [Decimal(int(v)) * scale for v in vals[keep]]})
+        i, j = np.triu_indices(k + 25)
+        if exact:
+            at = np.flatnonzero(total.any(axis=0))
+            whole = [(int(h) << _LIMB) + int(lo) for h, lo in total[:, at].T]  # in units of 1e-12
+            g = [(abs(v) + _UNIT // 2) // _UNIT * (1 if v > 0 else -1) / _UNIT for v in whole]
+        else:
+            at = np.flatnonzero(total[0] != 0.0)
+            g = total[0, at]
+        yield pa.RecordBatch.from_pydict({"i": pa.array(i[at], pa.int32()), "j": pa.array(j[at], pa.int32()), "g": pa.array(g, pa.float64())})
 
-    summed = (design_q.select("positions", "qlogs").mapInPandas(partials, EXACT_GRAM_SCHEMA)
-              .groupBy("i", "j").agg(F.sum("s").alias("s")))
-    return summed.select("i", "j", F.round("s", 6).cast("double").alias("g"))
+    sums = gram_partials(design_df, k, exact).repartition("salt").mapInArrow(combined, PACKED)
+    return sums.repartition(1).mapInArrow(entries, GRAM_SCHEMA)
+
+
+def gram_exact(design_q: DataFrame, k: int) -> DataFrame:
+    """``gram(..., exact=True)``: ``design_q`` has ``positions`` and ``qlogs``."""
+    return gram(design_q, k, exact=True)
 
 
 def gram_blocks(design_dec: DataFrame, k: int) -> DataFrame:
-    """Same numbers as ``gram_exact`` from built-ins only, by blocks (no Python
-    workers). Slower: the 325-sum aggregate runs on 38-digit decimals.
+    """Same numbers as the exact ``gram`` from built-ins only, by blocks (no Python
+    workers), as a check of it. Slower: the 325-sum aggregate runs on 38-digit decimals.
 
     ``design_dec`` has ``positions ARRAY<INT>`` and ``q00 .. q23 DECIMAL(12,6)``
     (separate columns: every sum below references a plain attribute).
@@ -241,29 +264,56 @@ def gradient_descent(a: np.ndarray, b: np.ndarray, n: float, iterations: int = 1
     return w, it
 
 
-def normal_equations(a: np.ndarray, b: np.ndarray, ridge: float = 1e-8):
-    """Least squares from the normal equations; a tiny ridge keeps the
-    one-hot design (every level kept, plus intercept) solvable. It is relative
-    to the mean diagonal entry, which grows with the rows as all entries do."""
-    reg = ridge * (np.trace(a) / len(b)) * np.eye(len(b))
-    reg[-1, -1] = 0.0
-    w = np.linalg.solve(a + reg, b)
-    return w, 1
+#: A pivot below this part of its own diagonal entry is taken as zero.
+RANK_TOLERANCE = 1e-9
+
+
+def normal_equations(a: np.ndarray, b: np.ndarray, c: float = 0.0, tol: float = RANK_TOLERANCE):
+    """``(w, rank, rss)``: a least-squares solution from the normal equations.
+
+    The one-hot design keeps every level and an intercept, so its columns depend
+    on each other. Elimination with diagonal pivots, largest first relative to the
+    column's own sum of squares, stops where only dependent columns are left: their
+    number gives the rank and their weights stay zero. Predictions and the residual
+    sum of squares (``c`` is the label's sum of squares) don't depend on which columns these are.
+    """
+    d = len(b)
+    m = np.zeros((d + 1, d + 1))
+    m[:d, :d], m[:d, d], m[d, :d], m[d, d] = a, b, b, c
+    scale = np.where(np.diag(a) > 0, np.diag(a), np.inf)
+    used: list[int] = []
+    free = np.ones(d, bool)
+    while free.any():
+        share = np.where(free, np.diag(m)[:d] / scale, -1.0)
+        p = int(share.argmax())
+        if not share[p] > tol:
+            break
+        row = m[p] / m[p, p]
+        m -= np.outer(m[:, p], row)
+        m[p] = row
+        free[p] = False
+        used.append(p)
+    w = np.zeros(d)
+    w[used] = m[used, d]
+    return w, len(used), float(m[d, d])
 
 
 def fit(spark: SparkSession, g: np.ndarray, k: int, solver: str = "gd", iterations: int = 100,
         step: float = 0.01, tol: float = 1e-3, hours: Sequence[int] = range(24)) -> DataFrame:
-    """24 models ``(hour, intercept, coef, iterations)`` from the Gram matrix."""
+    """24 models ``(hour, intercept, coef, iterations, rank, rss)`` from the Gram matrix;
+    rank and rss come with ``solver="normal"``."""
     rows = []
     for h in hours:
         a, b, n = hour_system(g, k, h)
+        rank = rss = None
         if solver == "gd":
             w, it = gradient_descent(a, b, n, iterations, step, tol)
         elif solver == "normal":
-            w, it = normal_equations(a, b)
+            w, rank, rss = normal_equations(a, b, g[k + h, k + h])
+            it = 1
         else:
             raise ValueError(f"unknown solver {solver!r}")
-        rows.append((int(h), float(w[-1]), [float(x) for x in w[:-1]], int(it)))
+        rows.append((int(h), float(w[-1]), [float(x) for x in w[:-1]], int(it), rank, rss))
     return spark.createDataFrame(rows, MODEL_SCHEMA)
 
 
@@ -278,7 +328,8 @@ def rule_models(spark: SparkSession, k: int) -> DataFrame:
         F.transform(F.sequence(F.lit(0), F.lit(22)),
                     lambda m: ((m % 4) + 1).cast("double") / F.lit(128.0)))
     return hours.select("hour", (F.col("hour").cast("double") / F.lit(8.0)).alias("intercept"),
-                        coef.alias("coef"), F.lit(0).alias("iterations"))
+                        coef.alias("coef"), F.lit(0).alias("iterations"),
+                        F.lit(None).cast("int").alias("rank"), F.lit(None).cast("double").alias("rss"))
 
 
 # ------------------------------------------------------------------ persistence
@@ -328,3 +379,10 @@ def predict(design_df: DataFrame, models: DataFrame, hour, back_transform: bool
     value = F.exp(raw) if back_transform else raw
     return df.withColumn(out, value.cast("bigint") if integer else value).drop(
         "_mh", "intercept", "coef")
+
+
+def predict_hours(design_df: DataFrame, models: DataFrame, n_positions: int, **options) -> DataFrame:
+    """One row per record and hour (column ``hour``), each predicted by its hour's
+    model: the rows are read once and meet the 24 models in one broadcast join."""
+    hours = F.sequence(F.lit(0), F.lit(23))
+    return predict(design_df.withColumn("hour", F.explode(hours)), models, F.col("hour"), n_positions=n_positions, **options)

@@ -1,6 +1,6 @@
 """Hourly profile: join observations to stations, average each hour per group.
 
-Two plans with the same result:
+Three plans with the same result:
 
 * ``eager=False`` -- join first, then group by the seven profile keys (the
   straightforward plan).
@@ -11,6 +11,9 @@ Two plans with the same result:
   average unchanged, so both plans agree. This is the plan for large inputs:
   a hot station id is collapsed by the partial aggregate before any shuffle,
   instead of meeting a join that fans it out per lane.
+* ``salted=True`` -- join first, but with the rows of hot ids dealt over salts
+  (``skew``); a group's salts are summed and counted apart and then combined. For joined
+  rows that something else reads as well.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..spec import AVG_COLUMNS, HOURS, PROFILE_COLUMNS, PROFILE_KEYS, ObsSpec, StationSpec
-from . import filters, project
+from . import filters, project, skew
 
 VOLUME_COLUMNS = tuple(f"volume{h:02d}" for h in HOURS)
 
@@ -44,9 +47,9 @@ def observations(obs_raw: DataFrame, spec: ObsSpec, dtype: str = "bigint",
     )
 
 
-def attach_station(station: DataFrame, obs: DataFrame) -> DataFrame:
+def attach_station(station: DataFrame, obs: DataFrame, salted: bool = False) -> DataFrame:
     """Inner equi-join on ``id``; many-to-many (a station row per lane)."""
-    return station.join(obs, "id")
+    return skew.salted_join(station, obs, "id") if salted else station.join(obs, "id")
 
 
 def _finish(df: DataFrame) -> DataFrame:
@@ -54,8 +57,18 @@ def _finish(df: DataFrame) -> DataFrame:
                      (F.lit(0.0) - F.col("longitude_w")).alias("longitude")).select(*PROFILE_COLUMNS)
 
 
-def hourly_average(station: DataFrame, obs: DataFrame, eager: bool = False) -> DataFrame:
+def _salted_average(station: DataFrame, obs: DataFrame) -> DataFrame:
+    joined = skew.salted_join(station, obs, "id", keep_salt=True)
+    parts = joined.groupBy(*PROFILE_KEYS, skew.SALT).agg(
+        *[F.sum(F.col(v).cast("double")).alias(f"s_{v}") for v in VOLUME_COLUMNS], *[F.count(v).alias(f"n_{v}") for v in VOLUME_COLUMNS])
+    return parts.groupBy(*PROFILE_KEYS).agg(
+        *[F.try_divide(F.sum(f"s_{v}"), F.sum(f"n_{v}")).alias(a) for v, a in zip(VOLUME_COLUMNS, AVG_COLUMNS)])
+
+
+def hourly_average(station: DataFrame, obs: DataFrame, eager: bool = False, salted: bool = False) -> DataFrame:
     """Average of each hour per (id, location, latitude, longitude_w, lanes, type, highway)."""
+    if salted:
+        return _finish(_salted_average(station, obs))
     avgs = [F.avg(v).alias(a) for v, a in zip(VOLUME_COLUMNS, AVG_COLUMNS)]
     if not eager:
         return _finish(attach_station(station, obs).groupBy(*PROFILE_KEYS).agg(*avgs))
@@ -66,8 +79,8 @@ def hourly_average(station: DataFrame, obs: DataFrame, eager: bool = False) -> D
 
 def profile(obs_raw: DataFrame, station_raw: DataFrame, obs_spec: ObsSpec,
             station_spec: StationSpec, eager: bool = True,
-            legacy_int_cast: bool = False) -> DataFrame:
+            legacy_int_cast: bool = False, salted: bool = False) -> DataFrame:
     """Full profile job from raw (string) observation and station frames."""
     st = stations(station_raw, station_spec, legacy_int_cast)
     ob = observations(obs_raw, obs_spec)
-    return hourly_average(st, ob, eager=eager)
+    return hourly_average(st, ob, eager=eager, salted=salted)

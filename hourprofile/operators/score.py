@@ -28,6 +28,20 @@ def attach_profile(df: DataFrame, profile: DataFrame, hour, key: str = "sid") ->
     return df.join(prof, key)
 
 
+def attach_profile_hours(df: DataFrame, profile: DataFrame, key: str = "sid", volumes: str = "volumes") -> DataFrame:
+    """``attach_profile`` for all 24 hours: a row per record, lane and hour with
+    ``hour``, ``volume`` (of the array column ``volumes``) and ``historical``. The
+    hours unfold after the lookup, so each record is joined once."""
+    prof = profile.select(
+        F.col("id").alias(key), "location", "latitude", "longitude_w", "lanes", "highway",
+        F.array(*[F.col(a) for a in AVG_COLUMNS]).alias("_averages"))
+    rest = [c for c in df.columns if c not in (key, volumes)]
+    return (df.join(prof, key).select(
+        key, *rest, "location", "latitude", "longitude_w", "lanes", "highway",
+        F.posexplode(F.arrays_zip(F.col(volumes).alias("volume"), F.col("_averages").alias("historical"))).alias("hour", "_pair"))
+        .select("*", F.col("_pair.volume").alias("volume"), F.col("_pair.historical").alias("historical")).drop("_pair"))
+
+
 def result_columns(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """The 12 result columns (after ``keep``). ``longitude`` carries the
     profile's west-positive value, as the result table of the reference stores it."""

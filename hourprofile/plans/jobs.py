@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import encode as E
 from ..operators import filters as FL
@@ -54,6 +55,14 @@ def encode_training(spark: SparkSession, rows: DataFrame, spec: ObsSpec,
     return enc, mapping, k
 
 
+def training_gram(encoded: DataFrame, spec: ObsSpec, k: int) -> DataFrame:
+    """The Gram matrix that training reads, ``(i, j, g)``: log volumes rounded to 1e-6
+    and summed exactly, so that models don't depend on how the rows are dealt out."""
+    rows = encoded.select(F.array(*[F.col(f"pos_{c}") for c in spec.categoricals]).alias("positions"),
+                          M.quantised_logs(spec.volumes).alias("qlogs"))
+    return M.gram(rows, k, exact=True)
+
+
 def train_job(spark: SparkSession, obs_raw: DataFrame, spec: ObsSpec, out_dir: str,
               solver: str = "gd", iterations: int = 100, step: float = 0.01):
     """Clean rows (all volumes >= 0), fit and save the mapping, one Gram pass,
@@ -61,7 +70,7 @@ def train_job(spark: SparkSession, obs_raw: DataFrame, spec: ObsSpec, out_dir: s
     rows = FL.all_nonnegative(obs_raw, spec.volumes)
     enc, mapping, k = encode_training(spark, rows, spec,
                                       mapping_path=f"{out_dir.rstrip('/')}/mapping")
-    g = M.gram_matrix(M.gram(M.design(enc, spec.categoricals, spec.volumes), k), k + 25)
+    g = M.gram_matrix(training_gram(enc, spec, k), k + 25)
     models = M.fit(spark, g, k, solver=solver, iterations=iterations, step=step)
     mpath = M.save(models, f"{out_dir.rstrip('/')}/models")
     return mapping, M.load(spark, mpath)

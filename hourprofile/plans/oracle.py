@@ -173,6 +173,74 @@ def _gram_sql() -> str:
 )""") + "SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, CAST(round(s, 6) AS DOUBLE) AS g FROM parts"
 
 
+def _system_ctes() -> str:
+    """gram -> one linear system per hour: ``a`` (rows of features and bias), ``b``
+    (label column), ``c`` (label's sum of squares), ``n`` (rows)."""
+    return f"""gram AS MATERIALIZED (
+  SELECT CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, CAST(round(s, 6) AS DOUBLE) AS g FROM parts
+), side AS (SELECT CAST(unnest(range((SELECT k FROM kk) + 25)) AS INTEGER) AS i
+), line AS MATERIALIZED (
+  SELECT x.i, list(coalesce(u.g, v.g, CAST(0 AS DOUBLE)) ORDER BY y.i) AS r FROM side x CROSS JOIN side y
+  LEFT JOIN gram u ON u.i = x.i AND u.j = y.i LEFT JOIN gram v ON v.i = y.i AND v.j = x.i GROUP BY x.i
+), sys AS MATERIALIZED (
+  SELECT CAST(h AS INTEGER) AS hour, (SELECT k FROM kk) + h AS lab,
+    list(list_concat(r[1:(SELECT k FROM kk) + h], r[(SELECT k FROM kk) + h + 2:]) ORDER BY i) FILTER (i <> (SELECT k FROM kk) + h) AS a,
+    list(r[(SELECT k FROM kk) + h + 1] ORDER BY i) FILTER (i <> (SELECT k FROM kk) + h) AS b,
+    max(r[(SELECT k FROM kk) + h + 1]) FILTER (i = (SELECT k FROM kk) + h) AS c,
+    max(r[(SELECT k FROM kk) + 25]) FILTER (i = (SELECT k FROM kk) + 24) AS n
+  FROM line CROSS JOIN range(24) AS t(h) GROUP BY h
+)"""
+
+
+def _gram_ctes() -> str:
+    """The WITH list of the Gram query, to go on from."""
+    return _gram_sql().rpartition("SELECT CAST(i AS INTEGER)")[0].removeprefix("WITH ").rstrip()
+
+
+def _fit_sql() -> str:
+    """Gradient descent as a recursive query: weights 0, bias 1, step 0.01 / sqrt(i),
+    at most 100 steps, stop on a relative change below 0.001 from the second on."""
+    return "WITH RECURSIVE " + _gram_ctes() + ", " + _system_ctes() + """, gd AS (
+  SELECT hour, 0 AS t, list_concat(list_transform(range(len(b) - 1), lambda i: CAST(0 AS DOUBLE)), [CAST(1 AS DOUBLE)]) AS w, false AS done FROM sys
+  UNION ALL
+  SELECT hour, t, w2, t >= 2 AND sqrt(list_sum(list_transform(list_zip(w, w2), lambda z: (z[1] - z[2]) * (z[1] - z[2]))))
+      < 0.001 * greatest(sqrt(list_dot_product(w2, w2)), 1)
+  FROM (SELECT g.hour, g.t + 1 AS t, g.w, list_transform(list_zip(g.w, s.a, s.b),
+      lambda z: z[1] - 0.01 / sqrt(CAST(g.t + 1 AS DOUBLE)) * ((list_dot_product(z[2], g.w) - z[3]) / s.n)) AS w2
+    FROM gd g JOIN sys s ON s.hour = g.hour WHERE g.t < 100 AND NOT g.done)
+), last AS (SELECT hour, max(t) AS iterations, arg_max(w, t) AS w FROM gd GROUP BY hour)
+SELECT hour, CAST(iterations AS INTEGER) AS iterations, CAST(unnest(range(len(w))) AS INTEGER) AS feature,
+  round(unnest(w), 6) + CAST(0 AS DOUBLE) AS weight
+FROM last"""
+
+
+def _rank_sql() -> str:
+    """Elimination with diagonal pivots as a recursive query, then mean predictions by date."""
+    feats = ", ".join(_logd(v) for v in V)
+    ps = ", ".join(f"p{i}" for i in range(len(CATS)))
+    return "WITH RECURSIVE " + _gram_ctes() + ", " + _system_ctes() + f""", el AS (
+  SELECT hour, 0 AS t, list_concat(list_transform(list_zip(a, b), lambda z: list_concat(z[1], [z[2]])), [list_concat(b, [c])]) AS m,
+    list_transform(a, lambda r, i: r[i]) AS scale, CAST([] AS BIGINT[]) AS used, CAST(0 AS BIGINT) AS p
+  FROM sys
+  UNION ALL
+  SELECT hour, t + 1, CASE WHEN p = 0 THEN m ELSE list_transform(m, lambda r, i: CASE WHEN i = p THEN list_transform(m[p], lambda x: x / m[p][p])
+      ELSE list_transform(list_zip(r, m[p]), lambda z: z[1] - r[p] * (z[2] / m[p][p])) END) END, scale,
+    CASE WHEN p = 0 THEN used ELSE list_append(used, p) END, p
+  FROM (SELECT hour, t, m, scale, used, coalesce(list_extract(list_sort(list_transform(list_filter(range(1, len(scale) + 1),
+        lambda i: NOT list_contains(used, i) AND scale[i] > 0 AND m[i][i] / scale[i] > 1e-9),
+        lambda i: {{'v': -m[i][i] / scale[i], 'i': i}})), 1).i, 0) AS p
+    FROM el WHERE t = 0 OR p > 0)
+), done AS (
+  SELECT hour, CAST(len(used) AS INTEGER) AS rank, m[len(m)][len(m)] AS rss,
+    list_transform(range(1, len(scale) + 1), lambda i: CASE WHEN list_contains(used, i) THEN m[i][len(m)] ELSE 0 END) AS w
+  FROM (SELECT hour, arg_max(m, t) AS m, arg_max(used, t) AS used, any_value(scale) AS scale FROM el GROUP BY hour)
+), f AS (SELECT date, [{ps}] AS pos, [{feats}] AS x FROM enc)
+SELECT hour, date, rank, round(rss, 3) AS rss,
+  round(avg(w[len(w)] + list_sum(list_transform(pos, lambda q: w[q + 1]))
+    + list_dot_product(w[len(w) - 23:len(w) - 1], list_concat(x[1:hour], x[hour + 2:]))), 6) AS predicted
+FROM done CROSS JOIN f GROUP BY hour, date, rank, rss"""
+
+
 def _predict_expr(hour: int) -> str:
     cat = "0.0"
     for i in range(len(CATS)):
@@ -296,6 +364,15 @@ FROM mapping GROUP BY field_pos, field, "offset" """
     q["gram_blocks"] = _gram_sql()
     q["predict_hour"] = with_ctes(OBS_CTES, mapping_ctes(), _enc_cte()) + (
         f"SELECT id, date, round({_predict_expr(h)}, 6) AS predicted FROM enc")
+    q["fit_24_models"] = _fit_sql()
+    q["fit_normal_rank"] = _rank_sql()
+    q["predict_all_hours"] = with_ctes(OBS_CTES, mapping_ctes(), _enc_cte()) + "\nUNION ALL\n".join(
+        f"SELECT id, date, {x} AS hour, round({_predict_expr(x)}, 6) AS predicted FROM enc" for x in HOURS)
+    hourly = "\n  UNION ALL\n  ".join(
+        f"SELECT o.id AS sid, o.date, p.lanes, {x} AS hour, CAST(o.{V[x]} AS BIGINT) AS volume, p.{AVG[x]} AS historical "
+        "FROM obs o JOIN prof p ON p.id = o.id" for x in HOURS)
+    q["level_all_hours"] = (with_ctes(OBS_CTES, STATION_CTES, _profile_cte(), f"hourly AS (\n  {hourly}\n)")
+                            + f"SELECT *, {_level('volume', 'historical')} AS level FROM hourly")
     vh = f"CAST(o.{V[h]} AS BIGINT)"
     q["at_hour"] = with_ctes(OBS_CTES) + f"SELECT o.id, o.date, {vh} AS volume FROM obs o"
     look = with_ctes(OBS_CTES, STATION_CTES, _profile_cte())
@@ -318,9 +395,25 @@ FROM obs o JOIN prof p ON p.id = o.id"""
     nulled = ", ".join(f"CASE WHEN direction = 'error' THEN NULL ELSE {c} END AS {c}" for c in OBS_RECORD)
     q["message_decode_bad"] = with_ctes(OBS_CTES, _obs_strings()) + (
         f"SELECT {MSG_KEY_SQL} AS key, {nulled}, direction = 'error' AS corrupt FROM obs_s")
+    five = "CAST(station_id AS BIGINT) % 5"
+    known = ", ".join(f"CASE WHEN {five} < 2 THEN {c} END AS {c}" for c in OBS_RECORD)
+    q["message_mixed_decode"] = with_ctes(OBS_CTES, _obs_strings()) + f"SELECT {MSG_KEY_SQL} AS key, {known}, {five} >= 2 AS corrupt FROM obs_s"
+    q["station_join_salted"] = q["station_join"]
+    q["hourly_profile_salted"] = _profile_sql()
     q["stream_publish"] = q["message_decode"]
     q["stream_score"] = _scored_base() + f"SELECT date, {', '.join(RESULT)} FROM scored"
     q["stream_upsert"] = _fold_sql("first")
+    q["stream_upsert_state"] = q["keyed_table_upsert"] = _fold_sql("first")
+    best = """(SELECT lpad(CAST(c_nationkey AS VARCHAR), 2, '0') || '_' || CAST(c_custkey AS VARCHAR) || '_' || event_type
+  FROM (SELECT c_custkey, c_nationkey FROM customer JOIN events ON user_id = c_custkey GROUP BY ALL ORDER BY count(*) DESC, c_custkey LIMIT 20) CROSS JOIN (SELECT DISTINCT event_type FROM events))"""
+    q["keyed_table_lookup"] = _fold_sql("first") + f" AND f.sid IN {best}"
+    early = _profile_cte().replace("prof AS", "prof_early AS").replace("ON s.id = o.id", "ON s.id = o.id AND o.date < '2024-01-16'")
+    vh8 = f"CAST(o.{V[SCORE_HOUR]} AS BIGINT)"
+    one = (f"SELECT o.id AS sid, o.date, p.lanes, {_current(vh8)} AS current, p.{AVG[SCORE_HOUR]} AS historical, "
+           f"{_level(vh8, 'p.' + AVG[SCORE_HOUR])} AS level FROM obs o JOIN {{}} p ON p.id = o.id WHERE o.date {{}} '2024-01-16'")
+    q["stream_profile_versions"] = (with_ctes(OBS_CTES, STATION_CTES, _profile_cte(), early)
+                                    + one.format("prof_early", "<") + "\nUNION ALL\n" + one.format("prof", ">="))
+    q["batch_metrics_observed"] = _scored_base() + "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(sum(current) AS BIGINT) AS current FROM scored"
     q["upsert_latest"] = _fold_sql("latest")
     twice = "enc2 AS (SELECT * REPLACE (CAST(v08 AS BIGINT) + 100 AS v08), 0 AS copy FROM enc UNION ALL SELECT * REPLACE (CAST(v08 AS BIGINT) AS v08), 1 AS copy FROM enc)"
     seq = "2 * date_diff('day', CAST(e.date AS DATE), DATE '2024-01-01') + e.copy AS seq"
@@ -337,4 +430,9 @@ FROM obs_s WHERE {station} % 11 = 0 OR {station} % 13 = 0 OR {kind} NOT IN (1, 6
   'POINT(' || CAST(0.0 - longitude_w AS VARCHAR) || ' ' || CAST(latitude AS VARCHAR) || ')' AS wkt,
   4326 AS srid
 FROM prof"""
+    def le(x):
+        bits = f"lpad(lower(to_hex(CAST(CAST(CAST({x} AS DOUBLE) AS BIT) AS UBIGINT))), 16, '0')"
+        return " || ".join(f"substr({bits}, {15 - 2 * k}, 2)" for k in range(8))
+    q["point_wkb"] = with_ctes(OBS_CTES, STATION_CTES, _profile_cte()) + (
+        f"SELECT id, lanes, '0101000020e6100000' || {le('0.0 - longitude_w')} || {le('latitude')} AS wkb FROM prof")
     return q

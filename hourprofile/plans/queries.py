@@ -22,7 +22,9 @@ from ..operators import profile as P
 from ..operators import project as PR
 from ..session import materialize, scratch_path
 from ..spec import RESULT_COLUMNS, TEST_OBS, TEST_RESULT_FIELDS, TEST_STATION
+from .. import sinks
 from .. import streaming as ST
+from ..sinks.keyed import KeyedTable, publish
 from . import jobs as J
 from . import testviews as tv
 
@@ -162,6 +164,20 @@ def station_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return P.attach_station(st, ob).select("id", "location", "lanes", "date", *P.VOLUME_COLUMNS)
 
 
+@register
+def station_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same join with the rows of crowded ids dealt over salts."""
+    st = P.stations(tv.stations(spark, sf_dir), TEST_STATION)
+    ob = P.observations(tv.staged_observations(spark, sf_dir), TEST_OBS, keep=("date",))
+    return P.attach_station(st, ob, salted=True).select("id", "location", "lanes", "date", *P.VOLUME_COLUMNS)
+
+
+@register
+def hourly_profile_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly profile over the salted join: sums and counts per salt, then combined."""
+    return P.profile(tv.staged_observations(spark, sf_dir), tv.stations(spark, sf_dir), TEST_OBS, TEST_STATION, salted=True)
+
+
 # ------------------------------------------------------------ categorical encoder
 CATS = TEST_OBS.categoricals
 # Training window of the unseen-category query: levels fitted on the first half
@@ -243,22 +259,36 @@ def log_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register
 def gram_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Exact Gram matrix of [one-hot | log volumes | 1] (features at 1e-6):
-    exact integer partials per partition, decimal sums per entry."""
+    """The Gram matrix of [one-hot | log volumes | 1] that training reads."""
     enc, _, k = _encoded(spark, sf_dir)
-    dq = enc.select(F.array(*[F.col(f"pos_{c}") for c in CATS]).alias("positions"),
-                    M.quantised_logs(TEST_OBS.volumes).alias("qlogs"))
-    return M.gram_exact(dq, k)
+    return J.training_gram(enc, TEST_OBS, k)
+
+
+def _trained(spark: SparkSession, sf_dir: str, solver: str):
+    """Encoded rows and the 24 models that ``train_job`` saves and loads back."""
+    rows = training_rows(spark, sf_dir)
+    mapping, models = J.train_job(spark, rows, TEST_OBS, scratch_path(spark, f"trained-{solver}"), solver=solver)
+    return rows, mapping, models
 
 
 @register
 def fit_24_models(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One Gram pass, 24 gradient-descent fits, saved and loaded back."""
-    enc, _, k = _encoded(spark, sf_dir)
-    d = M.design(enc, CATS, TEST_OBS.volumes)
-    g = M.gram_matrix(M.gram(d, k), k + 25)
-    path = M.save(M.fit(spark, g, k), scratch_path(spark, "models"))
-    return M.load(spark, path)
+    """One Gram pass, 24 gradient-descent fits, saved and loaded back; a row per
+    weight (the last feature is the intercept), rounded to 1e-6."""
+    _, _, models = _trained(spark, sf_dir, "gd")
+    weights = F.posexplode(F.concat("coef", F.array("intercept"))).alias("feature", "weight")
+    return models.select("hour", "iterations", weights).select("hour", "iterations", "feature", (F.round("weight", 6) + 0.0).alias("weight"))
+
+
+@register
+def fit_normal_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 least-squares fits over dependent columns: the rank, the residual sum of
+    squares and the mean prediction per date, none of which depends on the solution chosen."""
+    rows, mapping, models = _trained(spark, sf_dir, "normal")
+    enc = E.apply(materialize(rows, "rank-rows"), mapping, CATS)
+    p = M.predict_hours(M.design(enc, CATS, TEST_OBS.volumes, keep=("date",)), models, len(CATS), back_transform=False)
+    means = p.groupBy("hour", "date").agg(F.round(F.avg("predicted"), 6).alias("predicted"))
+    return means.join(F.broadcast(models.select("hour", "rank", F.round("rss", 3).alias("rss"))), "hour")
 
 
 @register
@@ -270,6 +300,15 @@ def predict_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("id", "date", F.round("predicted", 6).alias("predicted"))
 
 
+@register
+def predict_all_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Prediction of every record by each of the 24 models, from one read."""
+    enc, _, k = _encoded(spark, sf_dir)
+    d = M.design(enc, CATS, TEST_OBS.volumes, keep=("id", "date"))
+    p = M.predict_hours(d, M.rule_models(spark, k), len(CATS))
+    return p.select("id", "date", "hour", F.round("predicted", 6).alias("predicted"))
+
+
 def _live(spark: SparkSession, sf_dir: str, obs: DataFrame | None = None) -> DataFrame:
     obs = (obs if obs is not None else tv.observations(spark, sf_dir)) \
         .withColumn("sid", FN.composite_key(TEST_OBS.key))
@@ -305,6 +344,15 @@ def level(spark: SparkSession, sf_dir: str) -> DataFrame:
                     FN.level("volume", "historical").alias("level"))
 
 
+@register
+def level_all_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Level of every record, lane and hour against the profile's 24 averages."""
+    obs = tv.staged_observations(spark, sf_dir)
+    live = obs.select(FN.composite_key(TEST_OBS.key).alias("sid"), "date", F.array(*[FN.volume(v) for v in TEST_OBS.volumes]).alias("volumes"))
+    j = SC.attach_profile_hours(live, materialize(_profile(spark, sf_dir, obs), "profile"))
+    return j.select("sid", "date", "lanes", "hour", "volume", "historical", FN.level("volume", "historical").alias("level"))
+
+
 @register
 def scaled_current(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deterministic live-volume stand-in: int(max(v + v*0.5*z0, 0))."""
@@ -371,6 +419,22 @@ def message_decode_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MS.decode(msgs.select("key", broken.alias("value")), TEST_OBS.schema())
 
 
+def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A log of all kinds, by station number modulo 5: an object, an array, an object
+    cut short, JSON null and a number."""
+    kind = F.col("station_id").cast("bigint") % 5
+    obj, arr = (F.to_json(f(*[F.col(c) for c in TEST_OBS.columns])) for f in (F.struct, F.array))
+    value = (F.when(kind == 0, obj).when(kind == 1, arr).when(kind == 2, F.expr("substr(_o, 1, length(_o) - 1)"))
+             .when(kind == 3, F.lit("null")).otherwise(F.col("station_id")))
+    return tv.observations(spark, sf_dir).withColumn("_o", obj).select(FN.composite_key(list(MSG_KEY)).alias("key"), value.alias("value"))
+
+
+@register
+def message_mixed_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of both shapes and malformed ones in one log, decoded by what each is."""
+    return MS.decode_mixed(mixed_messages(spark, sf_dir), TEST_OBS.schema())
+
+
 # ------------------------------------------------------------ streams
 _STREAM_STAGE: dict[tuple, dict] = {}
 
@@ -463,6 +527,91 @@ def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(counts).where(F.col("kind") == "scored").agg(F.sum("rows").alias("rows"))
 
 
+@register
+def batch_metrics_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result rows and volume counted in the streaming plan itself, as its listener is
+    told per micro-batch, summed."""
+    mapping, models, profile = _scoring_inputs(spark, sf_dir)
+    msgs = S.stream_json_messages(spark, _published(spark, sf_dir), max_files=tv.files_per_trigger(spark, 3))
+    rows = ST.scored(msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile, hour=SCORE_HOUR)
+    log = ST.ProgressLog()
+    spark.streams.addListener(log)
+    try:
+        q = sinks.stream_files(sinks.with_metrics(rows, "scored", F.sum("current").alias("current")), scratch_path(spark, "observed"),
+                               scratch_path(spark, "observed-ckpt"))
+        q.awaitTermination()
+        found = ST.await_progress(log, q, "scored")
+    finally:
+        spark.streams.removeListener(log)
+    batches = spark.createDataFrame([(v["rows"], v["current"]) for v in found], "rows long, current long")
+    return batches.agg(F.sum("rows").alias("rows"), F.sum("current").alias("current"))
+
+
+@register
+def keyed_table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring stream into a keyed table, compacted after every second micro-batch;
+    read by merging the base with the epochs since."""
+    return _keyed_table(spark, sf_dir).read().select(*RESULT_COLUMNS).withColumn("predicted", F.round("predicted", 6))
+
+
+@register
+def keyed_table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The keyed table's rows of the 20 stations with the most events."""
+    users = (tv.table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+             .join(tv.table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("user_id") == F.col("c_custkey"))
+             .orderBy(F.col("n").desc(), "user_id").limit(20))
+    station = F.concat_ws("_", F.lpad(F.col("c_nationkey").cast("string"), 2, "0"), F.col("c_custkey").cast("string"), "event_type")
+    types = tv.table(spark, sf_dir, "events").select("event_type").distinct()
+    keys = [r.sid for r in users.crossJoin(types).select(station.alias("sid")).collect()]
+    found = _keyed_table(spark, sf_dir).lookup(keys)
+    return found.select(*RESULT_COLUMNS).withColumn("predicted", F.round("predicted", 6))
+
+
+def _keyed_table(spark: SparkSession, sf_dir: str) -> KeyedTable:
+    k = (spark.sparkContext.applicationId, sf_dir, "keyed")
+    if k not in _STREAM_STAGE:
+        mapping, models, profile = _scoring_inputs(spark, sf_dir)
+        msgs = S.stream_json_messages(spark, _published(spark, sf_dir), max_files=tv.files_per_trigger(spark, 3))
+        table = KeyedTable(spark, scratch_path(spark, "keyed"))
+        ST.score_stream(spark, msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile, table, scratch_path(spark, "keyed-ckpt"),
+                        hour=SCORE_HOUR, compact_every=2).awaitTermination()
+        _STREAM_STAGE[k] = {"table": table}
+    return _STREAM_STAGE[k]["table"]
+
+
+@register
+def stream_upsert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The upsert table read from the stream's own state, after a restart half way."""
+    mapping, models, profile = _scoring_inputs(spark, sf_dir)
+    topic, checkpoint = scratch_path(spark, "topic-state"), scratch_path(spark, "state-ckpt")
+    all_messages = spark.read.json(_published(spark, sf_dir), schema="key string, value string")
+    half = F.pmod(F.xxhash64("key"), F.lit(2))
+    for part in (0, 1):
+        all_messages.where(half == part).repartition(tv.stage_parts(spark), "key").write.mode("append").json(topic)
+        msgs = S.stream_json_messages(spark, topic, max_files=tv.files_per_trigger(spark, 2))
+        rows = ST.scored(msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile, hour=SCORE_HOUR)
+        ST.upsert_stream(rows, None, checkpoint).awaitTermination()
+    return ST.read_state(spark, checkpoint, rows).withColumn("predicted", F.round("predicted", 6))
+
+
+@register
+def stream_profile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two versions of the profile under one stream: the first half-month's messages are
+    scored against the profile of these days, then the whole month's profile is
+    published and the rest is scored against it."""
+    mapping, models, _ = _scoring_inputs(spark, sf_dir)
+    obs = tv.staged_observations(spark, sf_dir)
+    early = F.col("date") < F.lit(TRAIN_WINDOW_END)
+    topic, root, out = (scratch_path(spark, n) for n in ("topic-versions", "profile-versions", "scored-versions"))
+    checkpoint = scratch_path(spark, "versions-ckpt")
+    for rows, known in ((obs.where(early), obs.where(early)), (obs.where(~early), obs)):
+        publish(_profile(spark, sf_dir, known), root)
+        MS.encode(rows, key=list(MSG_KEY), columns=TEST_OBS.columns).repartition(tv.stage_parts(spark), "key").write.mode("append").json(topic)
+        msgs = S.stream_json_messages(spark, topic, max_files=tv.files_per_trigger(spark, 2))
+        ST.score_stream(spark, msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, root, out, checkpoint, hour=SCORE_HOUR).awaitTermination()
+    return spark.read.parquet(out).select("sid", "date", "lanes", "current", "historical", "level")
+
+
 def _message_stream(spark: SparkSession, msgs: DataFrame, name: str):
     """Messages written to a folder of several files, and a stream over it."""
     topic = scratch_path(spark, name)
@@ -510,6 +659,12 @@ def point_wkt(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.lit(4326).alias("srid"))
 
 
+@register
+def point_wkb(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Binary point (little-endian, with SRID) of every profile row, as hex digits."""
+    return _profile(spark, sf_dir).select("id", "lanes", F.lower(F.hex(FN.point_wkb("longitude", "latitude"))).alias("wkb"))
+
+
 def reset_stages() -> None:
     """Forget staged inputs so the next query rebuilds them (bench fairness)."""
     tv._STAGED.clear()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -22,15 +22,6 @@ def write_csv(df: DataFrame, path: str, header: bool = True, quote_all: bool = F
     return path
 
 
-def write_table(df: DataFrame, path: str, mode: str = "overwrite",
-                partition_by: Sequence[str] = ()) -> str:
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return path
-
-
 def stream_json_files(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                       query_name: str | None = None) -> StreamingQuery:
     """File-backed twin of the Kafka sink: append JSON lines ``key, value, ...``."""
@@ -42,6 +33,12 @@ def stream_json_files(df: DataFrame, path: str, checkpoint: str, trigger: dict |
     return w.start()
 
 
+def stream_files(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append the rows of every micro-batch as Parquet files, each batch whole or not at all."""
+    w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).outputMode("append")
+    return w.trigger(**(trigger or {"availableNow": True})).start()
+
+
 # ---------------------------------------------------------------- kafka
 def kafka_writer_options(servers: str, topic: str, **opts) -> dict[str, str]:
     o = {"kafka.bootstrap.servers": servers, "topic": topic}
@@ -195,7 +192,7 @@ def upsert_jdbc(df: DataFrame, table: str, key: Sequence[str], update_cols: Sequ
                  [merge_sql(table, staging, key, df.columns, update_cols)])
 
 
-def with_metrics(df: DataFrame, name: str = "batch") -> DataFrame:
-    """Attach row-count observation (read back from ``StreamingQuery.lastProgress``
-    or the returned ``Observation``)."""
-    return df.observe(name, F.count(F.lit(1)).alias("rows"))
+def with_metrics(df: DataFrame, name: str = "batch", *more: Column) -> DataFrame:
+    """Count the rows (and whatever ``more`` aggregates) in the plan: a stream's listener or
+    progress gives them per micro-batch, a batch query's ``Observation`` once."""
+    return df.observe(name, F.count(F.lit(1)).alias("rows"), *more)

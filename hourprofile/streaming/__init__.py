@@ -8,18 +8,20 @@ with ``trigger(availableNow=True)``.
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from .. import sinks
 from .. import sources as S
 from ..operators import messages as MS
 from ..operators import score as SC
 from ..session import materialize
+from ..sinks.keyed import KeyedTable, current
 from ..spec import RESULT_COLUMNS, ObsSpec
 
 
@@ -59,7 +61,10 @@ def local_hour(zone: str | None = None):
 
 def decoded(messages: DataFrame, spec: ObsSpec, shape: str = "object",
             mode: str = "PERMISSIVE") -> DataFrame:
-    """Log frame -> typed records (+ ``key``, the log's order and ``corrupt``)."""
+    """Log frame -> typed records (+ ``key``, the log's order and ``corrupt``); ``shape``
+    ``mixed`` reads each message by the shape that it has."""
+    if shape == "mixed":
+        return MS.decode_mixed(messages, spec.schema(), keep=("key", *_log_columns(messages)))
     return MS.decode(messages, spec.schema(), shape=shape, mode=mode, unquote=shape == "array",
                      keep=("key", *_log_columns(messages)))
 
@@ -78,39 +83,72 @@ def scored(messages: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mappin
     return SC.score(good, spec, fields, mapping, models, profile, h, keep=keep)
 
 
+#: What ``score.tagged`` calls messages.
+REASONS = ("ok", "corrupt", "negative", "not_finite", "missing", "unseen")
+
+
+def _observed_counts(name: str, good: DataFrame, bad: DataFrame, scored_rows: DataFrame):
+    """The three frames with counts observed in their plans, and a function that gives the
+    counts as ``(kind, rows)`` once all of them have been written."""
+    seen = Observation(f"{name}-ok"), Observation(f"{name}-bad"), Observation(f"{name}-rows")
+    count = F.count(F.lit(1))
+    reasons = [F.coalesce(F.sum((F.col("reason") == r).cast("long")), F.lit(0)).alias(r) for r in REASONS[1:]]
+    bad, scored_rows = bad.observe(seen[1], *reasons), scored_rows.observe(seen[2], count.alias("scored"))
+
+    def counts(spark: SparkSession) -> DataFrame:
+        found = {**seen[1].get, **seen[2].get, "ok": good}
+        rows = [(k, int(n)) for k, n in found.items() if n]
+        return spark.createDataFrame(rows or [("scored", 0)], "kind string, rows long").coalesce(1)
+
+    return bad, scored_rows, counts
+
+
 def score_stream(spark: SparkSession, messages: DataFrame, spec: ObsSpec,
                  fields: Mapping[str, str], mapping: DataFrame, models: DataFrame,
-                 profile: DataFrame | str, out: str, checkpoint: str, hour=None,
+                 profile: DataFrame | str, out: str | KeyedTable, checkpoint: str, hour=None,
                  trigger: dict | None = None, keep: Sequence[str] | None = None,
                  shape: str = "object", rejected: str | None = None, metrics: str | None = None,
-                 zone: str | None = None) -> StreamingQuery:
+                 zone: str | None = None, compact_every: int = 0) -> StreamingQuery:
     """Score every micro-batch; no message is lost.
 
     Result rows go to ``out/epoch=<n>``, messages that can't be scored, with a
     ``reason`` (``score.tagged``), to ``rejected/epoch=<n>`` and the counts of result
     rows (kind ``scored``) and of messages by reason to ``metrics/epoch=<n>``
     (default folders: ``out`` with a suffix). A replayed epoch overwrites its own
-    folders. A ``profile`` given as a path is read anew for every micro-batch, so a
-    newly written profile takes effect at once.
+    folders. Counts are observed in the plans that write, nothing is read again.
+
+    With a ``KeyedTable`` as ``out`` the result rows are upserted into it instead; rows,
+    ``rejected`` and ``metrics`` of an epoch become visible together, and every
+    ``compact_every`` epochs the table is compacted.
+
+    A ``profile`` given as a path is read anew for every micro-batch: a version made
+    current by ``keyed.publish`` takes effect with the next one, while a batch that is
+    running goes on with the files of its own version.
     """
     dec = decoded(messages, spec, shape)
     keep = ["date", *_log_columns(messages)] if keep is None else keep
-    out, at = out.rstrip("/"), "{}/epoch={}".format
-    rejected, metrics = rejected or out + "_rejected", metrics or out + "_metrics"
+    table = out if isinstance(out, KeyedTable) else None
+    folder, at = "" if table else out.rstrip("/"), "{}/epoch={}".format
+    rejected, metrics = rejected or folder + "_rejected", metrics or folder + "_metrics"
     h = local_hour(zone) if hour is None else hour
 
     def write_epoch(batch: DataFrame, epoch: int) -> None:
         own = batch.sparkSession
-        prof = own.read.parquet(profile) if isinstance(profile, str) else profile
+        prof = current(own, profile) if isinstance(profile, str) else profile
         tagged = SC.tagged(batch, spec, mapping).persist()
         try:
-            good = tagged.where(F.col("reason") == "ok")
-            SC.score_encoded(good, spec, fields, models, prof, h, keep).write.mode("overwrite").parquet(at(out, epoch))
+            ok = tagged.where(F.col("reason") == "ok")
             bad = tagged.where(F.col("reason") != "ok").drop("corrupt", *[f"pos_{c}" for c in spec.categoricals])
-            bad.write.mode("overwrite").parquet(at(rejected, epoch))
-            rows = own.read.parquet(at(out, epoch)).agg(F.lit("scored").alias("kind"), F.count(F.lit(1)).alias("rows"))
-            reasons = tagged.groupBy(F.col("reason").alias("kind")).agg(F.count(F.lit(1)).alias("rows"))
-            rows.unionByName(reasons).coalesce(1).write.mode("overwrite").parquet(at(metrics, epoch))
+            good = SC.score_encoded(ok, spec, fields, models, prof, h, keep)
+            bad, good, counts = _observed_counts(f"epoch-{epoch}", ok.count(), bad, good)
+            if table:
+                table.upsert(good, epoch, {"rejected": bad}, after=lambda: {"metrics": counts(own)})
+                if compact_every and (epoch + 1) % compact_every == 0:
+                    table.compact()
+            else:
+                good.write.mode("overwrite").parquet(at(folder, epoch))
+                bad.write.mode("overwrite").parquet(at(rejected, epoch))
+                counts(own).write.mode("overwrite").parquet(at(metrics, epoch))
         finally:
             tagged.unpersist()
 
@@ -118,11 +156,46 @@ def score_stream(spark: SparkSession, messages: DataFrame, spec: ObsSpec,
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+class ProgressLog(StreamingQueryListener):
+    """Metrics observed in streaming plans (``sinks.with_metrics``), one entry per
+    micro-batch: ``rows`` holds ``(query id, batch, metric, values)``."""
+
+    def __init__(self):
+        self.rows: list[tuple[str, int, str, dict]] = []
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.rows += [(str(p.id), p.batchId, name, row.asDict()) for name, row in (p.observedMetrics or {}).items()]
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def await_progress(log: ProgressLog, query: StreamingQuery, name: str, seconds: float = 60.0) -> list[dict]:
+    """The values of a metric of every micro-batch of a query that has ended. Listeners
+    are told from a queue, so the last events may still be on their way."""
+    last = query.lastProgress
+    until = time.monotonic() + seconds
+    while True:
+        found = {b: v for q, b, n, v in log.rows if q == str(query.id) and n == name}
+        if last is None or last.batchId in found or name not in (last.observedMetrics or {}):
+            return [found[b] for b in sorted(found)]
+        if time.monotonic() > until:
+            raise TimeoutError(f"no progress of batch {last.batchId} after {seconds} s")
+        time.sleep(0.05)
+
+
 def _order(rows: DataFrame, seq: Sequence[str] | None) -> list[str]:
     return [*_log_columns(rows), "date", "lanes"] if seq is None else list(seq)
 
 
-def upsert_stream(scored_rows: DataFrame, changelog: str, checkpoint: str, key: str = "sid",
+def upsert_stream(scored_rows: DataFrame, changelog: str | None, checkpoint: str, key: str = "sid",
                   seq: Sequence[str] | None = None, policy: str = "first",
                   trigger: dict | None = None) -> StreamingQuery:
     """Fold scored rows per key with streaming state (update mode) and write
@@ -131,12 +204,16 @@ def upsert_stream(scored_rows: DataFrame, changelog: str, checkpoint: str, key:
     ``seq`` orders the rows of a key; by default the order of the log, as far as the
     rows have it, then date and lane. State holds one row per key (bounded by the station dimension). A replayed
     epoch overwrites its own folder, so restarts are idempotent;
-    ``read_upserted`` gives the table as the upserts leave it.
+    ``read_upserted`` gives the table as the upserts leave it. Without a ``changelog``
+    the state alone is the table: ``read_state`` reads it from the checkpoint.
     """
     folded = SC.upsert_fold(scored_rows, key, _order(scored_rows, seq), policy=policy)
 
     def write_epoch(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{changelog.rstrip('/')}/epoch={epoch}")
+        if changelog is None:
+            batch.write.format("noop").mode("overwrite").save()  # the batch must run for its state to be kept
+        else:
+            batch.write.mode("overwrite").parquet(f"{changelog.rstrip('/')}/epoch={epoch}")
 
     w = (folded.writeStream.outputMode("update").foreachBatch(write_epoch)
          .option("checkpointLocation", checkpoint))
@@ -209,3 +286,23 @@ def compact_upserted(spark: SparkSession, changelog: str, key: str = "sid") -> s
     folded.write.mode("overwrite").parquet(_snapshot_path(changelog))
     return _snapshot_path(changelog)
 
+
+def read_state(spark: SparkSession, checkpoint: str, scored_rows: DataFrame, key: str = "sid",
+               seq: Sequence[str] | None = None, latest_cols: Sequence[str] = ("current",)) -> DataFrame:
+    """The upsert table out of the state that ``upsert_stream`` (policy ``first``) keeps in
+    its checkpoint, one row per key, without a change log.
+
+    The state holds the buffers of the two aggregates: the first row's columns and
+    its place, the last row's columns and its place. ``scored_rows`` gives their names and types.
+    """
+    order = _order(scored_rows, seq)
+    cols = [c for c in scored_rows.columns if c != key]
+    kinds = {f.name: f.dataType.simpleString() for f in scored_rows.schema.fields}
+    shape = "struct<{}>".format
+    fields = [",".join(f"{c}:{kinds[c]}" for c in part) for part in
+              ([c for c in cols if c not in latest_cols], order, [c for c in cols if c in latest_cols], order)]
+    buffers = shape(",".join(f"{n}:{shape(f)}" for n, f in zip(("first", "first_place", "last", "last_place"), fields)))
+    state = spark.read.format("statestore").load(checkpoint)
+    rows = state.select(F.col(f"key.{key}").alias(key), F.col("value").cast(buffers).alias("_v"))
+    out = rows.select(key, *[F.col(f"_v.last.{c}" if c in latest_cols else f"_v.first.{c}").alias(c) for c in cols])
+    return out.select(*[c for c in RESULT_COLUMNS if c in out.columns])

@@ -147,8 +147,8 @@ def test_not_finite_row_changes_no_other(spark):
     with pytest.raises(ValueError):
         M.gram_matrix(spark.createDataFrame([(0, 0, None)], "i int, j int, g double"), 1)
     a = np.eye(3) * 7e9
-    w, _ = M.normal_equations(a, np.array([7e9, 0.0, 7e9]))
-    assert np.allclose(w, [1, 0, 1])
+    w, rank, _ = M.normal_equations(a, np.array([7e9, 0.0, 7e9]))
+    assert np.allclose(w, [1, 0, 1]) and rank == 3
 
 
 def test_array_messages_quotes_and_lengths(spark):
