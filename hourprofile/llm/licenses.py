@@ -17,9 +17,10 @@ that state a family tell its notices in a text apart; smallest runs that share l
 are one notice. Its row is that of the run most like a template, of equal ones the
 shortest, and names the run's first line.
 
-Texts and paragraphs without any telling word of the templates are passed over
-before n-grams are made: more than 1 - SIMILARITY of every template's word pairs
-hold such a word (checked on loading), so no template could confirm them.
+Texts and paragraphs without any telling word of the templates, or without any of the
+templates' word pairs that hold one, are passed over before lines and n-grams are
+made: more than 1 - SIMILARITY of every template's word pairs hold such a word (checked
+on loading), so no template could confirm them.
 Everything runs in DataFrame expressions; the weights (a few thousand rows, fixed
 by the templates) are broadcast.
 
@@ -151,6 +152,12 @@ def telling_words() -> list[str]:
     return sorted(telling)
 
 
+def telling_pairs() -> list[str]:
+    """Word pairs of the templates with a telling word; what holds none can't be confirmed."""
+    telling = set(telling_words())
+    return sorted({p for ts in TEMPLATES.values() for t in ts for p in word_pairs(t) if telling & set(plain_words(p))})
+
+
 def words(text: Column) -> Column:
     """Lower-case words, with inner dots and pluses (2.0, gpl-3.0 is gpl and 3.0)."""
     w = F.split(F.lower(text), r"[^a-z0-9.]+")
@@ -282,16 +289,17 @@ def scan(docs: DataFrame) -> DataFrame:
     def may_tell(column: str) -> Column:
         return F.arrays_overlap(F.split(F.lower(column), "[^a-z0-9]+"), telling)
 
+    some = F.array(*map(F.lit, telling_pairs()))
+    # a line's end is a gap between words like any other, so a run's pairs are pairs of its text
+    holds_pair = once(words(F.col("text")), lambda w: F.arrays_overlap(F.transform(w, lambda x, i: F.concat_ws(" ", x, F.get(w, i + 1))), some))
     texts = (docs.select(F.monotonically_increasing_id().alias("text_row"), F.col("doc_id").cast("long").alias("doc_id"),
-                         F.col("text").cast("string").alias("text")).where(may_tell("text")))
+                         F.col("text").cast("string").alias("text")).where(may_tell("text")).where(holds_pair))
     lines = texts.select("text_row", "doc_id", F.transform(F.split("text", "\n"), words).alias("lines"))
     own = F.transform("lines", lambda w, i: F.array(F.struct(i.cast("int").alias("last"), w.alias("w"))))
     more = F.transform("lines", lambda w, i: runs_of_lines(F.col("lines"), w, i))
     near = lines.select("text_row", "doc_id", F.posexplode(F.zip_with(own, more, lambda a, b: F.concat(a, b))).alias("paragraph", "x"))
     near = near.select("text_row", "doc_id", "paragraph", F.inline("x"))
     near = near.where(F.arrays_overlap("w", telling))
-    # what holds no word pair of any template can't be confirmed by one
-    some = F.array(*map(F.lit, sorted({p for ts in TEMPLATES.values() for t in ts for p in word_pairs(t)})))
     near = near.where(F.arrays_overlap(grams(F.col("w"), 2), some))
     # written, so that its row numbers, which tell repeated rows apart, stay
     near = table(near.select(F.monotonically_increasing_id().alias("row"), "text_row", "doc_id", "paragraph", "last", grams(F.col("w")).alias("grams")), "license-paragraphs")
