@@ -1,22 +1,26 @@
-"""Benchmark decontamination by n-gram seeds and Smith-Waterman alignment.
-
-Every run of ``SEED_WORDS`` words of a test item is a seed, however many texts hold
-it. One pass over all texts finds the seeds in every text; each says where the item
-would begin. Around that place the words that the item has too are counted: fewer
-than ``THRESHOLD`` of the item's can't reach the threshold, whatever their order, so
-this test loses nothing. What is left is aligned with the item word by word. The
-best local score, divided by the item's score against itself, is the similarity; at
-``THRESHOLD`` the text counts as holding the item, edited or not. Every alignment
-that good and with ``SEED_WORDS`` words of the item in a row lies inside the span
-looked at (``_reach``), and is found; copies without such a run are not.
+"""Benchmark decontamination by rare n-gram seeds and Smith-Waterman alignment.
+
+A text holds a test item, edited or not, if the best local alignment of their words
+scores ``THRESHOLD`` or more of the item's score against itself. All such texts are found:
+
+* Seeds. An alignment that good of an item of n words has n (1 - MATCH + THRESHOLD MATCH) - 1
+  pairs of neighbouring words (0.2 n - 1) that stand side by side in the text too: each word
+  that is changed, put in or left out parts one pair at most, and the score allows only so
+  many. Items too short for that (``PAIR_WORDS``) share ``THRESHOLD`` n single words. So
+  if t of an item's seeds must be found, its t - 1 most frequent ones can be left out: one
+  of the others is always among them. How frequent they are is counted over all texts
+  first, so the seeds that join texts to items are the rare ones.
+* Candidates. Each seed found says where the item would begin. Around that place
+  (``_reach``) the words that the item has too are counted: fewer than ``THRESHOLD`` of
+  the item's can't reach the threshold, whatever their order.
+* Alignment of what is left, word by word, inside the span looked at.
 
 Items are a query set that goes to the workers in blocks of at most
 ``BLOCK_BYTES`` of text, one pass each, whatever their number. Words are
 runs of letters and digits, A-Z folded; all other ASCII separates.
 
 Cases: null, empty or wordless items match nothing; null and empty texts hold
-nothing; an item shorter than a seed is one seed; repeated rows are reported
-each; an empty table gives no rows; other columns pass through ``without``.
+nothing; repeated rows are reported each; an empty table gives no rows; other columns pass through ``without``.
 """
 
 from __future__ import annotations
@@ -28,9 +32,10 @@ from pyspark.sql import functions as F
 
 from .common import mix, slices, words_of
 
-SEED_WORDS = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 THRESHOLD = 0.6
+#: From so many words on, some pair of an item's words survives in every copy.
+PAIR_WORDS = int(1 / (1 - MATCH + THRESHOLD * MATCH) + 1e-9) + 1
 BLOCK_BYTES = 8 << 20
 _FILTER_BITS = 22
 #: Places, and words around them, that are held at a time.
@@ -71,28 +76,47 @@ def _ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 class Items:
-    """One block of test items with their seeds."""
+    """One block of test items with their seeds: all of them, or with ``counts`` (how often
+    each of ``seeds`` stands in the texts) those that every copy has one of."""
 
-    def __init__(self, ids: list, texts: list[str]):
+    def __init__(self, ids: list, texts: list[str], counts: np.ndarray | None = None):
         h, _, per = words_of(pa.array(texts, pa.string()), letters_only=True)
         ends = np.cumsum(per)
         kept = [(i, h[e - n:e]) for i, n, e in zip(ids, per, ends, strict=True) if n]
         self.ids, self.words = [i for i, _ in kept], [w for _, w in kept]
         self.sizes = np.array([len(w) for w in self.words], np.int64)
-        self.lengths = sorted({min(SEED_WORDS, len(w)) for w in self.words})
-        seeds = [seeds_of(w, min(SEED_WORDS, len(w))) for w in self.words]
+        long = self.sizes >= PAIR_WORDS
+        self.lengths = sorted({1 + int(x) for x in long})
+        seeds = [seeds_of(w, 1 + int(x)) for w, x in zip(self.words, long, strict=True)]
         n = np.array([len(x) for x in seeds], np.int64)
         self.seeds, index = np.unique(np.concatenate([np.zeros(0, np.uint64), *seeds]), return_inverse=True)
+        item, place = np.repeat(np.arange(len(kept)), n), _ranges(np.zeros(len(kept), np.int64), n)
+        if counts is not None:
+            must = np.where(long, self.sizes * (1 - MATCH + THRESHOLD * MATCH) - 1, THRESHOLD * self.sizes)
+            spare = np.maximum(np.ceil(must - 1e-9), 1).astype(np.int64) - 1
+            order = np.lexsort((-counts[index], item))  # the most frequent of each item first
+            rank = np.empty(len(index), np.int64)
+            rank[order] = place  # both run through the items in turn
+            rare = rank >= spare[item]
+            index, item, place = index[rare], item[rare], place[rare]
         # (seed, item) of every place, ascending, and the place
-        key = index * len(kept) + np.repeat(np.arange(len(kept)), n)
+        key = index * len(kept) + item
         order = np.argsort(key, kind="stable")
-        self.key, self.place = key[order], _ranges(np.zeros(len(kept), np.int64), n)[order]
+        self.key, self.place = key[order], place[order]
         self.filter = np.zeros(1 << _FILTER_BITS, bool)
-        self.filter[self.seeds >> np.uint64(64 - _FILTER_BITS)] = True
+        self.filter[self.seeds[np.unique(index)] >> np.uint64(64 - _FILTER_BITS)] = True
         self.own = np.zeros(1 << _FILTER_BITS, bool)
         for k, w in enumerate(self.words):
             self.own[self._slot(np.full(len(w), k), w)] = True
 
+    def counted(self, column: pa.Array) -> np.ndarray:
+        """How often each seed stands in the texts."""
+        h, doc, _ = words_of(column, letters_only=True)
+        total = np.zeros(len(self.seeds), np.int64)
+        for _, k in self.found(h, doc):
+            total += np.bincount(k, minlength=len(total))
+        return total
+
     @staticmethod
     def _slot(item: np.ndarray, words: np.ndarray) -> np.ndarray:
         return mix(words + item.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - _FILTER_BITS)
@@ -189,15 +213,38 @@ class Items:
                 for (d, k), (score, a, b) in sorted(out.items())]
 
 
+def _frequencies(docs: DataFrame, shared, size: int) -> np.ndarray:
+    """Occurrences of every seed of a block in all texts: one row a task and seed, summed."""
+
+    def run(batches):
+        total = np.zeros(size, np.int64)
+        for b in slices(batches, "text", 2 << 20):
+            total += shared.value.counted(b.column(0))
+        at = np.flatnonzero(total)
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["seed", "n"])
+
+    out = np.zeros(size, np.int64)
+    texts = docs.select(F.col("text").cast("string").alias("text"))
+    for r in texts.mapInArrow(run, "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n")).collect():  # a block's seeds at most
+        out[r.seed] = r.n
+    return out
+
+
 def blocks(docs: DataFrame, items: DataFrame):
-    """Blocks of items with their seeds, one at a time, as broadcasts."""
-    spark = docs.sparkSession
+    """Blocks of items with their rare seeds, one at a time, as broadcasts."""
+    context = docs.sparkSession.sparkContext
     items = items.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     size = int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0)
     n = -(-size // BLOCK_BYTES)
     for k in range(n):
         own = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k).orderBy("item_id", "text").collect()
-        yield spark.sparkContext.broadcast(Items([r.item_id for r in own], [r.text for r in own]))
+        ids, texts = [r.item_id for r in own], [r.text for r in own]
+        every = Items(ids, texts)
+        shared = context.broadcast(every)
+        counts = _frequencies(docs, shared, len(every.seeds))
+        shared.destroy()
+        yield context.broadcast(Items(ids, texts, counts))
 
 
 def matches(docs: DataFrame, items: DataFrame) -> DataFrame:
