@@ -366,6 +366,11 @@ FROM mapping GROUP BY field_pos, field, "offset" """
         f"SELECT id, date, round({_predict_expr(h)}, 6) AS predicted FROM enc")
     q["fit_24_models"] = _fit_sql()
     q["fit_normal_rank"] = _rank_sql()
+    ones = "\n  UNION ALL ".join(f"SELECT id, date, CAST(p{i} AS INTEGER) AS index, CAST(1 AS DOUBLE) AS value FROM enc" for i in range(len(CATS)))
+    logs = "\n  UNION ALL ".join(f"SELECT id, date, CAST((SELECT k FROM kk) + {m} AS INTEGER) AS index, round({x}, 6) AS value FROM enc"
+                                 for m, x in enumerate(_features(h)))
+    q["sparse_features"] = with_ctes(OBS_CTES, mapping_ctes(), _enc_cte(), f"entries AS (\n  {ones}\n  UNION ALL {logs}\n)") + (
+        "SELECT id, date, CAST((SELECT k FROM kk) + 23 AS INTEGER) AS size, index, value FROM entries")
     q["predict_all_hours"] = with_ctes(OBS_CTES, mapping_ctes(), _enc_cte()) + "\nUNION ALL\n".join(
         f"SELECT id, date, {x} AS hour, round({_predict_expr(x)}, 6) AS predicted FROM enc" for x in HOURS)
     hourly = "\n  UNION ALL\n  ".join(

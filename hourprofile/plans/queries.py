@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from ..functions import columns as FN
 from ..operators import encode as E
 from ..operators import filters as FL
 from ..operators import messages as MS
+from ..operators import ml as ML
 from ..operators import model as M
 from ..operators import score as SC
 from ..operators import profile as P
@@ -300,6 +303,17 @@ def predict_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("id", "date", F.round("predicted", 6).alias("predicted"))
 
 
+@register
+def sparse_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sparse feature vector that pipeline stages make for the scoring hour: a row per
+    entry that isn't zero, values rounded to 1e-6."""
+    rows = materialize(training_rows(spark, sf_dir), "sparse-rows")
+    stages = Pipeline(stages=[ML.CategoryEncoder(inputCols=list(CATS)), ML.HourFeatures(fields=list(CATS), volumes=list(TEST_OBS.volumes), hour=SCORE_HOUR)])
+    out = stages.fit(rows).transform(rows).select("id", "date", vector_to_array("features").alias("x"))
+    entries = out.select("id", "date", F.size("x").alias("size"), F.posexplode("x").alias("index", "value")).where("value <> 0")
+    return entries.withColumn("value", F.round("value", 6))
+
+
 @register
 def predict_all_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prediction of every record by each of the 24 models, from one read."""

@@ -7,6 +7,7 @@ transformation before them works on plain DataFrames.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -143,9 +144,9 @@ def write_jdbc(df: DataFrame, table: str, options: dict, mode: str = "overwrite"
     w.save()
 
 
-def execute_jdbc(spark, options: dict, statements: Sequence[str]) -> None:
-    """Run DDL/DML statements in one transaction through the JVM JDBC driver
-    (statements only -- no rows pass through the driver)."""
+@contextmanager
+def _connection(spark, options: dict):
+    """A connection of the JVM's JDBC driver."""
     jvm = spark.sparkContext._jvm
     props = jvm.java.util.Properties()
     for k in ("user", "password"):
@@ -155,30 +156,46 @@ def execute_jdbc(spark, options: dict, statements: Sequence[str]) -> None:
         jvm.java.lang.Class.forName(options["driver"])
     conn = jvm.java.sql.DriverManager.getConnection(options["url"], props)
     try:
-        conn.setAutoCommit(False)
-        st = conn.createStatement()
-        for s in statements:
-            st.execute(s)
-        conn.commit()
-    except Exception:
-        conn.rollback()
-        raise
+        yield conn
     finally:
         conn.close()
 
 
+def execute_jdbc(spark, options: dict, statements: Sequence[str]) -> None:
+    """Run DDL/DML statements in one transaction through the JVM JDBC driver
+    (statements only -- no rows pass through the driver)."""
+    with _connection(spark, options) as conn:
+        try:
+            conn.setAutoCommit(False)
+            st = conn.createStatement()
+            for s in statements:
+                st.execute(s)
+            conn.commit()
+        except Exception:
+            conn.rollback()
+            raise
+
+
 def ensure_table(spark, table: str, schema: T.StructType, key: Sequence[str], options: dict) -> None:
-    """Create the keyed result table once if it does not exist (resolving the
-    table's schema through the reader fails when it is absent)."""
-    read = spark.read.format("jdbc").option("dbtable", table)
-    for k, v in options.items():
-        read = read.option(k, v)
-    try:
-        read.load().schema  # noqa: B018 - a metadata query only, no rows
-    except Exception:
+    """Create the keyed result table once if it does not exist. The database is asked for the
+    name itself, so that any other error (no connection, no rights) is raised, not read as
+    an absent table."""
+    if not _table_exists(spark, table, options):
         execute_jdbc(spark, options, [create_table_sql(table, schema, key)])
 
 
+def _table_exists(spark, table: str, options: dict) -> bool:
+    """Whether the connection's metadata names the table, in any case of letters."""
+    schema, _, name = table.rpartition(".")
+    with _connection(spark, options) as conn:
+        found = conn.getMetaData().getTables(None, None, "%", None)
+        while found.next():
+            if found.getString("TABLE_NAME").lower() == name.strip('"').lower() and \
+                    (not schema or (found.getString("TABLE_SCHEM") or "").lower() == schema.strip('"').lower()):
+                return True
+    return False
+
+
 def upsert_jdbc(df: DataFrame, table: str, key: Sequence[str], update_cols: Sequence[str],
                 options: dict, staging: str | None = None) -> None:
     """Keyed upsert of a batch that holds at most one row per key (fold first).
