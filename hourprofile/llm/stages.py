@@ -20,10 +20,14 @@ SHINGLE_WORDS = 5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without a language (null or without letters) go."""
+    """Texts without a language (null or without letters) go. Where no row is labelled there
+    is nothing to learn from, and all texts with a letter stay."""
     keep = docs.columns
+    trees = langid.fit(docs)
+    if trees is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     mine = docs.select(F.struct(*keep).alias("row"), F.col("text"))
-    found = langid.identify(mine, langid.fit(docs))
+    found = langid.identify(mine, trees)
     return found.where(F.col("lang_pred") != "und").select("row.*")
 
 
