@@ -30,12 +30,13 @@ VOLUME_COLUMNS = tuple(f"volume{h:02d}" for h in HOURS)
 
 def stations(station_raw: DataFrame, spec: StationSpec, legacy_int_cast: bool = False,
              drop_zero_coordinates: bool = True) -> DataFrame:
-    """Typed station rows keyed by ``id``: id + the six profile attributes."""
+    """Typed station rows keyed by ``id``: id + the six profile attributes. Lanes are read
+    like volumes: decimals truncate. ``legacy_int_cast`` is about the zero test alone."""
     st = station_raw
     if drop_zero_coordinates:
         st = filters.nonzero(st, [spec.latitude, spec.longitude], legacy_int_cast)
     st = st.withColumn("id", C.composite_key(spec.key))
-    return project.typed(st, spec.attributes, keep_cols=["id"])
+    return project.typed(st, spec.attributes, keep_cols=["id"], legacy_int_cast=True)
 
 
 def observations(obs_raw: DataFrame, spec: ObsSpec, dtype: str = "bigint",

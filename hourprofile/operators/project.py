@@ -1,4 +1,4 @@
-"""Projections: keep/drop columns, composite keys, typed renames, hour picks."""
+"""Projections: composite keys and typed renames."""
 
 from __future__ import annotations
 
@@ -10,15 +10,6 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 
 
-def keep(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Keep the listed columns in the given order (pruned down to the scan)."""
-    return df.select(*cols)
-
-
-def drop(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    return df.drop(*cols)
-
-
 def composite_key(df: DataFrame, cols: Sequence[str], out: str = "id", sep: str = "_",
                   nulls: str = "propagate", drop_parts: bool = False) -> DataFrame:
     """Add ``out`` = parts joined by ``sep``; optionally drop the parts."""
@@ -40,18 +31,3 @@ def typed(df: DataFrame, spec: Mapping[str, tuple[str, str]],
         else:
             exprs.append(C.to_number(src, dtype, legacy_int_cast).alias(out))
     return df.select(*exprs)
-
-
-def rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
-    return df.withColumnsRenamed(dict(mapping))
-
-
-def typed_volumes(df: DataFrame, volumes: Sequence[str], out: Sequence[str] | None = None,
-                  dtype: str = "int", keep_cols: Sequence[str] = ()) -> DataFrame:
-    out = out or volumes
-    return df.select(*keep_cols, *[C.to_number(v, dtype).alias(o) for v, o in zip(volumes, out)])
-
-
-def at_hour(df: DataFrame, volumes: Sequence[str], hour, out: str = "volume") -> DataFrame:
-    """Add the volume of the given hour (int or column) as ``out``."""
-    return df.withColumn(out, C.at_hour(C.volumes_array(volumes), hour))

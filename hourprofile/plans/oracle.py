@@ -397,6 +397,8 @@ FROM obs o JOIN prof p ON p.id = o.id"""
     q["message_decode_failfast"] = q["message_decode"]
     q["message_array_decode"] = q["message_decode"]
     q["message_array_quoted"] = q["message_decode"]
+    q["message_unescaped"] = q["message_decode"]
+    q["stream_ingest_time"] = with_ctes(OBS_CTES) + "SELECT date, station_id, direction, true AS stamped, true AS several_batches FROM obs"
     nulled = ", ".join(f"CASE WHEN direction = 'error' THEN NULL ELSE {c} END AS {c}" for c in OBS_RECORD)
     q["message_decode_bad"] = with_ctes(OBS_CTES, _obs_strings()) + (
         f"SELECT {MSG_KEY_SQL} AS key, {nulled}, direction = 'error' AS corrupt FROM obs_s")

@@ -12,6 +12,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import sources as S
 from ..functions import columns as FN
@@ -433,6 +434,14 @@ def message_decode_bad(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MS.decode(msgs.select("key", broken.alias("value")), TEST_OBS.schema())
 
 
+@register
+def message_unescaped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that arrive with escaped quotes, un-escaped before they are parsed."""
+    msgs = _messages(spark, sf_dir)
+    escaped = msgs.select("key", F.replace("value", F.lit('"'), F.lit('\\"')).cast("binary").alias("value"))
+    return MS.decode(escaped, TEST_OBS.schema(), unescape=True)
+
+
 def mixed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log of all kinds, by station number modulo 5: an object, an array, an object
     cut short, JSON null and a number."""
@@ -506,6 +515,18 @@ def stream_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     return MS.decode(msgs, TEST_OBS.schema())
 
 
+@register
+def stream_ingest_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Published messages carry the time of their micro-batch: whether it reads as a time not
+    in the future, and whether all messages of a day and direction share few of them."""
+    msgs = spark.read.json(_published(spark, sf_dir), schema="key string, value string")
+    schema = T.StructType([*TEST_OBS.schema().fields, T.StructField("timestamp", T.StringType())])
+    rows = MS.decode(msgs, schema).withColumn("time", F.col("timestamp").try_cast("timestamp"))
+    stamped = F.coalesce((F.col("time") <= F.current_timestamp()) & (F.col("time") > F.lit("2024-01-01").cast("timestamp")), F.lit(False))
+    batches = rows.agg(F.count_distinct("time").alias("batches"))
+    return (rows.crossJoin(F.broadcast(batches)).select("date", "station_id", "direction", stamped.alias("stamped"), (F.col("batches") > 1).alias("several_batches")))
+
+
 @register
 def stream_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Message stream -> decode -> encode -> predict -> profile lookup -> level."""

@@ -62,15 +62,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for Python-side file access in tests."""
-    if path.startswith("file:"):
-        path = path[5:]
-        while path.startswith("//"):
-            path = path[1:]
-    return os.path.abspath(path)
-
-
 def materialize(df, name: str):
     """Cut lineage by writing ``df`` as a Parquet table below the shared
     scratch folder and reading it back (columnar, pruned, survives executor
