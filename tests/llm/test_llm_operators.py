@@ -322,9 +322,9 @@ def test_language_id(spark, edges, empty, docs):
     rows = langid.identify(edges, langid.fit(edges)).collect()
     assert len(rows) == len(EDGES) and {r.lang_pred for r in rows if r.doc_id in (1, 2, 3, 10)} == {"und"}
     assert langid.fit(empty) is None and langid.identify(edges, None).where("lang_pred <> 'und'").count() == 0
-    trees = langid.fit(edges)
-    total = np.exp2(-trees.cost.reshape(-1, trees.a, len(trees.languages)).astype(float)).sum(1)
-    assert (total < 1 + 1e-3).all()  # escape passes no more than it has
+    for tree in langid.fit(edges).trees:  # escape passes no more than it has
+        for context in (0, 1, 12345):
+            assert np.exp2(-tree.bits(context * langid.SYMBOLS + np.arange(256))).sum() < 1 + 1e-3
 
 
 def test_pipeline(spark, docs):
