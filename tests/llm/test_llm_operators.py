@@ -136,16 +136,37 @@ def test_lm_scores(spark, edges, empty, docs, monkeypatch):
             exact += math.log10(ngram_lm.SHARE * k / h + (1 - ngram_lm.SHARE) * p if h else p)
         off = max(off, abs(exact - r.score) / len(ws))
     assert off < 0.5  # false positives of the filter are the only difference
-    # several pieces give the same scores as one
-    monkeypatch.setattr(ngram_lm, "PIECE_BYTES", 8 << 10)
-    again = {r.doc_id: r.score for r in queries.op3_lm_scores(spark, SF).collect()}
-    assert all(again[i] == pytest.approx(got[i].score) for i in again)
+    # a filter that isn't broadcast gives the same scores, also in many small buckets
+    for size in (ngram_lm.BUCKET_BYTES, 1 << 12):
+        monkeypatch.setattr(ngram_lm, "BUCKET_BYTES", size)
+        one = {r.doc_id: r for r in queries.op3_lm_scores(spark, SF).collect()}
+        with monkeypatch.context() as m:
+            m.setattr(ngram_lm, "BROADCAST_BYTES", 0)
+            two = {r.doc_id: r for r in queries.op3_lm_scores(spark, SF).collect()}
+        assert len(one) == len(two) == len(got)
+        for i in one:
+            assert one[i][:5] == two[i][:5] == got[i][:5]
+            assert one[i].base_score == pytest.approx(got[i].base_score) and two[i][5:] == pytest.approx(one[i][5:])
     monkeypatch.undo()
     rows = ngram_lm.scores(edges).collect()
     assert len(rows) == len(EDGES) and all(r.n_tokens == 1 for r in rows if r.doc_id in (1, 2, 3))
     assert ngram_lm.scores(empty).count() == 0
 
 
+def test_lm_sums_add_up_whenever_they_are_made(monkeypatch):
+    monkeypatch.setattr(ngram_lm.Sums, "LEAST", 50)
+    rng, sums, want = np.random.default_rng(5), ngram_lm.Sums(), Counter()
+    for _ in range(200):
+        keys, n = rng.integers(0, 300, 20).astype(np.uint64), rng.integers(1, 9, 20).astype("<i4")
+        sums.add(keys, n)
+        for k, c in zip(keys.tolist(), n.tolist()):
+            want[k] += c
+        assert sums.waiting <= 300
+    keys, n = sums.total()
+    assert dict(zip(keys.tolist(), n.tolist())) == want
+    assert len(ngram_lm.Sums().total()[0]) == 0
+
+
 def test_packing_round_trip(spark, edges, docs):
     from tokenizers import Tokenizer
     path, pattern = queries.vocabulary()
