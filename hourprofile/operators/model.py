@@ -40,7 +40,7 @@ def design(encoded: DataFrame, fields: Sequence[str], volumes: Sequence[str],
     return encoded.select(
         *keep,
         F.array(*[F.col(f"{prefix}{f}") for f in fields]).alias("positions"),
-        F.array(*[C.log_volume(v) for v in volumes]).alias("logs"))
+        F.transform(F.array(*volumes), C.log_volume).alias("logs"))
 
 
 def label_and_features(logs: Column, hour) -> tuple[Column, Column]:
@@ -57,8 +57,7 @@ _LIMB = 31                   # exact sums are kept as high * 2^31 + low
 
 def quantised_logs(volumes: Sequence[str]) -> Column:
     """24 log volumes rounded to 1e-6, as integer micro-units (BIGINT)."""
-    return F.array(*[F.round(F.round(C.log_volume(v), 6) * F.lit(1e6)).cast("long")
-                     for v in volumes])
+    return F.transform(F.array(*volumes), lambda v: F.round(F.round(C.log_volume(v), 6) * F.lit(1e6)).cast("long"))
 
 
 def _rows_of(batch, column: str, dtype) -> np.ndarray:
@@ -381,8 +380,57 @@ def predict(design_df: DataFrame, models: DataFrame, hour, back_transform: bool
         "_mh", "intercept", "coef")
 
 
-def predict_hours(design_df: DataFrame, models: DataFrame, n_positions: int, **options) -> DataFrame:
+def _hour_predictions(hours: Sequence[int], weights: np.ndarray, n_positions: int):
+    """Arrow function ``(positions, logs) -> ARRAY<DOUBLE>``: a row's predictions by every
+    model, in the order of ``hours``, each sum added left to right as ``predict`` adds it."""
+    k = weights.shape[1] - 24
+    others = np.array([[j for j in range(24) if j != h] for h in hours])
+
+    def numbers(column, width, missing):
+        import pyarrow.compute as pc
+
+        flat = column.flatten()
+        return flat.fill_null(missing).to_numpy(zero_copy_only=False).reshape(-1, width), pc.is_null(flat).to_numpy(zero_copy_only=False).reshape(-1, width)
+
+    def predictions(positions, logs):
+        import pyarrow as pa
+
+        (pos, no_pos), (x, no_x) = numbers(positions, n_positions, 0), numbers(logs, 24, 0.0)
+        out, empty = np.empty((len(x), len(hours))), np.empty((len(x), len(hours)), bool)
+        for i, (w, at) in enumerate(zip(weights, others)):
+            cat, vol = np.zeros(len(x)), np.zeros(len(x))
+            for f in range(n_positions):
+                cat += w[pos[:, f]]
+            for m, j in enumerate(at):
+                vol += w[k + m] * x[:, j]
+            out[:, i] = w[-1] + cat + vol
+            empty[:, i] = no_pos.any(axis=1) | no_x[:, at].any(axis=1)
+        values = pa.array(out.ravel(), mask=empty.ravel())
+        return pa.ListArray.from_arrays(np.arange(0, out.size + 1, len(hours), dtype=np.int32), values)
+
+    return predictions
+
+
+def predict_hours(design_df: DataFrame, models: DataFrame, n_positions: int, back_transform: bool = True,
+                  out: str = "predicted", integer: bool = False) -> DataFrame:
     """One row per record and hour (column ``hour``), each predicted by its hour's
-    model: the rows are read once and meet the 24 models in one broadcast join."""
-    hours = F.sequence(F.lit(0), F.lit(23))
-    return predict(design_df.withColumn("hour", F.explode(hours)), models, F.col("hour"), n_positions=n_positions, **options)
+    model as ``predict`` does.
+
+    A record meets all models at once, as numpy columns in its task, and unfolds into
+    hours afterwards: an hour's row neither carries the record's features through a join nor
+    evaluates their sum term by term. The model table, 24 rows at most, is sent to the tasks.
+    """
+    rows = models.select("hour", "intercept", "coef").limit(25).collect()
+    if len(rows) > 24:
+        raise ValueError("a model table has one row per hour, 24 at most")
+    rows = sorted((r for r in rows if r["hour"] in range(24)), key=lambda r: r["hour"])
+    if not rows:
+        return design_df.withColumns({"hour": F.lit(0), out: F.lit(None).cast("bigint" if integer else "double")}).limit(0)
+    hours = [r["hour"] for r in rows]
+    weights = np.array([[*r["coef"], r["intercept"]] for r in rows], float)
+    every = F.arrow_udf(_hour_predictions(hours, weights, n_positions), "array<double>")
+    df = design_df.withColumn("_every", every("positions", "logs"))
+    pairs = F.arrays_zip(F.array(*map(F.lit, hours)).alias("hour"), F.col("_every").alias("raw"))
+    df = df.select(*design_df.columns, F.explode(pairs).alias("_p"))
+    value = F.exp("_p.raw") if back_transform else F.col("_p.raw")
+    return df.select(*design_df.columns, F.col("_p.hour").alias("hour"), (value.cast("bigint") if integer else value).alias(out))
