@@ -42,10 +42,10 @@ def stations(station_raw: DataFrame, spec: StationSpec, legacy_int_cast: bool =
 def observations(obs_raw: DataFrame, spec: ObsSpec, dtype: str = "bigint",
                  keep: tuple[str, ...] = ()) -> DataFrame:
     """``id`` + 24 typed volumes ``volume00..volume23`` (+ ``keep`` columns)."""
-    return obs_raw.select(
-        C.composite_key(spec.key).alias("id"), *keep,
-        *[C.volume(v, dtype).alias(o) for v, o in zip(spec.volumes, VOLUME_COLUMNS)],
-    )
+    # cast over an array: 24 casts written out make a method that the JVM doesn't compile
+    typed = obs_raw.select(C.composite_key(spec.key).alias("id"), *keep,
+                           F.transform(F.array(*spec.volumes), lambda v: C.volume(v, dtype)).alias("_volumes"))
+    return typed.select("id", *keep, *[F.get("_volumes", F.lit(h)).alias(o) for h, o in enumerate(VOLUME_COLUMNS)])
 
 
 def attach_station(station: DataFrame, obs: DataFrame, salted: bool = False) -> DataFrame:
@@ -74,7 +74,10 @@ def hourly_average(station: DataFrame, obs: DataFrame, eager: bool = False, salt
     if not eager:
         return _finish(attach_station(station, obs).groupBy(*PROFILE_KEYS).agg(*avgs))
     per_id = obs.groupBy("id").agg(*avgs)
-    keys = station.select(*PROFILE_KEYS).distinct()
+    # dealt by id first, into a fixed number of parts: the rows, which may unfold from few small
+    # files, cross one shuffle and no task holds more than its part of the distinct keys
+    parts = int(station.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys = station.select(*PROFILE_KEYS).repartition(parts, "id").distinct()
     return _finish(keys.join(per_id, "id"))
 
 
