@@ -28,29 +28,36 @@ def nonzero(df: DataFrame, cols: Sequence[str], legacy_int_cast: bool = False) -
     return df.filter(nonzero_condition(cols, legacy_int_cast))
 
 
+#: Columns in a conjunct of ``all_nonnegative_condition``.
+_CONJUNCT = 3
+
+
+def _all_finite_nonnegative(cols: Sequence[str]) -> Column:
+    # the root of a negative number is NaN, which sorts above infinity
+    return F.forall(F.array(*cols), lambda x: F.sqrt(C.to_number(x, "double")) < F.lit(float("inf")))
+
+
 def all_nonnegative_condition(cols: Sequence[str]) -> Column:
     """True when every value parses, is finite and >= 0; false when one is negative
     or not finite; null when one is missing or unparsable (and none is false).
 
-    Written as a conjunction of one predicate per column (same three-valued
-    result as ``forall`` over an array): each conjunct is its own constraint,
-    so the optimizer's constraint propagation stays linear in the number of
-    columns instead of doubling per aliased column.
+    Written as a conjunction over few columns each (same three-valued result as one
+    ``forall``): a conjunct is its own constraint, so the optimizer's constraint
+    propagation stays linear in the number of columns instead of doubling per aliased
+    column. Over arrays, since a cast per column written out makes a generated method
+    beyond the 8000 bytes up to which the JVM compiles it.
     """
     cond = None
-    for c in cols:
-        v = C.to_number(c, "double")
-        p = (v >= 0) & (v < F.lit(float("inf")))  # NaN sorts above infinity
+    for i in range(0, len(cols), _CONJUNCT):
+        p = _all_finite_nonnegative(cols[i:i + _CONJUNCT])
         cond = p if cond is None else cond & p
     return cond if cond is not None else F.lit(True)
 
 
 def nonnegative_reason(cols: Sequence[str]) -> Column:
     """``ok`` / ``negative`` / ``not_finite`` / ``missing`` for one row, in a single pass."""
-    ok = all_nonnegative_condition(cols)
-    negative = F.lit(False)
-    for c in cols:
-        negative = negative | F.coalesce(C.to_number(c, "double") < 0, F.lit(False))
+    ok = _all_finite_nonnegative(cols) if cols else F.lit(True)
+    negative = F.exists(F.array(*cols), lambda x: F.coalesce(C.to_number(x, "double") < 0, F.lit(False))) if cols else F.lit(False)
     return (F.when(ok, F.lit("ok")).when(negative, F.lit("negative"))
             .when(ok.isNull(), F.lit("missing")).otherwise(F.lit("not_finite")))
 
