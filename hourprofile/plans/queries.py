@@ -268,18 +268,11 @@ def gram_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return J.training_gram(enc, TEST_OBS, k)
 
 
-def _trained(spark: SparkSession, sf_dir: str, solver: str):
-    """Encoded rows and the 24 models that ``train_job`` saves and loads back."""
-    rows = training_rows(spark, sf_dir)
-    mapping, models = J.train_job(spark, rows, TEST_OBS, scratch_path(spark, f"trained-{solver}"), solver=solver)
-    return rows, mapping, models
-
-
 @register
 def fit_24_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One Gram pass, 24 gradient-descent fits, saved and loaded back; a row per
     weight (the last feature is the intercept), rounded to 1e-6."""
-    _, _, models = _trained(spark, sf_dir, "gd")
+    _, models = J.train_job(spark, training_rows(spark, sf_dir), TEST_OBS, scratch_path(spark, "trained-gd"))
     weights = F.posexplode(F.concat("coef", F.array("intercept"))).alias("feature", "weight")
     return models.select("hour", "iterations", weights).select("hour", "iterations", "feature", (F.round("weight", 6) + 0.0).alias("weight"))
 
@@ -288,8 +281,10 @@ def fit_24_models(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fit_normal_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     """24 least-squares fits over dependent columns: the rank, the residual sum of
     squares and the mean prediction per date, none of which depends on the solution chosen."""
-    rows, mapping, models = _trained(spark, sf_dir, "normal")
-    enc = E.apply(materialize(rows, "rank-rows"), mapping, CATS)
+    # the rows feed the training and the predictions: one table instead of two scans
+    rows = materialize(training_rows(spark, sf_dir), "rank-rows")
+    mapping, models = J.train_job(spark, rows, TEST_OBS, scratch_path(spark, "trained-normal"), solver="normal")
+    enc = E.apply(rows, mapping, CATS)
     p = M.predict_hours(M.design(enc, CATS, TEST_OBS.volumes, keep=("date",)), models, len(CATS), back_transform=False)
     means = p.groupBy("hour", "date").agg(F.round(F.avg("predicted"), 6).alias("predicted"))
     return means.join(F.broadcast(models.select("hour", "rank", F.round("rss", 3).alias("rss"))), "hour")
@@ -327,8 +322,7 @@ def predict_all_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _live(spark: SparkSession, sf_dir: str, obs: DataFrame | None = None) -> DataFrame:
     obs = (obs if obs is not None else tv.observations(spark, sf_dir)) \
         .withColumn("sid", FN.composite_key(TEST_OBS.key))
-    vols = F.array(*[FN.volume(v) for v in TEST_OBS.volumes])
-    return obs.select("sid", "date", FN.at_hour(vols, SCORE_HOUR).alias("volume"))
+    return obs.select("sid", "date", FN.volume(FN.at_hour(F.array(*TEST_OBS.volumes), SCORE_HOUR)).alias("volume"))
 
 
 def _profile(spark: SparkSession, sf_dir: str, obs: DataFrame | None = None) -> DataFrame:
@@ -622,7 +616,7 @@ def stream_upsert_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     all_messages = spark.read.json(_published(spark, sf_dir), schema="key string, value string")
     half = F.pmod(F.xxhash64("key"), F.lit(2))
     for part in (0, 1):
-        all_messages.where(half == part).repartition(tv.stage_parts(spark), "key").write.mode("append").json(topic)
+        all_messages.where(half == part).repartition(tv.stage_parts(spark), "key").write.mode("append").json(topic, compression=sinks.LOG_COMPRESSION)
         msgs = S.stream_json_messages(spark, topic, max_files=tv.files_per_trigger(spark, 2))
         rows = ST.scored(msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, profile, hour=SCORE_HOUR)
         ST.upsert_stream(rows, None, checkpoint).awaitTermination()
@@ -641,7 +635,7 @@ def stream_profile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
     checkpoint = scratch_path(spark, "versions-ckpt")
     for rows, known in ((obs.where(early), obs.where(early)), (obs.where(~early), obs)):
         publish(_profile(spark, sf_dir, known), root)
-        MS.encode(rows, key=list(MSG_KEY), columns=TEST_OBS.columns).repartition(tv.stage_parts(spark), "key").write.mode("append").json(topic)
+        MS.encode(rows, key=list(MSG_KEY), columns=TEST_OBS.columns).repartition(tv.stage_parts(spark), "key").write.mode("append").json(topic, compression=sinks.LOG_COMPRESSION)
         msgs = S.stream_json_messages(spark, topic, max_files=tv.files_per_trigger(spark, 2))
         ST.score_stream(spark, msgs, TEST_OBS, TEST_RESULT_FIELDS, mapping, models, root, out, checkpoint, hour=SCORE_HOUR).awaitTermination()
     return spark.read.parquet(out).select("sid", "date", "lanes", "current", "historical", "level")
@@ -650,7 +644,7 @@ def stream_profile_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _message_stream(spark: SparkSession, msgs: DataFrame, name: str):
     """Messages written to a folder of several files, and a stream over it."""
     topic = scratch_path(spark, name)
-    msgs.repartition(tv.stage_parts(spark), "key").write.json(topic)
+    msgs.repartition(tv.stage_parts(spark), "key").write.json(topic, compression=sinks.LOG_COMPRESSION)
     return S.stream_json_messages(spark, topic, max_files=tv.files_per_trigger(spark, 3))
 
 

@@ -49,7 +49,8 @@ def stations(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
     # one row: the few event types that play the directions of travel
     types = table(spark, sf_dir, "events").where("event_type is not null").agg(F.array_sort(F.collect_set("event_type")).alias("types"))
-    c = c.crossJoin(F.broadcast(types))
+    # a customer unfolds into several rows: dealt out first, a small file is one task's
+    c = c.repartition(stage_parts(spark), "c_custkey").crossJoin(F.broadcast(types))
     return c.select(
         F.lpad(F.col("c_nationkey").cast("string"), 2, "0").alias("state"),
         F.col("c_custkey").cast("string").alias("station_id"),
@@ -99,5 +100,5 @@ def staged_obs_csv(spark: SparkSession, sf_dir: str) -> str:
         # count follows the session's shuffle partitions, at least 8
         obs = staged_observations(spark, sf_dir).repartition(stage_parts(spark), "date", "station_id")
         _STAGED[k] = sinks.write_csv(obs, scratch_path(spark, "obs-csv"),
-                                     header=True, quote_all=True)
+                                     header=True, quote_all=True, compression=sinks.LOG_COMPRESSION)
     return _STAGED[k]

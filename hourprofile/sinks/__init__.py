@@ -16,17 +16,22 @@ from pyspark.sql.streaming import StreamingQuery
 
 
 # ---------------------------------------------------------------- files
+#: Codec of message logs and staged text kept as files; readers know it by the files' names.
+LOG_COMPRESSION = "gzip"
+
+
 def write_csv(df: DataFrame, path: str, header: bool = True, quote_all: bool = False,
-              mode: str = "overwrite") -> str:
+              mode: str = "overwrite", compression: str | None = None) -> str:
     (df.write.mode(mode).option("header", header).option("quoteAll", quote_all)
-     .csv(path))
+     .option("compression", compression or "none").csv(path))
     return path
 
 
 def stream_json_files(df: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
                       query_name: str | None = None) -> StreamingQuery:
-    """File-backed twin of the Kafka sink: append JSON lines ``key, value, ...``."""
-    w = (df.writeStream.format("json").option("path", path)
+    """File-backed twin of the Kafka sink: append JSON lines ``key, value, ...``, compressed as
+    a topic's batches are (every message repeats the names of its fields)."""
+    w = (df.writeStream.format("json").option("path", path).option("compression", LOG_COMPRESSION)
          .option("checkpointLocation", checkpoint).outputMode("append"))
     if query_name:
         w = w.queryName(query_name)

@@ -20,7 +20,7 @@ from .. import sinks
 from .. import sources as S
 from ..operators import messages as MS
 from ..operators import score as SC
-from ..session import materialize
+from ..session import drop_path, materialize, scratch_path
 from ..sinks.keyed import KeyedTable, current
 from ..spec import RESULT_COLUMNS, ObsSpec
 
@@ -135,7 +135,10 @@ def score_stream(spark: SparkSession, messages: DataFrame, spec: ObsSpec,
     def write_epoch(batch: DataFrame, epoch: int) -> None:
         own = batch.sparkSession
         prof = current(own, profile) if isinstance(profile, str) else profile
-        tagged = SC.tagged(batch, spec, mapping).persist()
+        # written once for the passes below: cached text would take many times the memory or disk
+        place = scratch_path(own, "epoch")
+        SC.tagged(batch, spec, mapping).write.parquet(place)
+        tagged = own.read.parquet(place)
         try:
             ok = tagged.where(F.col("reason") == "ok")
             bad = tagged.where(F.col("reason") != "ok").drop("corrupt", *[f"pos_{c}" for c in spec.categoricals])
@@ -150,7 +153,7 @@ def score_stream(spark: SparkSession, messages: DataFrame, spec: ObsSpec,
                 bad.write.mode("overwrite").parquet(at(rejected, epoch))
                 counts(own).write.mode("overwrite").parquet(at(metrics, epoch))
         finally:
-            tagged.unpersist()
+            drop_path(own, place)
 
     w = dec.writeStream.foreachBatch(write_epoch).option("checkpointLocation", checkpoint)
     return w.trigger(**(trigger or {"availableNow": True})).start()
