@@ -106,6 +106,12 @@ def decode_mixed(df: DataFrame, schema: T.StructType, unquote: bool = True, valu
     return parsed.select(*keep, *out, bad.alias(corrupt_col))
 
 
+def parsed_once(decoded: DataFrame) -> DataFrame:
+    """The same rows behind a generator. Filters of later steps are pushed through plain
+    projections, each with a copy of the parser for every field it looks at, but not through this."""
+    return decoded.select(F.explode(F.array(F.struct(*decoded.columns))).alias("_record")).select("_record.*")
+
+
 def quarantine(decoded: DataFrame, corrupt_col: str = "corrupt"):
     """Split a decoded frame into ``(good, bad)`` on the corrupt flag."""
     return (decoded.filter(~F.col(corrupt_col)).drop(corrupt_col),

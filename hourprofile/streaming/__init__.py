@@ -78,7 +78,7 @@ def scored(messages: DataFrame, spec: ObsSpec, fields: Mapping[str, str], mappin
     default the date and the log's order, by which ``upsert_stream`` folds.
     """
     keep = ["date", *_log_columns(messages)] if keep is None else keep
-    good, _ = MS.quarantine(decoded(messages, spec, shape))
+    good, _ = MS.quarantine(MS.parsed_once(decoded(messages, spec, shape)))
     h = local_hour(zone) if hour is None else hour
     return SC.score(good, spec, fields, mapping, models, profile, h, keep=keep)
 
